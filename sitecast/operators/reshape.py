@@ -69,7 +69,7 @@ def impute_slot_mean(d: DataFrame, site: str = "site_id", time: str = "measureme
     means = (d.where(F.col(time).isNotNull()).groupBy(time).agg(F.avg(v).alias("m"))
              .agg(F.map_from_entries(F.collect_list(F.struct(F.col(time), F.col("m"))))).scalar())
     per_site = _site_maps(d, site, time, value)
-    grid = per_site.select(site, "_vals", F.explode(F.array_sort(F.map_keys(means))).alias(time))
+    grid = per_site.select(site, "_vals", F.explode(F.sort_array(F.map_keys(means))).alias(time))
     raw = F.try_element_at(F.col("_vals"), F.col(time))
     fill = F.try_element_at(means, F.col(time))
     if truncate_int:

@@ -11,8 +11,10 @@ from sitecast.schema import DROPPED, MESSAGE, RAW_FIELDS, RAW_TEXT, RENAMES
 from sitecast.session import scratch_path
 
 ROW_TAG = "TrafficFlow"
-JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# Written times keep microseconds (the default pattern stops at millis);
+# reading uses Spark's default ISO parsing, which accepts an offset.
+JSON_WRITE = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 # -- S2 / S3 ----------------------------------------------------------------
@@ -137,11 +139,18 @@ def parse_xml_column(df: DataFrame, col: str = "value") -> DataFrame:
     return df.select(F.from_xml(F.col(col), RAW_TEXT).alias("r")).select("r.*")
 
 
+def write_xml(raw: DataFrame, path: str) -> None:
+    """Text records -> XML documents (``<RESPONSE>`` root, one
+    ``<TrafficFlow>`` element per record) with Spark's XML writer."""
+    (raw.write.mode("overwrite").format("xml").option("rootTag", "RESPONSE")
+     .option("rowTag", ROW_TAG).save(path))
+
+
 def ingest_xml_roundtrip(spark: SparkSession, readings: DataFrame) -> DataFrame:
     """Write readings as XML documents to the shared folder, scan them back
     with the XML source, coerce and rename (S1 -> S4 -> S5)."""
     path = scratch_path(spark, "xml-landing")
-    xml_text(text_records(readings)).write.mode("overwrite").text(path)
+    write_xml(text_records(readings), path)
     good, _ = split_rejects(coerce_text(read_xml(spark, path)))
     return good
 
@@ -154,7 +163,7 @@ def encode_json(readings: DataFrame) -> DataFrame:
     fields = [c.name for c in MESSAGE.fields]
     return readings.select(
         F.lit(None).cast("binary").alias("key"),
-        F.to_json(F.struct(*fields), JSON_OPTIONS).cast("binary").alias("value"))
+        F.to_json(F.struct(*fields), JSON_WRITE).cast("binary").alias("value"))
 
 
 def json_fields_as_text(msgs: DataFrame) -> DataFrame:
@@ -172,7 +181,7 @@ def parse_json(msgs: DataFrame) -> DataFrame:
     """Binary -> string -> ``from_json`` with the fixed schema
     (permissive: bad text or a mistyped field -> null) -> star expand. Times
     are returned as UTC wall-clock ``timestamp_ntz``."""
-    parsed = msgs.select(F.from_json(F.col("value").cast("string"), MESSAGE, JSON_OPTIONS).alias("data"))
+    parsed = msgs.select(F.from_json(F.col("value").cast("string"), MESSAGE).alias("data"))
     out = parsed.select("data.*")
     return (out.withColumn("measurement_time", F.col("measurement_time").cast("timestamp_ntz"))
                .withColumn("modified_time", F.col("modified_time").cast("timestamp_ntz")))
