@@ -141,48 +141,57 @@ def recent_slots(df: DataFrame, k: int, time: str = "measurement_time") -> DataF
     return df.where(F.array_contains(arr, F.col(time)))
 
 
+def _fill_grid(cells: DataFrame, group: str, site: str, time: str, value: str) -> DataFrame:
+    """Per ``group`` value: grid = its sites x its slots; a missing cell gets
+    the group's slot mean, then 0. The per-group slot maps are small (one
+    row per group) and joined by equality on the group key."""
+    slots = (cells.groupBy(group, time).agg(F.avg(value).alias("_m"))
+             .groupBy(group).agg(F.map_from_entries(
+                 F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means")))
+    vals = cells.groupBy(group, site).agg(F.map_from_entries(
+        F.collect_list(F.struct(F.col(time), F.col(value)))).alias("_vals"))
+    grid = (vals.join(slots, group)
+            .select(group, site, "_vals", "_means",
+                    F.explode(F.array_sort(F.map_keys("_means"))).alias(time)))
+    return grid.select(group, site, time, F.coalesce(
+        F.try_element_at("_vals", F.col(time)), F.try_element_at("_means", F.col(time)),
+        F.lit(0.0)).alias(value))
+
+
+def epoch_snapshots(d_epochs: DataFrame, epoch: str = "epoch", site: str = "site_id",
+                    time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
+    """S12 for many epochs at once: each epoch's slot-mean imputed grid
+    (``d_epochs`` is unique per epoch, site, slot)."""
+    cells = (d_epochs.where(F.col(time).isNotNull())
+             .select(epoch, site, time, F.col(value).cast("double").alias(value)))
+    return _fill_grid(cells, epoch, site, time, value)
+
+
+def merge_snapshots(snaps: DataFrame, n_epochs: int = 4, first_window: int | None = None,
+                    last_window: int | None = None, epoch: str = "epoch", site: str = "site_id",
+                    time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
+    """Window ``o`` covers epochs ``o .. o + n - 1``; per (site, slot)
+    the newest epoch's value wins (long form, so overlapping slots cannot
+    clash as the reference's wide outer join does), then the window's grid
+    is filled with its slot mean, then 0. Each snapshot row is copied into
+    at most ``n`` windows."""
+    w = F.explode(F.sequence(F.col(epoch) - (n_epochs - 1), F.col(epoch))).alias("window_id")
+    tagged = snaps.select(epoch, site, time, value, w)
+    lo = 0 if first_window is None else first_window
+    cond = F.col("window_id") >= lo
+    if last_window is None:
+        last_window = snaps.agg(F.max(epoch)).scalar() - (n_epochs - 1)
+    cond = cond & (F.col("window_id") <= last_window)
+    merged = (tagged.where(cond).groupBy("window_id", site, time)
+              .agg(F.max_by(F.col(value), F.col(epoch)).alias(value)))
+    out = _fill_grid(merged, "window_id", site, time, value)
+    return out.withColumn(value, round6(F.col(value)))
+
+
 def epoch_merge(d_epochs: DataFrame, n_epochs: int = 4, epoch: str = "epoch",
                 site: str = "site_id", time: str = "measurement_time",
                 value: str = "vehicle_flow_rate") -> DataFrame:
-    """Merge the snapshots of the last ``n_epochs`` epochs.
-
-    ``d_epochs`` holds deduplicated readings tagged with their epoch (unique
-    per epoch, site, slot). Each epoch's snapshot is its slot-mean imputed
-    grid. Window ``o`` covers epochs ``o .. o + n - 1`` (output index as the
-    reference: last epoch - n + 1) and exists once epoch ``n - 1`` is done.
-    In long form the newest epoch wins per (site, slot) -- the reference's
-    wide outer join fails on overlapping slots -- and the window's grid is
-    filled with the merged slot mean, then 0.
-    """
-    v = F.col(value).cast("double")
-    base = d_epochs.where(F.col(time).isNotNull())
-    # Per-epoch snapshot: sites of the epoch x slots of the epoch.
-    slot_means = base.groupBy(epoch, time).agg(F.avg(v).alias("_m"))
-    slots_e = slot_means.groupBy(epoch).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means"))
-    sites_e = base.groupBy(epoch, site).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(time), v))).alias("_vals"))
-    snap = (sites_e.join(slots_e, epoch)
-            .select(epoch, site, "_vals", "_means",
-                    F.explode(F.array_sort(F.map_keys("_means"))).alias(time))
-            .select(epoch, site, time, F.coalesce(
-                F.try_element_at("_vals", F.col(time)),
-                F.try_element_at("_means", F.col(time)), F.lit(0.0)).alias("_v")))
-    last_epoch = base.agg(F.max(epoch)).scalar()
-    # Each snapshot cell belongs to the windows o in [e - n + 1, e], o >= 0.
-    tagged = (snap.select("*", F.explode(F.sequence(F.col(epoch) - (n_epochs - 1), F.col(epoch))).alias("window"))
-              .where((F.col("window") >= 0) & (F.col("window") <= last_epoch - (n_epochs - 1))))
-    merged = (tagged.groupBy("window", site, time)
-              .agg(F.max_by(F.col("_v"), F.col(epoch)).alias("_v")))
-    w_slot = merged.groupBy("window", time).agg(F.avg("_v").alias("_m"))
-    w_slots = w_slot.groupBy("window").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means"))
-    w_sites = merged.groupBy("window", site).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(time), F.col("_v")))).alias("_vals"))
-    grid = (w_sites.join(w_slots, "window")
-            .select("window", site, "_vals", "_means",
-                    F.explode(F.array_sort(F.map_keys("_means"))).alias(time)))
-    return grid.select(
-        "window", site, time,
-        round6(F.coalesce(F.try_element_at("_vals", F.col(time)),
-                          F.try_element_at("_means", F.col(time)), F.lit(0.0))).alias(value))
+    """J2 in batch: snapshots of every epoch, then every complete window of
+    ``n_epochs`` (output index = last epoch - n + 1, as the reference)."""
+    snaps = epoch_snapshots(d_epochs, epoch, site, time, value)
+    return merge_snapshots(snaps, n_epochs, epoch=epoch, site=site, time=time, value=value)

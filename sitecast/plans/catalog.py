@@ -24,6 +24,7 @@ STEPS = 5           # forecast horizon (1-minute steps)
 SPLIT = 0.5         # train fraction used at the call site
 N_SAMPLES = 1000    # pull row cap (function default)
 N_VERSIONS = 3      # forecast versions materialised for last-wins reads
+N_EPOCHS = 4        # epoch merge width (the reference merges 4 snapshots)
 RANGE_START = dt.datetime(2024, 1, 10)
 RANGE_END = dt.datetime(2024, 1, 20)
 SITE_SEGMENT = "BUILDING"
@@ -128,7 +129,7 @@ def q_epoch_merge(spark, sf_dir):
     first_day = r.agg(F.min(F.to_date("modified_time"))).scalar()
     r = r.withColumn("epoch", F.datediff(F.to_date("modified_time"), first_day))
     d_e = dedup.keep_latest(r, ("epoch", "site_id", "measurement_time"), ("modified_time", "event_id"))
-    return reshape.epoch_merge(d_e, n_epochs=4)
+    return reshape.epoch_merge(d_e, n_epochs=N_EPOCHS)
 
 
 # -- 4: windows, split, AR, holdout error -----------------------------------

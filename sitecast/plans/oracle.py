@@ -306,3 +306,51 @@ FROM ({COERCED})"""),
     "ingest_xml": sql(READINGS, body=f"""SELECT * EXCLUDE (rejected) FROM (
   SELECT *, (site_id IS NULL OR measurement_time IS NULL) AS rejected FROM ({COERCED})) WHERE NOT rejected"""),
 }
+
+
+HISTORY_SQL = sql(READINGS, D, """s AS (
+  SELECT measurement_time, round(avg(vehicle_flow_rate), 6) AS avg_vehicle_flow_rate,
+         round(stddev_samp(vehicle_flow_rate), 6) AS std_vehicle_flow_rate
+  FROM d GROUP BY measurement_time)""", body="""SELECT d.event_id, d.site_id, d.measurement_time, d.modified_time,
+       d.vehicle_flow_rate, d.average_vehicle_speed, d.specific_lane, d.geometry, d.data_quality,
+       s.avg_vehicle_flow_rate, s.std_vehicle_flow_rate,
+       CASE WHEN d.data_quality = 'good' THEN 1 ELSE 0 END AS data_quality_categorical,
+       CAST(d.measurement_time AS DATE) AS measurement_date
+FROM d LEFT JOIN s ON d.measurement_time = s.measurement_time""")
+
+EPOCH_MERGE_SQL = sql(READINGS, """r AS (
+  SELECT *, datediff('day', (SELECT min(CAST(modified_time AS DATE)) FROM readings), CAST(modified_time AS DATE)) AS epoch
+  FROM readings)""", """de AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY epoch, site_id, measurement_time
+                                 ORDER BY modified_time DESC, event_id DESC) AS rn FROM r) WHERE rn = 1)""",
+    """cells AS (SELECT epoch, site_id, measurement_time, CAST(vehicle_flow_rate AS DOUBLE) AS v
+             FROM de WHERE measurement_time IS NOT NULL)""",
+    """sm AS (SELECT epoch, measurement_time, avg(v) AS m FROM cells GROUP BY epoch, measurement_time)""",
+    """snap AS (
+  SELECT ss.epoch, ss.site_id, sm.measurement_time, coalesce(c.v, sm.m, 0) AS v
+  FROM (SELECT DISTINCT epoch, site_id FROM cells) ss JOIN sm ON ss.epoch = sm.epoch
+  LEFT JOIN cells c ON c.epoch = ss.epoch AND c.site_id = ss.site_id AND c.measurement_time = sm.measurement_time)""",
+    f"""tagged AS (SELECT epoch, site_id, measurement_time, v,
+                      unnest(generate_series(epoch - {C.N_EPOCHS - 1}, epoch)) AS window_id FROM snap)""",
+    f"""merged AS (
+  SELECT window_id, site_id, measurement_time, arg_max(v, epoch) AS v FROM tagged
+  WHERE window_id >= 0 AND window_id <= (SELECT max(epoch) - {C.N_EPOCHS - 1} FROM cells)
+  GROUP BY window_id, site_id, measurement_time)""",
+    """wm AS (SELECT window_id, measurement_time, avg(v) AS m FROM merged GROUP BY window_id, measurement_time)""",
+    body="""SELECT ws.window_id, ws.site_id, wm.measurement_time, round(coalesce(x.v, wm.m, 0), 6) AS vehicle_flow_rate
+FROM (SELECT DISTINCT window_id, site_id FROM merged) ws JOIN wm ON ws.window_id = wm.window_id
+LEFT JOIN merged x ON x.window_id = ws.window_id AND x.site_id = ws.site_id AND x.measurement_time = wm.measurement_time""")
+
+ORACLE.update({
+    "upsert_merge": HISTORY_SQL,
+    "stream_upsert": HISTORY_SQL,
+    "stream_dedup": sql(READINGS, body="SELECT DISTINCT site_id, measurement_time FROM readings"),
+    "stream_slot_stats": sql(READINGS, body="""SELECT measurement_time, round(avg(vehicle_flow_rate), 6) AS avg_vehicle_flow_rate,
+       round(stddev_samp(vehicle_flow_rate), 6) AS std_vehicle_flow_rate, count(*) AS n_readings
+FROM readings GROUP BY measurement_time"""),
+    "stream_ingest": ORACLE["parse_json"],
+    "versioned_read": sql(*versions_ctes(), body="SELECT * FROM versions"),
+    "stream_accumulate": ORACLE["forecast_dedup_last"],
+    "epoch_merge": EPOCH_MERGE_SQL,
+})
