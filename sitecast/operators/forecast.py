@@ -52,7 +52,7 @@ def ma_forecast(d: DataFrame, window: int = 5, steps: int = 5, step_minutes: int
         vals = F.transform(idx, lambda r: F.when(r > cnt, F.lit(0.0)).otherwise(
             F.try_element_at(F.col("_pts"), r)["v"]))
     elif divisor == "available":
-        idx = F.sequence(F.least(cnt, F.lit(window)), F.lit(1), F.lit(-1))
+        idx = F.sequence(F.least(cnt, F.lit(window)).cast("int"), F.lit(1), F.lit(-1))
         vals = F.transform(idx, lambda r: F.try_element_at(F.col("_pts"), r)["v"])
     else:
         raise ValueError(f"divisor must be 'window' or 'available', not {divisor!r}")
