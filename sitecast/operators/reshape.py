@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import TIME_FORMAT, format_time, round6
+from sitecast.operators.joins import lookup_join
 
 
 def slot_array(df: DataFrame, time: str = "measurement_time") -> Column:
@@ -46,7 +47,12 @@ def impute_site_mean(latest: DataFrame, site: str = "site_id",
     Output: site, time, value (double), ``imputed`` flag.
     """
     per_site = _site_maps(latest, site, time, value)
-    arr = slots if slots is not None else slot_array(latest, time)
+    # The slot list is derived from the same per-site maps, so the subquery's
+    # shuffles are canonically equal to the main plan's and AQE reuses them.
+    # collect_set deduplicates map-side, so the final task sees distinct slots only.
+    arr = slots if slots is not None else (
+        per_site.select(F.explode(F.map_keys("_vals")).alias("_t"))
+        .agg(F.sort_array(F.collect_set("_t"))).scalar())
     if keep_last:
         arr = last_k(arr, keep_last)
     grid = per_site.select(site, "_vals", "_site_mean", F.explode(arr).alias(time))
@@ -150,7 +156,7 @@ def _fill_grid(cells: DataFrame, group: str, site: str, time: str, value: str) -
                  F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means")))
     vals = cells.groupBy(group, site).agg(F.map_from_entries(
         F.collect_list(F.struct(F.col(time), F.col(value)))).alias("_vals"))
-    grid = (vals.join(slots, group)
+    grid = (lookup_join(vals, slots, group, "inner")
             .select(group, site, "_vals", "_means",
                     F.explode(F.array_sort(F.map_keys("_means"))).alias(time)))
     return grid.select(group, site, time, F.coalesce(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import average_rank, display_name, type_label
+from sitecast.operators.joins import lookup_join
 
 
 def label_types(forecasts: DataFrame) -> DataFrame:
@@ -58,6 +59,6 @@ def site_points(sites: DataFrame) -> DataFrame:
 
 
 def attach_sites(df: DataFrame, sites: DataFrame) -> DataFrame:
-    """Site lookup. A left join without a broadcast hint: the site table
-    grows with the deployment, so AQE decides from its measured size."""
-    return df.join(site_points(sites), "site_id", "left")
+    """Site lookup. The site table grows with the deployment, so it is
+    broadcast only after its size is checked."""
+    return lookup_join(df, site_points(sites), "site_id", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import quality_flag, round6
+from sitecast.operators.joins import lookup_join
 
 
 def slot_aggregates(df: DataFrame, time: str = "measurement_time",
@@ -25,12 +26,12 @@ def slot_stats(df: DataFrame, time: str = "measurement_time",
     back to every reading; null slots match nothing.
 
     One aggregate and one left join (the reference runs two of each). The
-    join is not hinted: AQE measures the aggregate's real size and broadcasts
-    it when small; otherwise it is a sort-merge join whose skewed partitions
-    AQE splits.
+    aggregate (one row per slot) is broadcast after its size is checked, so
+    the readings are not shuffled; past the bound it is a shuffle join whose
+    skewed partitions AQE splits.
     """
     base = df.withColumn("data_quality_categorical", quality_flag()).drop(*drop)
-    return base.join(slot_aggregates(df, time, value), on=time, how="left")
+    return lookup_join(base, slot_aggregates(df, time, value), on=time, how="left")
 
 
 def latest_slot(d: DataFrame, site: str = "site_id", time: str = "measurement_time") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sitecast.functions.columns import format_time, parse_time_strict
 from sitecast.operators import dedup, features, forecast, reshape, series, stats
+from sitecast.operators.joins import lookup_join
 from sitecast.sources import ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +76,7 @@ def q_latest_slot(spark, sf_dir):
 
 def q_site_filter(spark, sf_dir):
     wanted = tables.sites(spark, sf_dir).where(F.col("segment") == SITE_SEGMENT).select("site_id")
-    return _d(spark, sf_dir).join(wanted, "site_id", "left_semi")
+    return lookup_join(_d(spark, sf_dir), wanted, "site_id", "left_semi")
 
 
 def q_time_range_filter(spark, sf_dir):

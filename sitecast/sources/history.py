@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sitecast.functions.columns import quality_flag
 from sitecast.operators.dedup import keep_latest
+from sitecast.operators.joins import lookup_join
 from sitecast.operators.stats import slot_aggregates
 from sitecast.schema import KEY, NEWEST
 from sitecast.session import delete_path, path_exists, scratch_path
@@ -38,7 +39,7 @@ HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
 
 def _with_stats(df: DataFrame) -> DataFrame:
     base = df.drop("avg_vehicle_flow_rate", "std_vehicle_flow_rate")
-    return (base.join(slot_aggregates(base), "measurement_time", "left")
+    return (lookup_join(base, slot_aggregates(base), "measurement_time", "left")
             .withColumn("data_quality_categorical", quality_flag()))
 
 
@@ -51,7 +52,7 @@ def prepare_batch(batch: DataFrame, keys: Sequence[str] = KEY,
     cols = [c for c in HISTORY_COLUMNS if c in valid.columns]
     d = keep_latest(valid.select(*cols), keys, order)
     if stats_scope == "batch":
-        d = (d.join(slot_aggregates(valid), "measurement_time", "left")
+        d = (lookup_join(d, slot_aggregates(valid), "measurement_time", "left")
              .withColumn("data_quality_categorical", quality_flag()))
     return d.withColumn(DATE_COL, F.to_date("measurement_time"))
 
