@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from sitecast.functions.columns import add_minutes, round6
 from sitecast.operators.dedup import union_all
 from sitecast.operators.features import latest_n_per_site, sliding_windows, train_eval_split
-from sitecast.operators.joins import lookup_join
 from sitecast.operators.reshape import impute_site_mean
 from sitecast.schema import FORECAST_COLUMNS
 
@@ -230,7 +229,8 @@ def loss_history(d: DataFrame, window: int = 5, train_fraction: float = 0.5,
         F.when(F.regr_sxx("y", last) > 0, F.regr_intercept("y", last)).alias("_a"))
     pred = F.when(F.col("_b").isNull(), last).otherwise(F.col("_a") + F.col("_b") * last)
     err = F.pow(F.col("y") - pred, 2)
-    return (lookup_join(wins, coef, "_cycle", "left").groupBy("_cycle").agg(
+    # One coefficient row per day-cycle: bounded by the days in the range.
+    return (wins.join(F.broadcast(coef), "_cycle", "left").groupBy("_cycle").agg(
         round6(F.avg(F.when(F.col("_train"), err))).alias("train_loss"),
         round6(F.avg(F.when(~F.col("_train"), err))).alias("eval_loss"),
         F.max("_target").alias("measurement_time"))

@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import TIME_FORMAT, format_time, round6
-from sitecast.operators.joins import lookup_join
 
 
 def slot_array(df: DataFrame, time: str = "measurement_time") -> Column:
     """Sorted distinct slots of ``df`` as one array value (scalar subquery)."""
     return df.where(F.col(time).isNotNull()).agg(
-        F.array_sort(F.collect_set(F.col(time)))).scalar()
+        F.sort_array(F.collect_set(F.col(time)))).scalar()
 
 
 def last_k(arr: Column, k: int) -> Column:
@@ -150,15 +149,18 @@ def recent_slots(df: DataFrame, k: int, time: str = "measurement_time") -> DataF
 def _fill_grid(cells: DataFrame, group: str, site: str, time: str, value: str) -> DataFrame:
     """Per ``group`` value: grid = its sites x its slots; a missing cell gets
     the group's slot mean, then 0. The per-group slot maps are small (one
-    row per group) and joined by equality on the group key."""
+    row per group) and broadcast: groups are epochs or epoch windows, so
+    their number is bounded by the length of the time range, and each row's
+    map by the slots of one group. No eager size check is needed (it would
+    run the whole upstream twice)."""
     slots = (cells.groupBy(group, time).agg(F.avg(value).alias("_m"))
              .groupBy(group).agg(F.map_from_entries(
                  F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means")))
     vals = cells.groupBy(group, site).agg(F.map_from_entries(
         F.collect_list(F.struct(F.col(time), F.col(value)))).alias("_vals"))
-    grid = (lookup_join(vals, slots, group, "inner")
+    grid = (vals.join(F.broadcast(slots), group)
             .select(group, site, "_vals", "_means",
-                    F.explode(F.array_sort(F.map_keys("_means"))).alias(time)))
+                    F.explode(F.sort_array(F.map_keys("_means"))).alias(time)))
     return grid.select(group, site, time, F.coalesce(
         F.try_element_at("_vals", F.col(time)), F.try_element_at("_means", F.col(time)),
         F.lit(0.0)).alias(value))
@@ -174,7 +176,7 @@ def epoch_snapshots(d_epochs: DataFrame, epoch: str = "epoch", site: str = "site
 
 
 def merge_snapshots(snaps: DataFrame, n_epochs: int = 4, first_window: int | None = None,
-                    last_window: int | None = None, epoch: str = "epoch", site: str = "site_id",
+                    last_window=None, epoch: str = "epoch", site: str = "site_id",
                     time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
     """Window ``o`` covers epochs ``o .. o + n - 1``; per (site, slot)
     the newest epoch's value wins (long form, so overlapping slots cannot
@@ -196,8 +198,13 @@ def merge_snapshots(snaps: DataFrame, n_epochs: int = 4, first_window: int | Non
 
 def epoch_merge(d_epochs: DataFrame, n_epochs: int = 4, epoch: str = "epoch",
                 site: str = "site_id", time: str = "measurement_time",
-                value: str = "vehicle_flow_rate") -> DataFrame:
+                value: str = "vehicle_flow_rate", last_epoch: Column | None = None) -> DataFrame:
     """J2 in batch: snapshots of every epoch, then every complete window of
-    ``n_epochs`` (output index = last epoch - n + 1, as the reference)."""
+    ``n_epochs`` (output index = last epoch - n + 1, as the reference).
+    ``last_epoch`` (e.g. a scalar subquery over the raw input) avoids
+    deriving it from the snapshots, which would plan them twice."""
     snaps = epoch_snapshots(d_epochs, epoch, site, time, value)
-    return merge_snapshots(snaps, n_epochs, epoch=epoch, site=site, time=time, value=value)
+    if last_epoch is None:
+        last_epoch = d_epochs.agg(F.max(epoch)).scalar()
+    return merge_snapshots(snaps, n_epochs, last_window=last_epoch - (n_epochs - 1),
+                           epoch=epoch, site=site, time=time, value=value)

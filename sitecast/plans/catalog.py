@@ -130,7 +130,8 @@ def q_epoch_merge(spark, sf_dir):
     first_day = r.agg(F.min(F.to_date("modified_time"))).scalar()
     r = r.withColumn("epoch", F.datediff(F.to_date("modified_time"), first_day))
     d_e = dedup.keep_latest(r, ("epoch", "site_id", "measurement_time"), ("modified_time", "event_id"))
-    return reshape.epoch_merge(d_e, n_epochs=N_EPOCHS)
+    last_epoch = r.where(F.col("measurement_time").isNotNull()).agg(F.max("epoch")).scalar()
+    return reshape.epoch_merge(d_e, n_epochs=N_EPOCHS, last_epoch=last_epoch)
 
 
 # -- 4: windows, split, AR, holdout error -----------------------------------

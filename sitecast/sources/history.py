@@ -38,7 +38,7 @@ HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
 
 
 def _with_stats(df: DataFrame) -> DataFrame:
-    base = df.drop("avg_vehicle_flow_rate", "std_vehicle_flow_rate")
+    base = df.drop("avg_vehicle_flow_rate", "std_vehicle_flow_rate", "data_quality_categorical")
     return (lookup_join(base, slot_aggregates(base), "measurement_time", "left")
             .withColumn("data_quality_categorical", quality_flag()))
 
@@ -57,26 +57,44 @@ def prepare_batch(batch: DataFrame, keys: Sequence[str] = KEY,
     return d.withColumn(DATE_COL, F.to_date("measurement_time"))
 
 
+def touched_dates(batch: DataFrame) -> list:
+    """Date partitions a batch touches: bounded by the days in one batch."""
+    return [r[0] for r in batch.where(F.col("measurement_time").isNotNull())
+            .select(F.to_date("measurement_time").alias("d")).distinct().collect()]
+
+
+def _write_partitions(df: DataFrame, path: str, shuffle: bool = True) -> None:
+    # Hash by (date, site): a date holding a third of the rows is still
+    # written by many tasks. Data read back from the stage is already laid
+    # out by date, so the final write needs no shuffle.
+    if shuffle:
+        df = df.repartition(DATE_COL, "site_id").sortWithinPartitions("measurement_time", "site_id")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DATE_COL).parquet(path))
+
+
 def upsert(spark: SparkSession, batch: DataFrame, path: str, epoch_id: int | str = 0,
            keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST,
            stats_scope: str = "merged") -> None:
-    b = prepare_batch(batch, keys, order, stats_scope)
-    # Bounded by the number of days in one batch, not by its rows.
-    touched = [r[0] for r in b.select(DATE_COL).distinct().collect()]
+    touched = touched_dates(batch)
     if not touched:
         return
+    b = prepare_batch(batch, keys, order, stats_scope)
     if path_exists(spark, path):
         existing = spark.read.parquet(path).where(F.col(DATE_COL).isin(touched))
         merged = keep_latest(existing.unionByName(b, allowMissingColumns=True), keys, order)
     else:
         merged = b
-    if stats_scope == "merged":
-        merged = _with_stats(merged)
+    # The stage holds the merged touched partitions: it cuts the lineage (the
+    # table is never overwritten while being read) and is what a retry of
+    # this epoch reapplies. Statistics are then computed from the stage, so
+    # the merge runs once.
     stage = f"{path}/_staging/epoch={epoch_id}"
-    (merged.repartition(DATE_COL).sortWithinPartitions("measurement_time", "site_id")
-     .write.mode("overwrite").partitionBy(DATE_COL).parquet(stage))
-    (spark.read.parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(path))
+    _write_partitions(merged, stage)
+    staged = spark.read.parquet(stage)
+    if stats_scope == "merged":
+        staged = _with_stats(staged)
+    _write_partitions(staged, path, shuffle=False)
     delete_path(spark, stage)
 
 
