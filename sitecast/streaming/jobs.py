@@ -53,10 +53,22 @@ def event_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1)
             .parquet(f"{landing}/chunk=*/*.parquet"))
 
 
-def _run(writer, checkpoint: str, available_now: bool = True):
+def _run(writer, checkpoint: str, available_now: bool = True, state_partitions: int | None = None):
+    """Start a query with an explicit checkpoint. For stateful queries the
+    number of state partitions is fixed at the first start (then kept by the
+    checkpoint); it defaults to the cluster's parallelism rather than to the
+    batch shuffle setting, which sizes shuffles, not state stores."""
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=PROCESSING_TIME)
-    q = w.start()
+    spark = SparkSession.getActiveSession()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions is not None:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     if available_now:
         q.awaitTermination()
         if q.exception() is not None:
@@ -64,6 +76,11 @@ def _run(writer, checkpoint: str, available_now: bool = True):
     return q
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State stores per stateful operator: one per core of the cluster."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
 # -- X1, X4-X6, S13: the history upsert stream --------------------------------
 
 def run_upsert_stream(spark: SparkSession, landing: str, history_path: str, checkpoint: str,
@@ -109,7 +126,7 @@ def q_stream_dedup(spark, sf_dir, watermark: str = "60 days"):
            .dropDuplicatesWithinWatermark(["site_id", "measurement_time"])
            .select("site_id", "measurement_time"))
     _run(src.writeStream.format("parquet").option("path", out).outputMode("append"),
-         scratch_path(spark, "ckpt"))
+         scratch_path(spark, "ckpt"), state_partitions=state_partitions(spark))
     return spark.read.parquet(out)
 
 
@@ -131,7 +148,8 @@ def q_stream_slot_stats(spark, sf_dir):
                       F.round("_std", 6).alias("std_vehicle_flow_rate"), "n_readings")
          .write.mode("overwrite").parquet(out))
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(publish), scratch_path(spark, "ckpt"))
+    _run(agg.writeStream.outputMode("complete").foreachBatch(publish), scratch_path(spark, "ckpt"),
+         state_partitions=state_partitions(spark))
     return spark.read.parquet(out)
 
 
