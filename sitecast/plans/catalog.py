@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sitecast.functions.columns import format_time, parse_time_strict
 from sitecast.operators import dedup, features, forecast, reshape, series, stats
 from sitecast.operators.joins import lookup_join
+from sitecast.session import cut_lineage
 from sitecast.sources import ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,10 +206,16 @@ def versions_in_memory(spark, sf_dir, n_versions: int = N_VERSIONS) -> DataFrame
     slot is at or before that cut-off."""
     r = tables.readings(spark, sf_dir)
     newest = r.agg(F.max("measurement_time")).scalar()
+    # Dedup is keyed by slot, so deduplicating once and filtering each
+    # version by its cut-off equals deduplicating each version's input. The
+    # checkpoint keeps Catalyst from pushing the cut-offs below the dedup
+    # (which would run it once per version).
+    d = cut_lineage(dedup.dedup_latest(r.select(
+        "event_id", "site_id", "measurement_time", "modified_time", "vehicle_flow_rate")))
     parts = []
     for v in range(1, n_versions + 1):
         cutoff = F.timestamp_add("HOUR", F.lit(v - n_versions), newest)
-        dv = dedup.dedup_latest(r.where(F.col("measurement_time") <= cutoff))
+        dv = d.where(F.col("measurement_time") <= cutoff)
         fv = forecast.forecast_table(dv, window=WINDOW, steps=STEPS, history=HISTORY,
                                      actual_k=STEPS, min_history=HISTORY)
         parts.append(fv.withColumn("version", F.lit(v)))

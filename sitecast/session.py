@@ -89,3 +89,10 @@ def env_int(name: str, default: int) -> int:
     except ValueError:
         return default
 
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared folder (never a local one): the
+    plan runs once, later jobs read the written data, and the data survives
+    the loss of the executors that computed it."""
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)
