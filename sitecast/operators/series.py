@@ -24,6 +24,19 @@ def site_series(forecasts: DataFrame) -> DataFrame:
                     F.row_number().over(w).alias("point_index")))
 
 
+def select_series(forecasts: DataFrame, site_id=None, type_=None, forecast_type=None) -> DataFrame:
+    """The equality filters of a chart (site, Actual/Prediction,
+    forecaster), each optional, as plain predicates."""
+    df = label_types(forecasts)
+    if site_id is not None:
+        df = df.where(F.col("site_id") == F.lit(site_id))
+    if type_ is not None:
+        df = df.where(F.col("type") == F.lit(type_))
+    if forecast_type is not None:
+        df = df.where(F.col("forecast_type") == F.lit(forecast_type))
+    return df.select("measurement_time", "vehicle_flow_rate", "type", "forecast_type").orderBy("measurement_time")
+
+
 def chart_series(forecasts: DataFrame) -> DataFrame:
     """One row per (site, type, forecaster) with x/y lists sorted by
     time. Structs are collected so null values keep their place."""

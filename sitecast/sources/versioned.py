@@ -69,3 +69,10 @@ def append_loss(loss: DataFrame, root: str, version: int) -> None:
 
 def read_loss(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/loss")
+
+
+def export_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """One output file, for small exports only (a chart extract, a
+    report). ``coalesce(1)`` funnels everything through one task, so the
+    pipeline's own tables are written partitioned instead."""
+    df.coalesce(1).write.mode("overwrite").format(fmt).save(path)

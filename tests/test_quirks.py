@@ -202,3 +202,12 @@ def test_unreadable_history_is_an_error_not_a_bootstrap(spark, tmp_path):
     with pytest.raises(Exception):
         history.upsert(spark, b, str(path), epoch_id=0)
     assert (path / "measurement_date=2024-01-01" / "part-0.parquet").read_bytes() == b"not parquet"
+
+
+def test_series_filters(spark):
+    from sitecast.operators import series
+    f = spark.createDataFrame(
+        [(1, ts(0), 1.0, "actual"), (1, ts(1), 2.0, "moving_avg"), (2, ts(0), 3.0, "actual")],
+        "site_id int, measurement_time timestamp_ntz, vehicle_flow_rate double, forecast_type string")
+    got = series.select_series(f, site_id=1, type_="Prediction").collect()
+    assert [(r.vehicle_flow_rate, r.forecast_type) for r in got] == [(2.0, "moving_avg")]
