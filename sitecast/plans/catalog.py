@@ -109,8 +109,15 @@ def q_gap_census(spark, sf_dir):
         features.latest_n_per_site(_d(spark, sf_dir), HISTORY)))
 
 
+def _slot_labels(spark, sf_dir):
+    # Dedup keeps every (site, slot) pair, so the slot labels of the raw
+    # readings are those of the deduplicated table: a pruned scan and a
+    # partial distinct instead of a dedup.
+    return reshape.slot_labels(tables.readings(spark, sf_dir).select("measurement_time"))
+
+
 def q_pivot_sites(spark, sf_dir):
-    return reshape.pivot_sites(_d(spark, sf_dir))
+    return reshape.pivot_sites(_d(spark, sf_dir), _slot_labels(spark, sf_dir))
 
 
 def q_pivot_strict(spark, sf_dir):
@@ -119,7 +126,7 @@ def q_pivot_strict(spark, sf_dir):
 
 
 def q_unpivot_sites(spark, sf_dir):
-    return reshape.unpivot_sites(reshape.pivot_sites(_d(spark, sf_dir)))
+    return reshape.unpivot_sites(reshape.pivot_sites(_d(spark, sf_dir), _slot_labels(spark, sf_dir)))
 
 
 def q_recent_actuals(spark, sf_dir):

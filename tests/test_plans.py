@@ -41,3 +41,13 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
     lines = p.splitlines()
     exch = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
     assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[exch:])
+
+
+BATCH = [n for n in E.oracle_sql() if not n.startswith("stream_")
+         and n not in {"upsert_merge", "ingest_xml", "versioned_read", "forecast_dedup_last"}]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_cross_join(spark, name):
+    p = plan(E.queries()[name](spark, SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
