@@ -63,12 +63,22 @@ def touched_dates(batch: DataFrame) -> list:
             .select(F.to_date("measurement_time").alias("d")).distinct().collect()]
 
 
-def _write_partitions(df: DataFrame, path: str, shuffle: bool = True) -> None:
-    # Hash by (date, site): a date holding a third of the rows is still
-    # written by many tasks. Data read back from the stage is already laid
-    # out by date, so the final write needs no shuffle.
+# Above this many touched dates a write is shuffled by (date, site) first.
+MANY_DATES = 4
+
+
+def _write_partitions(df: DataFrame, path: str, sort: bool = True, shuffle: bool = False) -> None:
+    # The merged rows are already spread by the dedup's (site, slot) hash, so
+    # a hot date is written by many tasks either way. A micro-batch touching
+    # one or two dates is written straight from those partitions (each task
+    # opens few files, no extra shuffle); a backfill touching many dates is
+    # shuffled by (date, site) so a task does not open a file per date. The
+    # local sort keeps one open writer per task. Data read back from the stage
+    # is already laid out by date.
     if shuffle:
-        df = df.repartition(DATE_COL, "site_id").sortWithinPartitions("measurement_time", "site_id")
+        df = df.repartition(DATE_COL, "site_id")
+    if sort:
+        df = df.sortWithinPartitions(DATE_COL, "measurement_time", "site_id")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(DATE_COL).parquet(path))
 
@@ -90,11 +100,11 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, epoch_id: int | str
     # this epoch reapplies. Statistics are then computed from the stage, so
     # the merge runs once.
     stage = f"{path}/_staging/epoch={epoch_id}"
-    _write_partitions(merged, stage)
+    _write_partitions(merged, stage, shuffle=len(touched) > MANY_DATES)
     staged = spark.read.parquet(stage)
     if stats_scope == "merged":
         staged = _with_stats(staged)
-    _write_partitions(staged, path, shuffle=False)
+    _write_partitions(staged, path, sort=False)
     delete_path(spark, stage)
 
 
