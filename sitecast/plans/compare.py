@@ -39,14 +39,25 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark type -> the DuckDB type of the same column.
+DUCK_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+              "FloatType()": "FLOAT", "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP",
+              "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
 def compare(df, con, oracle: str) -> dict:
     rows = [tuple(r) for r in df.collect()]
     res = con.sql(oracle)
     ocols, orows = res.columns, res.fetchall()
     h1, l1 = digest(df.columns, rows)
     h2, l2 = digest(ocols, orows)
+    stypes = {f.name: DUCK_TYPES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    otypes = {c: str(t) for c, t in zip(ocols, res.types)}
     out = {"rows": len(rows), "oracle_rows": len(orows),
-           "names": sorted(df.columns) == sorted(ocols), "hash": h1 == h2}
+           "names": sorted(df.columns) == sorted(ocols), "hash": h1 == h2,
+           "types": stypes == otypes}
+    if not out["types"]:
+        out["type_diff"] = {c: (stypes[c], otypes.get(c)) for c in stypes if stypes[c] != otypes.get(c)}
     if not out["hash"]:
         out["diff"] = sorted(set(l1) ^ set(l2))[:4]
     return out

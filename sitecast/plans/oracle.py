@@ -338,7 +338,8 @@ EPOCH_MERGE_SQL = sql(READINGS, """r AS (
   WHERE window_id >= 0 AND window_id <= (SELECT max(epoch) - {C.N_EPOCHS - 1} FROM cells)
   GROUP BY window_id, site_id, measurement_time)""",
     """wm AS (SELECT window_id, measurement_time, avg(v) AS m FROM merged GROUP BY window_id, measurement_time)""",
-    body="""SELECT ws.window_id, ws.site_id, wm.measurement_time, round(coalesce(x.v, wm.m, 0), 6) AS vehicle_flow_rate
+    body="""SELECT CAST(ws.window_id AS INTEGER) AS window_id, ws.site_id, wm.measurement_time,
+       round(coalesce(x.v, wm.m, 0), 6) AS vehicle_flow_rate
 FROM (SELECT DISTINCT window_id, site_id FROM merged) ws JOIN wm ON ws.window_id = wm.window_id
 LEFT JOIN merged x ON x.window_id = ws.window_id AND x.site_id = ws.site_id AND x.measurement_time = wm.measurement_time""")
 

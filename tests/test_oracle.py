@@ -21,7 +21,7 @@ def con():
 @pytest.mark.parametrize("name", BATCH)
 def test_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SMOKE), con, ORACLE[name])
-    assert res["names"] and res["rows"] == res["oracle_rows"] and res["hash"], res
+    assert res["names"] and res["types"] and res["rows"] == res["oracle_rows"] and res["hash"], res
 
 
 def test_every_query_is_registered_and_oracles_are_a_subset():

@@ -23,7 +23,7 @@ def con():
                                   "ingest_xml", "versioned_read"])
 def test_write_backed_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SMOKE), con, E.oracle_sql()[name])
-    assert res["names"] and res["rows"] == res["oracle_rows"] and res["hash"], res
+    assert res["names"] and res["types"] and res["rows"] == res["oracle_rows"] and res["hash"], res
 
 
 def _keys(df):
