@@ -196,17 +196,20 @@ def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
 
 # -- T8: forecast on new data -------------------------------------------------
 
-def q_stream_forecast(spark, sf_dir):
-    """Each epoch upserts the history, then forecasts only if the newest slot
-    moved since the last version (the new-data gate) and writes the next
-    version plus its loss rows."""
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
-    hist = scratch_path(spark, "history")
-    out = scratch_path(spark, "forecasts")
-
-    def step(batch: DataFrame, epoch_id: int) -> None:
-        history.upsert(spark, tables.events_to_readings(batch), hist, epoch_id)
+def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int | None = None):
+    """The per-cycle model step (T8): forecast only if the newest slot moved
+    since the last version (the new-data gate), then write the next version
+    and its loss rows.
+
+    ``lookback_days`` bounds the work of a cycle by reading only the newest
+    date partitions of the history (partition pruning): the AR fit then uses
+    a trailing window, and a site silent for longer gets no forecast. The
+    default reads the whole history, as the reference does."""
+    def step() -> None:
         d = history.read_history(spark, hist)
+        if lookback_days is not None:
+            newest_day = d.agg(F.max(history.DATE_COL)).first()[0]
+            d = d.where(F.col(history.DATE_COL) >= F.date_sub(F.lit(newest_day), lookback_days))
         newest = d.agg(F.max("measurement_time")).first()[0]
         if path_exists(spark, f"{out}/cutoffs"):
             seen = spark.read.parquet(f"{out}/cutoffs").agg(F.max("cutoff"), F.max("version")).first()
@@ -220,6 +223,19 @@ def q_stream_forecast(spark, sf_dir):
         versioned.append_loss(forecast.loss_history(d), out, version)
         (spark.createDataFrame([(version, newest)], "version int, cutoff timestamp_ntz")
          .write.mode("append").parquet(f"{out}/cutoffs"))
+    return step
+
+
+def q_stream_forecast(spark, sf_dir):
+    """Each epoch upserts the history, then runs the model step."""
+    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    hist = scratch_path(spark, "history")
+    out = scratch_path(spark, "forecasts")
+    model = forecast_step(spark, hist, out)
+
+    def step(batch: DataFrame, epoch_id: int) -> None:
+        history.upsert(spark, tables.events_to_readings(batch), hist, epoch_id)
+        model()
 
     _run(event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
     return versioned.read_versions(spark, out)

@@ -89,3 +89,18 @@ def test_single_file_export(spark, tmp_path):
     df = tables.readings(spark, SMOKE).repartition(4)
     versioned.export_single_file(df, str(tmp_path / "out"))
     assert len(list((tmp_path / "out").glob("part-*.parquet"))) == 1
+
+
+def test_forecast_step_gate_and_lookback(spark):
+    from sitecast.sources import versioned
+    hist, out = scratch_path(spark, "h"), scratch_path(spark, "f")
+    history.upsert(spark, tables.readings(spark, SMOKE), hist, 0)
+    full = jobs.forecast_step(spark, hist, out)
+    full()
+    full()                                  # newest slot unchanged: no new version
+    v = versioned.read_versions(spark, out)
+    assert [r.version for r in v.select("version").distinct().collect()] == [1]
+    out2 = scratch_path(spark, "f")
+    jobs.forecast_step(spark, hist, out2, lookback_days=15)()   # ~33 readings a site: past the warm-up gate
+    recent = versioned.read_versions(spark, out2).select("site_id").distinct().count()
+    assert 0 < recent <= v.select("site_id").distinct().count()
