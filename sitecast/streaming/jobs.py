@@ -53,14 +53,14 @@ def event_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1)
             .parquet(f"{landing}/chunk=*/*.parquet"))
 
 
-def _run(writer, checkpoint: str, available_now: bool = True, state_partitions: int | None = None):
+def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = True,
+         state_partitions: int | None = None):
     """Start a query with an explicit checkpoint. For stateful queries the
     number of state partitions is fixed at the first start (then kept by the
     checkpoint); it defaults to the cluster's parallelism rather than to the
     batch shuffle setting, which sizes shuffles, not state stores."""
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=PROCESSING_TIME)
-    spark = SparkSession.getActiveSession()
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     if state_partitions is not None:
@@ -104,7 +104,7 @@ def run_upsert_stream(spark: SparkSession, landing: str, history_path: str, chec
         finally:
             batch.unpersist()
 
-    return _run(src.writeStream.foreachBatch(merge), checkpoint, available_now)
+    return _run(spark, src.writeStream.foreachBatch(merge), checkpoint, available_now)
 
 
 def q_stream_upsert(spark, sf_dir):
@@ -125,7 +125,7 @@ def q_stream_dedup(spark, sf_dir, watermark: str = "60 days"):
            .withWatermark("_event_time", watermark)
            .dropDuplicatesWithinWatermark(["site_id", "measurement_time"])
            .select("site_id", "measurement_time"))
-    _run(src.writeStream.format("parquet").option("path", out).outputMode("append"),
+    _run(spark, src.writeStream.format("parquet").option("path", out).outputMode("append"),
          scratch_path(spark, "ckpt"), state_partitions=state_partitions(spark))
     return spark.read.parquet(out)
 
@@ -148,7 +148,7 @@ def q_stream_slot_stats(spark, sf_dir):
                       F.round("_std", 6).alias("std_vehicle_flow_rate"), "n_readings")
          .write.mode("overwrite").parquet(out))
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(publish), scratch_path(spark, "ckpt"),
+    _run(spark, agg.writeStream.outputMode("complete").foreachBatch(publish), scratch_path(spark, "ckpt"),
          state_partitions=state_partitions(spark))
     return spark.read.parquet(out)
 
@@ -168,7 +168,7 @@ def _write_snapshot(snap: DataFrame, root: str) -> None:
 def q_stream_snapshots(spark, sf_dir):
     landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
     root = scratch_path(spark, "epochs")
-    _run(event_stream(spark, landing).writeStream.foreachBatch(
+    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(
         lambda b, e: _write_snapshot(_snapshot(b, e), root)), scratch_path(spark, "ckpt"))
     return spark.read.parquet(f"{root}/snapshots")
 
@@ -190,7 +190,7 @@ def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("window_id").parquet(f"{root}/merged"))
 
-    _run(event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
+    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
     return spark.read.parquet(f"{root}/merged")
 
 
@@ -237,7 +237,7 @@ def q_stream_forecast(spark, sf_dir):
         history.upsert(spark, tables.events_to_readings(batch), hist, epoch_id)
         model()
 
-    _run(event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
+    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
     return versioned.read_versions(spark, out)
 
 
@@ -277,7 +277,7 @@ def q_stream_accumulate(spark, sf_dir):
         merged.write.mode("overwrite").parquet(stage)
         spark.read.parquet(stage).write.mode("overwrite").parquet(acc)
 
-    _run(src.writeStream.foreachBatch(merge), scratch_path(spark, "ckpt"))
+    _run(spark, src.writeStream.foreachBatch(merge), scratch_path(spark, "ckpt"))
     return spark.read.parquet(acc)
 
 
@@ -302,7 +302,7 @@ def q_stream_ingest(spark, sf_dir):
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(rejects)
 
     src = ingest.message_stream(spark, "files", landing, max_files_per_trigger=2)
-    _run(src.writeStream.foreachBatch(sink), scratch_path(spark, "ckpt"))
+    _run(spark, src.writeStream.foreachBatch(sink), scratch_path(spark, "ckpt"))
     return spark.read.parquet(out).drop("epoch")
 
 
