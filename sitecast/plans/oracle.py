@@ -5,6 +5,7 @@ assembled with ``sql()``."""
 from __future__ import annotations
 
 from sitecast.plans import catalog as C
+from sitecast.streaming import jobs as J
 
 K_TXT = "json_extract_string(props, '$.k')"
 
@@ -355,3 +356,69 @@ FROM readings GROUP BY measurement_time"""),
     "stream_accumulate": ORACLE["forecast_dedup_last"],
     "epoch_merge": EPOCH_MERGE_SQL,
 })
+
+
+def landed_ctes(n_files: int, overlap: float) -> list[str]:
+    """The landing of events as delivery chunks (epoch = chunk), as
+    ``streaming.jobs.land_events`` writes it."""
+    return [f"""bounds AS (SELECT min(ts) AS lo, greatest((epoch_us(max(ts)) - epoch_us(min(ts))) // {n_files}, 1) AS span
+                FROM events)""",
+            """pos AS (SELECT e.*, (epoch_us(e.ts) - epoch_us(b.lo)) / b.span AS pos FROM events e, bounds b)""",
+            f"""ch AS (SELECT * EXCLUDE (pos), pos, least(floor(pos), {n_files - 1}) AS chunk FROM pos)""",
+            f"""landed AS (
+  SELECT * EXCLUDE (pos, chunk), CAST(chunk AS INTEGER) AS epoch FROM ch
+  UNION ALL
+  SELECT * EXCLUDE (pos, chunk), CAST(chunk - 1 AS INTEGER) AS epoch FROM ch WHERE chunk > 0 AND pos - chunk < {overlap})""",
+            READINGS.replace("SELECT event_id,", "SELECT epoch, event_id,", 1).replace("FROM events)", "FROM landed)"),
+            """de AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY epoch, site_id, measurement_time
+                                 ORDER BY modified_time DESC, event_id DESC) AS rn FROM readings) WHERE rn = 1)""",
+            """cells AS (SELECT epoch, site_id, measurement_time, CAST(vehicle_flow_rate AS DOUBLE) AS v
+             FROM de WHERE measurement_time IS NOT NULL)""",
+            """sm AS (SELECT epoch, measurement_time, avg(v) AS m FROM cells GROUP BY epoch, measurement_time)""",
+            """snap AS (
+  SELECT ss.epoch, ss.site_id, sm.measurement_time, round(coalesce(c.v, sm.m, 0), 6) AS v
+  FROM (SELECT DISTINCT epoch, site_id FROM cells) ss JOIN sm ON ss.epoch = sm.epoch
+  LEFT JOIN cells c ON c.epoch = ss.epoch AND c.site_id = ss.site_id AND c.measurement_time = sm.measurement_time)"""]
+
+
+def stream_window_sql(n_files: int, overlap: float, n_epochs: int) -> str:
+    return sql(*landed_ctes(n_files, overlap),
+               f"""tagged AS (SELECT epoch, site_id, measurement_time, v,
+                      unnest(generate_series(epoch - {n_epochs - 1}, epoch)) AS window_id FROM snap)""",
+               f"""merged AS (
+  SELECT window_id, site_id, measurement_time, arg_max(v, epoch) AS v FROM tagged
+  WHERE window_id >= 0 AND window_id <= {n_files - n_epochs}
+  GROUP BY window_id, site_id, measurement_time)""",
+               """wm AS (SELECT window_id, measurement_time, avg(v) AS m FROM merged GROUP BY window_id, measurement_time)""",
+               body="""SELECT CAST(ws.window_id AS INTEGER) AS window_id, ws.site_id, wm.measurement_time,
+       round(coalesce(x.v, wm.m, 0), 6) AS vehicle_flow_rate
+FROM (SELECT DISTINCT window_id, site_id FROM merged) ws JOIN wm ON ws.window_id = wm.window_id
+LEFT JOIN merged x ON x.window_id = ws.window_id AND x.site_id = ws.site_id AND x.measurement_time = wm.measurement_time""")
+
+
+def stream_forecast_sql(n_files: int, overlap: float) -> str:
+    """Version v = the forecast table over the history after epoch v - 1
+    (newest delivery per key over chunks 0..v-1). In this landing every
+    chunk moves the newest slot, so every epoch passes the new-data gate."""
+    ctes = landed_ctes(n_files, overlap)[:5]
+    parts = []
+    for e in range(n_files):
+        ctes.append(f"""h{e} AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY site_id, measurement_time
+                                 ORDER BY modified_time DESC, event_id DESC) AS rn
+    FROM readings WHERE epoch <= {e}) WHERE rn = 1)""")
+        ctes += forecasts_ctes(f"h{e}", f"fc{e}")
+        parts.append(f"SELECT *, {e + 1} AS version FROM fc{e}")
+    return sql(*ctes, body=" UNION ALL ".join(parts))
+
+
+ORACLE.update({
+    "stream_snapshots": sql(*landed_ctes(J.N_FILES, J.OVERLAP), body="""SELECT site_id, measurement_time,
+       v AS vehicle_flow_rate, epoch FROM snap"""),
+    "stream_epoch_window": stream_window_sql(J.N_FILES, J.OVERLAP, C.N_EPOCHS),
+    "stream_forecast": stream_forecast_sql(J.N_FILES, J.OVERLAP),
+})
+

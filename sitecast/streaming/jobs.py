@@ -21,27 +21,40 @@ from sitecast.sources import history, ingest, tables, versioned
 
 PROCESSING_TIME = "5 minutes"   # reference trigger period
 N_EPOCHS = 4                    # epoch merge width
+N_FILES = 6                     # delivery chunks landed for the stream queries
+OVERLAP = 0.3                   # share of the next chunk delivered again
 
 
 # -- landing ------------------------------------------------------------------
 
+def chunk_span_us(lo, hi, n_files: int) -> int:
+    """Microseconds per delivery chunk, in exact integer arithmetic."""
+    delta = hi - lo
+    total = (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
+    return max(total // n_files, 1)
+
+
 def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: float = 0.0,
                 root: str | None = None) -> str:
-    """Write ``events`` as ``n_files`` consecutive delivery chunks (by event
-    time); each chunk also re-delivers the first ``overlap`` fraction of the
-    next one. One Spark write; returns the landing directory."""
+    """Land ``events`` as ``n_files`` consecutive delivery chunks (by event
+    time), one file per chunk, written in chunk order. Each chunk also
+    re-delivers the first ``overlap`` fraction of the next one. A file stream
+    reading one file per trigger then sees chunk ``c`` as epoch ``c``.
+    Returns the landing directory."""
     ev = tables.table(spark, sf_dir, "events")
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
-    span_us = max(int((hi - lo).total_seconds() * 1e6) // n_files, 1)
+    span_us = chunk_span_us(lo, hi, n_files)
     start = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
     pos = F.timestamp_diff("MICROSECOND", start, F.col("ts")) / F.lit(span_us)
     chunk = F.least(F.floor(pos), F.lit(n_files - 1)).cast("int")
     # a row in the head of chunk c (c > 0) is delivered again with chunk c-1
-    redelivered = (chunk > 0) & (pos - F.floor(pos) < F.lit(overlap))
+    redelivered = (chunk > 0) & (pos - chunk < F.lit(overlap))
     chunks = F.when(redelivered, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
     landed = ev.withColumn("chunk", F.explode(chunks))
     root = root or scratch_path(spark, "landing")
-    (landed.repartition("chunk").write.mode("overwrite").partitionBy("chunk").parquet(root))
+    for c in range(n_files):
+        (landed.where(F.col("chunk") == c).drop("chunk").coalesce(1)
+         .write.mode("overwrite").parquet(f"{root}/chunk={c}"))
     return root
 
 
@@ -108,7 +121,7 @@ def run_upsert_stream(spark: SparkSession, landing: str, history_path: str, chec
 
 
 def q_stream_upsert(spark, sf_dir):
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     hist = scratch_path(spark, "history")
     run_upsert_stream(spark, landing, hist, scratch_path(spark, "ckpt"))
     return history.read_history(spark, hist)
@@ -118,7 +131,7 @@ def q_stream_upsert(spark, sf_dir):
 
 def q_stream_dedup(spark, sf_dir, watermark: str = "60 days"):
     """Keys seen, deduplicated inside the stream with bounded state."""
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     out = scratch_path(spark, "dedup-out")
     src = (tables.events_to_readings(event_stream(spark, landing))
            .withColumn("_event_time", F.col("modified_time").cast("timestamp"))
@@ -136,7 +149,7 @@ def q_stream_slot_stats(spark, sf_dir):
     """Running per-slot mean/std over everything delivered (complete mode;
     state is one aggregate buffer per slot). Each epoch replaces the output
     table with the current totals."""
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.0)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=0.0)
     out = scratch_path(spark, "slot-stats")
     agg = (tables.events_to_readings(event_stream(spark, landing))
            .groupBy("measurement_time")
@@ -166,7 +179,7 @@ def _write_snapshot(snap: DataFrame, root: str) -> None:
 
 
 def q_stream_snapshots(spark, sf_dir):
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     root = scratch_path(spark, "epochs")
     _run(spark, event_stream(spark, landing).writeStream.foreachBatch(
         lambda b, e: _write_snapshot(_snapshot(b, e), root)), scratch_path(spark, "ckpt"))
@@ -176,7 +189,7 @@ def q_stream_snapshots(spark, sf_dir):
 def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
     """From epoch n-1 on, merge the snapshots of the last n epochs (newest
     epoch wins per cell, slot-mean fill) and write it under window = id-n+1."""
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     root = scratch_path(spark, "epochs")
 
     def step(batch: DataFrame, epoch_id: int) -> None:
@@ -228,7 +241,7 @@ def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int |
 
 def q_stream_forecast(spark, sf_dir):
     """Each epoch upserts the history, then runs the model step."""
-    landing = land_events(spark, sf_dir, n_files=6, overlap=0.3)
+    landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     hist = scratch_path(spark, "history")
     out = scratch_path(spark, "forecasts")
     model = forecast_step(spark, hist, out)

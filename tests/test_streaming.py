@@ -19,7 +19,8 @@ def con():
 
 
 @pytest.mark.parametrize("name", ["stream_upsert", "stream_dedup", "stream_slot_stats",
-                                  "stream_ingest", "stream_accumulate", "upsert_merge",
+                                  "stream_ingest", "stream_accumulate", "stream_snapshots",
+                                  "stream_epoch_window", "stream_forecast", "upsert_merge",
                                   "ingest_xml", "versioned_read"])
 def test_write_backed_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SMOKE), con, E.oracle_sql()[name])
