@@ -50,11 +50,14 @@ def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: flo
     # a row in the head of chunk c (c > 0) is delivered again with chunk c-1
     redelivered = (chunk > 0) & (pos - chunk < F.lit(overlap))
     chunks = F.when(redelivered, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-    landed = ev.withColumn("chunk", F.explode(chunks))
+    landed = ev.withColumn("chunk", F.explode(chunks)).persist()   # read by every chunk write
     root = root or scratch_path(spark, "landing")
-    for c in range(n_files):
-        (landed.where(F.col("chunk") == c).drop("chunk").coalesce(1)
-         .write.mode("overwrite").parquet(f"{root}/chunk={c}"))
+    try:
+        for c in range(n_files):
+            (landed.where(F.col("chunk") == c).drop("chunk").coalesce(1)
+             .write.mode("overwrite").parquet(f"{root}/chunk={c}"))
+    finally:
+        landed.unpersist()
     return root
 
 
