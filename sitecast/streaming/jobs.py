@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.operators import dedup, forecast, reshape, stats
+from sitecast.operators import dedup, forecast, reshape
 from sitecast.session import path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
 
