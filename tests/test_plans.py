@@ -51,3 +51,21 @@ BATCH = [n for n in E.oracle_sql() if not n.startswith("stream_")
 def test_no_cross_join(spark, name):
     p = plan(E.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_lookup_join_falls_back_to_a_shuffle_join_above_the_bound(spark):
+    from sitecast.operators.joins import lookup_join
+    from sitecast.operators.stats import slot_aggregates
+    from sitecast.sources import tables
+    r = tables.readings(spark, SMALL)
+    small = slot_aggregates(r)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = lookup_join(r, small, "measurement_time", "left", max_rows=0)
+        under = lookup_join(r, small, "measurement_time", "left")
+        assert "BroadcastHashJoin" not in plan(over)
+        assert "BroadcastHashJoin" in plan(under)
+        key = lambda df: sorted(map(tuple, df.select("event_id", "avg_vehicle_flow_rate").collect()))
+        assert key(over) == key(under)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
