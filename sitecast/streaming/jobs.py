@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.operators import dedup, forecast, reshape
+from sitecast.operators import dedup, forecast, reshape, stats
 from sitecast.session import path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
 
@@ -312,8 +312,12 @@ def q_stream_ingest(spark, sf_dir):
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         good, bad = ingest.valid_messages(ingest.parse_json(batch))
-        good.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
+        # The batch's row count is observed while it is written (no extra job)
+        good, obs = stats.observed_metrics(good.withColumn("epoch", F.lit(epoch_id)))
+        good.write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out)
+        (spark.createDataFrame([(epoch_id, obs.get["n_rows"])], "epoch long, n_rows long")
+         .write.mode("overwrite").parquet(f"{out}_metrics/epoch={epoch_id}"))
         bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(rejects)
 

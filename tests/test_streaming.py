@@ -105,3 +105,13 @@ def test_forecast_step_gate_and_lookback(spark):
     jobs.forecast_step(spark, hist, out2, lookback_days=15)()   # ~33 readings a site: past the warm-up gate
     recent = versioned.read_versions(spark, out2).select("site_id").distinct().count()
     assert 0 < recent <= v.select("site_id").distinct().count()
+
+
+def test_ingest_stream_records_batch_metrics(spark):
+    import glob
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/sitecast/ingested-*_metrics"))
+    out = E.queries()["stream_ingest"](spark, SMOKE)
+    new = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/sitecast/ingested-*_metrics")) - before
+    assert len(new) == 1
+    m = spark.read.parquet(new.pop())
+    assert m.agg(F.sum("n_rows")).first()[0] == out.count()
