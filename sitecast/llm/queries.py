@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sitecast.llm import q_bpe, q_counts, q_quality, q_tokens
+from sitecast.llm import q_bpe, q_counts, q_join, q_quality, q_tokens
 
-MODULES = (q_tokens, q_bpe, q_quality, q_counts)
+MODULES = (q_tokens, q_bpe, q_join, q_quality, q_counts)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
