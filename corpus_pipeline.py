@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecast.llm import bpe
+from sitecast.llm import bpe, decontam, ngram_join, quality
 from sitecast.llm.common import store, table
 from sitecast.llm.q_bpe import RANKS
 
@@ -20,7 +20,23 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("encode", encode_stage)]
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
+
+def join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return ngram_join.keep_one(docs)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within the error budget go."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+STAGES = [("quality", quality_stage), ("near_duplicates", join_stage),
+          ("decontaminate", decontaminate_stage), ("encode", encode_stage)]
 
 #: The last stage runs pair merges, which SQL cannot express; tests compare the
 #: pipeline with a brute-force version.
