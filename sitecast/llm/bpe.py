@@ -21,14 +21,13 @@ import base64
 import functools
 import heapq
 import unicodedata
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sitecast.llm.common import keyed_text, sub_batches
+from sitecast.llm.common import keyed_text, mix64, rolling_hashes, sub_batches
 
 OTHER, LETTER, NUMBER, SPACE_CLS = 0, 1, 2, 3
 
@@ -84,6 +83,8 @@ def _transitions() -> tuple[np.ndarray, np.ndarray]:
 
 
 NEXT, CUT = _transitions()
+#: The function of two symbols in a row, flat: [first, second, state].
+NEXT_TWO = NEXT[np.arange(17)[None, :, None], NEXT[:, None, :]].ravel()
 
 
 @functools.lru_cache(1)
@@ -128,16 +129,17 @@ def scan_states(sym: np.ndarray) -> np.ndarray:
     """State before each symbol: the prefix composition of the transition
     functions, applied to START."""
     n = len(sym)
-    width = max(1, min(4096, n // 64))
-    steps = -(-n // width)
+    width = max(1, min(8192, n // 64))
+    steps = -(-n // (2 * width)) * 2
     padded = np.full(width * steps, IDENTITY, np.uint8)
     padded[:n] = sym
     cols = np.ascontiguousarray(padded.reshape(width, steps).T)  # one row per step
     flat = NEXT.ravel()
     base = cols * np.uint8(N_STATES)
+    twos = (cols[::2].astype(np.uint16) * np.uint16(17) + cols[1::2]) * np.uint16(N_STATES)
     fn = np.tile(np.arange(N_STATES, dtype=np.uint8), (width, 1))
-    for j in range(steps):  # compose inside every block at once
-        fn = flat[base[j][:, None] + fn]
+    for row in twos:  # compose inside every block at once, two symbols a step
+        fn = NEXT_TWO.take(row[:, None] + fn)
     d = 1
     while d < width:  # inclusive doubling scan over the block functions
         fn[d:] = np.take_along_axis(fn[d:], fn[:-d].copy(), axis=1)
@@ -147,7 +149,7 @@ def scan_states(sym: np.ndarray) -> np.ndarray:
     out = np.empty((steps, width), np.uint8)
     for j in range(steps):
         out[j] = state
-        state = flat[base[j] + state]
+        state = flat.take(base[j] + state)
     return out.T.ravel()[:n]
 
 
@@ -244,47 +246,89 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class CachedEncoder:
-    """Encodes UTF-8 texts, merging each distinct match once. The cache holds
-    at most ``max_words`` matches and starts over when it is full."""
+    """Encodes UTF-8 texts, merging each distinct match once.
 
-    def __init__(self, encode_words: Callable[[list[bytes]], list[list[int]]], max_words: int = 300_000):
+    The cache is a direct-mapped table in numpy: a match's 64-bit hash picks the
+    slot, and the hash, the length and the first eight bytes must agree. Matches
+    that are not there are encoded together and take over their slots. The
+    cache starts over after ``max_words`` distinct matches."""
+
+    SLOTS = 1 << 21
+
+    def __init__(self, encode_words: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 max_words: int = 1_000_000):
         self.encode_words, self.max_words = encode_words, max_words
         self.reset()
 
     def reset(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.flat, self.ptr = array("I"), array("q", [0])
+        self.hash = np.zeros(self.SLOTS, np.uint64)
+        self.head = np.zeros(self.SLOTS, np.uint64)
+        self.word = np.full(self.SLOTS, -1, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.ptr, self.words = np.zeros(1 << 16, np.int64), 0
+
+    def add(self, pieces: list[bytes]) -> None:
+        ids, count = self.encode_words(pieces)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.words + len(count) + 1 > len(self.ptr):
+            self.ptr = np.concatenate([self.ptr, np.zeros_like(self.ptr)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.ptr[self.words + 1:self.words + 1 + len(count)] = self.used + np.cumsum(count)
+        self.used += len(ids)
+        self.words += len(count)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, one after the other, and each text's bounds."""
         starts = pretokens(data, bounds)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        raw, s = data.tobytes(), starts.tolist()
-        pieces = [raw[a:b] for a, b in zip(s, [*s[1:], len(raw)])]
-        if len(self.words) > self.max_words:
+        ends = np.append(starts[1:], len(data))
+        if self.words > self.max_words:
             self.reset()
-        get = self.words.get
-        wid = np.array([get(p, -1) for p in pieces], np.int64)
-        missing = np.flatnonzero(wid < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys(pieces[i] for i in missing))
-            for lo in range(0, len(new), 50_000):
-                part = new[lo:lo + 50_000]
-                for w, ids in zip(part, self.encode_words(part)):
-                    self.words[w] = len(self.ptr) - 1
-                    self.flat.extend(ids)
-                    self.ptr.append(len(self.flat))
-            for i in missing:
-                wid[i] = get(pieces[i])
-        flat, ptr = np.array(self.flat, np.uint32), np.array(self.ptr, np.int64)
-        count = ptr[wid + 1] - ptr[wid]
-        ends = np.cumsum(count)
-        ids = flat[np.arange(int(ends[-1])) + np.repeat(ptr[wid] - (ends - count), count)]
-        upto = np.concatenate([[0], ends])
+        h, head = span_hashes(data, starts, ends)
+        slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
+        wid = np.where((self.hash[slot] == h) & (self.head[slot] == head), self.word[slot], -1).astype(np.int64)
+        missing = np.flatnonzero(wid < 0)
+        if len(missing):
+            _, at, which = np.unique(h[missing] ^ mix64(head[missing]), return_index=True, return_inverse=True)
+            new = missing[at]
+            base = self.words
+            raw = data.tobytes()
+            self.add([raw[x:y] for x, y in zip(starts[new].tolist(), ends[new].tolist())])
+            wid[missing] = base + which
+            # the last of several new matches in one slot stays there, whole
+            keep = np.full(self.SLOTS if len(new) > self.SLOTS // 8 else 0, -1, np.int64)
+            order = slot[new]
+            if len(keep):
+                keep[order] = np.arange(len(new))
+                own = keep[order] == np.arange(len(new))
+            else:
+                last = dict(zip(order.tolist(), range(len(new))))
+                own = np.zeros(len(new), bool)
+                own[list(last.values())] = True
+            put = order[own]
+            self.hash[put], self.head[put] = h[new][own], head[new][own]
+            self.word[put] = (base + np.arange(len(new)))[own]
+        begin = self.ptr[wid]
+        count = self.ptr[wid + 1] - begin
+        stop = np.cumsum(count)
+        ids = self.flat[np.arange(int(stop[-1])) + np.repeat(begin - (stop - count), count)]
+        upto = np.concatenate([[0], stop])
         return ids, upto[np.searchsorted(starts, bounds)]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each byte span, and its length mixed with its first eight bytes."""
+    h = mix64(rolling_hashes(data, starts, ends))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))[starts]
+    size = (ends - starts).astype(np.uint64)
+    shift = np.uint64(8) * (np.uint64(8) - np.minimum(size, np.uint64(8)))
+    return h, ((eight << shift) >> shift) + (size << np.uint64(56)) + size
+
+
 @functools.lru_cache(2)
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -294,7 +338,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 @functools.lru_cache(2)
 def rank_encoder(path: str) -> CachedEncoder:
     ranks = load_ranks(path)
-    return CachedEncoder(lambda words: [merge_pairs(w, ranks) for w in words])
+
+    def words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        merged = [merge_pairs(p, ranks) for p in pieces]
+        return np.array([i for m in merged for i in m], np.uint32), np.array([len(m) for m in merged], np.int64)
+
+    return CachedEncoder(words)
 
 
 @functools.lru_cache(2)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -22,8 +24,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Broadcast bound of ``among``: ids of 8 bytes.
+MAX_IDS = 1 << 21
+
 #: Bytes of text handled at a time inside a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -58,11 +63,57 @@ def store(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
+    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner see what is no longer referenced, so that the shuffle
+    files of finished steps go before the next step writes its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Fewer rows to an Arrow batch while steps with very wide rows run."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def among(df: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is (not) in the one column of ``ids``. Up to
+    MAX_IDS distinct ids are broadcast as a sorted array, so that wide rows need
+    no shuffle; beyond it, a semi (anti) join does the same."""
+    spark = df.sparkSession
+    ids = ids.toDF(key).where(F.col(key).isNotNull()).distinct()
+    n = ids.limit(MAX_IDS + 1).count()
+    if n > MAX_IDS:
+        return df.join(ids, key, "left_semi" if keep else "left_anti")
+    ship(spark)
+    wanted = np.sort(np.array([r[0] for r in ids.collect()], np.int64))
+    shared = spark.sparkContext.broadcast(wanted)
+    place = df.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = shared.value
+        for batch in batches:
+            column = batch.column(place)
+            values = column.fill_null(0).to_numpy()
+            at = np.minimum(np.searchsorted(have, values), max(0, len(have) - 1))
+            hit = (have[at] == values if len(have) else np.zeros(len(values), bool)) & ~column.is_null().to_numpy(False)
+            yield batch.filter(pa.array(hit if keep else ~hit))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def drop_stored(*tables: DataFrame) -> None:
     """Remove intermediate tables that nothing reads any more."""
     for t in tables:
@@ -119,6 +170,14 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each byte span, from one running sum."""
+    up, down = _power_tables(len(data) + 1)
+    acc = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[:len(data)], out=acc[1:])
+    return (acc[ends] - acc[starts]) * down[starts]
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the A-Z-lowered words of every text in ``data`` and the
     n+1 bounds of each text's words. Words never span two texts."""
@@ -134,8 +193,5 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     lasts = bounds[1:][bounds[:-1] < bounds[1:]] - 1
     closes[lasts] = inside[lasts]
     s, e = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    up, down = _power_tables(len(data) + 1)
-    acc = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * up[:len(data)], out=acc[1:])
-    h = (acc[e] - acc[s]) * down[s]
+    h = rolling_hashes(_LOWER[data], s, e)
     return mix64(h + (e - s).astype(np.uint64)), np.searchsorted(s, bounds)

@@ -4,7 +4,7 @@ code with separate control bytes.
 Every id is replaced by its frequency rank in the whole corpus, so the commonest
 256 ids take one data byte. A block holds a run of documents in ascending id
 order: one control byte for each four ids (two bits each: data bytes less one),
-then the data bytes, little-endian. Reading expands the control bytes by a
+then the data bytes, little-endian; zeros fill up the last four. Reading expands the control bytes by a
 256-row numpy table, and ranks become ids by one more lookup.
 
 A written dataset has three tables: ``blocks`` (part, block, doc_ids, lengths,
@@ -36,24 +36,19 @@ from sitecast.llm.common import drop_stored, keyed_text, store, sub_batches
 
 MAGIC = b"SVB1"
 _CODES = np.arange(256)
-#: Data bytes of the four ids that each control byte describes.
-LENGTHS = np.stack([(_CODES >> (2 * k)) % 4 + 1 for k in range(4)], axis=1).astype(np.int64)
+_LENGTHS = np.stack([(_CODES >> (2 * k)) % 4 + 1 for k in range(4)], axis=1)
+#: For each control byte, which of the 16 bytes of its four ids are stored.
+STORED = (np.arange(4) < _LENGTHS[:, :, None]).reshape(256, 16)
 
 
 def pack(values: np.ndarray) -> bytes:
     """Header, control bytes, data bytes of unsigned 32-bit values."""
-    v = values.astype(np.uint32)
-    size = 1 + (v > 0xFF).astype(np.int64) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    padded = np.ones(-(-len(v) // 4) * 4, np.int64)
-    padded[:len(v)] = size
-    control = ((padded.reshape(-1, 4) - 1) << np.array([0, 2, 4, 6])).sum(axis=1).astype(np.uint8)
-    ends = np.cumsum(size)
-    data = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    at = ends - size
-    for k in range(4):
-        has = size > k
-        data[at[has] + k] = (v[has] >> np.uint32(8 * k)).astype(np.uint8)
-    return MAGIC + len(v).to_bytes(4, "little") + control.tobytes() + data.tobytes()
+    v = np.zeros(-(-len(values) // 4) * 4, "<u4")
+    v[:len(values)] = values
+    code = (v > 0xFF).view(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
+    control = (code.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
+    data = v.view(np.uint8)[STORED[control].ravel()]
+    return MAGIC + len(values).to_bytes(4, "little") + control.tobytes() + data.tobytes()
 
 
 def unpack(block: bytes) -> np.ndarray:
@@ -63,16 +58,9 @@ def unpack(block: bytes) -> np.ndarray:
     n = int.from_bytes(block[4:8], "little")
     n_control = -(-n // 4)
     control = np.frombuffer(block, np.uint8, n_control, 8)
-    data = np.frombuffer(block, np.uint8, offset=8 + n_control)
-    size = LENGTHS[control].ravel()[:n]
-    at = np.cumsum(size) - size
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        has = size > k
-        if not has.any():
-            break
-        out[has] |= data[at[has] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out
+    out = np.zeros(16 * n_control, np.uint8)
+    out[STORED[control].ravel()] = np.frombuffer(block, np.uint8, offset=8 + n_control)
+    return out.view("<u4")[:n]
 
 
 @functools.lru_cache(2)
@@ -84,9 +72,39 @@ def library_encoder(path: str) -> CachedEncoder:
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def words(pieces: list[bytes]) -> list[list[int]]:
-        batch = t.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
-        return [e.ids for e in batch]
+    size = np.zeros(t.get_vocab_size(), np.int64)
+    for token, i in t.get_vocab().items():
+        size[i] = len(token)  # one character stands for one byte
+
+    # leading bytes of characters that are certainly no white space
+    solid = [33 <= b < 127 or 0xC3 <= b < 0xE1 or 0xE4 <= b for b in range(256)]
+
+    def alone(pieces: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in t.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)]
+
+    def words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Many matches go through the library as one text where that keeps
+        them apart: those that begin with a blank as they are, others that
+        begin with no white space each after a line break."""
+        text = [p if p[0] == 32 and len(p) > 1 and solid[p[1]] else b"\n" + p if solid[p[0]] else b""
+                for p in pieces]
+        odd = [k for k, x in enumerate(text) if not x]
+        ids = np.array(t.encode_batch_fast([b"".join(text).decode("utf-8")], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(size[ids])
+        bounds = np.cumsum([0, *map(len, text)])
+        cut = np.searchsorted(ends, bounds, side="right")
+        if not np.array_equal(np.append(0, ends)[cut], bounds):
+            raise ValueError("the tokenizer joined two matches")
+        lo, hi = cut[:-1] + np.array([x[:1] == b"\n" for x in text], np.int64), cut[1:]
+        extra = alone([pieces[k] for k in odd])
+        ids = np.concatenate([ids, np.array([i for e in extra for i in e], np.uint32)])
+        at = int(cut[-1])
+        for k, e in zip(odd, extra):
+            lo[k], hi[k] = at, at + len(e)
+            at += len(e)
+        count = hi - lo
+        stop = np.cumsum(count)
+        return ids[np.arange(int(stop[-1])) + np.repeat(lo - (stop - count), count)], count
 
     return CachedEncoder(words)
 
