@@ -40,11 +40,11 @@ def display_name(c="forecast_type") -> Column:
             .otherwise(col(c)))
 
 
-def strict_int(c) -> Column:
+def strict_int(c, kind: str = "int") -> Column:
     """Integer text only (optional sign, digits); ``60.0`` or ``6.55`` -> null,
-    out-of-range -> null."""
+    out of the range of ``kind`` (int or long) -> null."""
     s = F.trim(col(c))
-    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
+    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast(kind))
 
 
 def strict_float(c) -> Column:

@@ -64,6 +64,30 @@ def sliding_windows(series: DataFrame, window: int = 5, label: int = 1,
             .drop("_rn", "_n"))
 
 
+def cross_site_windows(grid: DataFrame, window: int = 5, label: int = 1, site: str = "site_id",
+                       time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
+    """W3 across sites: window-major, then time, then site, in long form
+    (``window_id``, ``step`` 1.., ``part`` input/label, site, value). Window i
+    covers the slots i .. i + window + label - 1 of the dense grid, so each cell
+    is copied into the few windows that hold its slot. A grid with too few
+    slots for one window is an error.
+
+    The slot index is a running number over the distinct slots, one row each.
+    """
+    length = window + label
+    slots = grid.select(time).distinct()
+    index = slots.withColumn("_i", F.row_number().over(Window.orderBy(time)) - 1).withColumn(
+        "_n", F.count(F.lit(1)).over(Window.partitionBy()))
+    enough = F.when(F.col("_n") >= length, F.col("_n")).otherwise(
+        F.raise_error(F.lit("fewer slots than one window needs")))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("_i") - (length - 1)), F.least(F.col("_i"), enough - length))
+    spread = index.select(time, "_i", F.explode(starts).alias("window_id"))
+    step = F.col("_i") - F.col("window_id") + 1
+    return grid.select(site, time, value).join(spread, time).select(
+        F.col("window_id").cast("long").alias("window_id"), step.cast("long").alias("step"),
+        F.when(step <= window, F.lit("input")).otherwise(F.lit("label")).alias("part"), site, time, value)
+
+
 def train_eval_split(windows: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     """Chronological split per site: the first ``floor(n * p)`` windows
     train, the rest are held out (the reference calls it with p = 0.5)."""

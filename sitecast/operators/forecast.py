@@ -109,24 +109,29 @@ def arp_forecast(d: DataFrame, order: int = 5, steps: int = 5, step_minutes: int
                  value: str = "vehicle_flow_rate", kind: str = "arp") -> DataFrame:
     """T4(b): AR(p) pooled over all sites, fitted with ``pyspark.ml``
     LinearRegression on lag windows (a distributed fit), then rolled
-    forward ``steps`` times with column expressions."""
+    forward ``steps`` times with column expressions. A site with fewer than
+    ``order`` rows, or any site if nothing could be fitted, repeats its last
+    value, as the AR(1) without a slope does."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     wins = sliding_windows(d, order, 1, site, time, value).where(F.col("y").isNotNull())
     lags = [f"w{i}" for i in range(1, order + 1)]
     train = VectorAssembler(inputCols=lags, outputCol="features", handleInvalid="skip").transform(wins)
-    model = LinearRegression(featuresCol="features", labelCol="y", regParam=0.0,
-                             solver="normal").fit(train)
-    coef = [float(x) for x in model.coefficients]
-    icpt = float(model.intercept)
+    fitted = not train.isEmpty()
+    if fitted:
+        model = LinearRegression(featuresCol="features", labelCol="y", regParam=0.0, standardization=False,
+                                 solver="normal").fit(train)
+        coef, icpt = [float(x) for x in model.coefficients], float(model.intercept)
     latest = latest_n_per_site(d, order, site, time)
     g = latest.groupBy(site).agg(
         F.max(F.col(time)).alias("_last"),
         F.count(F.lit(1)).alias("_cnt"),
         F.sort_array(F.collect_list(F.struct(F.col("rn"), F.col(value).cast("double").alias("v")))).alias("_pts"))
-    g = g.where(F.col("_cnt") >= order)
-    hist = [F.col("_pts")[order - 1 - i]["v"] for i in range(order)]  # oldest first
+    repeated = F.array_repeat(F.get("_pts", F.lit(0))["v"], steps)
+    if not fitted:
+        return _explode_steps(g, repeated, F.col("_last"), kind, step_minutes, site)
+    hist = [F.get("_pts", F.lit(order - 1 - i))["v"] for i in range(order)]  # oldest first
     out = []
     for _ in range(steps):
         nxt = F.lit(icpt)
@@ -134,7 +139,8 @@ def arp_forecast(d: DataFrame, order: int = 5, steps: int = 5, step_minutes: int
             nxt = nxt + F.lit(cf) * h
         out.append(nxt)
         hist.append(nxt)
-    return _explode_steps(g, F.array(*out), F.col("_last"), kind, step_minutes, site)
+    forecasts = F.when(F.col("_cnt") >= order, F.array(*out)).otherwise(repeated)
+    return _explode_steps(g, forecasts, F.col("_last"), kind, step_minutes, site)
 
 
 def forecast_horizon(d: DataFrame, steps: int = 5, step_minutes: int = 1,
@@ -146,13 +152,20 @@ def forecast_horizon(d: DataFrame, steps: int = 5, step_minutes: int = 1,
                     add_minutes(F.col("_last"), F.col("step") * step_minutes).alias(time)))
 
 
-def gate_min_history(d: DataFrame, min_history: int = 20, site: str = "site_id",
+def gate_min_history(latest: DataFrame, min_history: int = 20, site: str = "site_id",
                      time: str = "measurement_time") -> DataFrame:
-    """T7 as a filter: keep sites with at least ``min_history`` slots. A count
-    over the site partition (rows are unique per slot), so the downstream
-    per-site windows reuse the same shuffle."""
+    """T7 as a filter on the newest rows of each site (at least ``min_history``
+    of them must be asked for): a count over the site's few rows, which reuses
+    the shuffle of the top-n."""
     n = F.count(F.col(time)).over(Window.partitionBy(site))
-    return d.withColumn("_n_slots", n).where(F.col("_n_slots") >= min_history).drop("_n_slots")
+    return latest.withColumn("_n_slots", n).where(F.col("_n_slots") >= min_history).drop("_n_slots")
+
+
+def model_grid(d: DataFrame, history: int = 20, site: str = "site_id", time: str = "measurement_time",
+               value: str = "vehicle_flow_rate") -> DataFrame:
+    """The model's input: each site's ``history`` newest rows on the grid of all
+    their slots, missing cells filled with the site's mean (W1 -> T2)."""
+    return impute_site_mean(latest_n_per_site(d, history, site, time), site, time, value)
 
 
 def recent_actuals(d: DataFrame, history: int = 20, k: int = 5, site: str = "site_id",
@@ -167,16 +180,19 @@ def forecast_table(d: DataFrame, methods: Sequence[str] = ("ar1", "moving_avg"),
                    window: int = 5, steps: int = 5, history: int = 20, actual_k: int = 5,
                    min_history: int = 20, step_minutes: int = 1) -> DataFrame:
     """Forecasts of the chosen methods plus the recent actuals, for the
-    sites with enough history; sorted by site, time, type."""
-    elig = gate_min_history(d, min_history)
+    sites with enough history; sorted by site, time, type. All parts start from
+    the newest rows of each site, so the cost does not follow the length of the
+    history; the learned methods fit on the model grid."""
+    newest = latest_n_per_site(d, max(history, min_history)).drop("rn")
+    elig = gate_min_history(newest, min_history)
     parts = []
     for m in methods:
         if m == "moving_avg":
             parts.append(ma_forecast(elig, window, steps, step_minutes))
         elif m == "ar1":
-            parts.append(ar1_forecast(elig, steps, step_minutes))
+            parts.append(ar1_forecast(model_grid(elig, history), steps, step_minutes))
         elif m == "arp":
-            parts.append(arp_forecast(elig, window, steps, step_minutes))
+            parts.append(arp_forecast(model_grid(elig, history), window, steps, step_minutes))
         else:
             raise ValueError(f"unknown forecast method {m!r}")
     if actual_k:
@@ -184,6 +200,11 @@ def forecast_table(d: DataFrame, methods: Sequence[str] = ("ar1", "moving_avg"),
     return union_all(p.select(*FORECAST_COLUMNS) for p in parts)
 
 
+def missing_sites(wanted: DataFrame, d: DataFrame, site: str = "site_id") -> DataFrame:
+    """Requested sites without any reading (they get no forecast)."""
+    return wanted.select(site).distinct().join(d.select(site).distinct(), site, "left_anti")
+
+
 def sorted_forecasts(df: DataFrame) -> DataFrame:
     return df.orderBy("site_id", "measurement_time", "forecast_type")
 
@@ -235,3 +256,8 @@ def loss_history(d: DataFrame, window: int = 5, train_fraction: float = 0.5,
         round6(F.avg(F.when(~F.col("_train"), err))).alias("eval_loss"),
         F.max("_target").alias("measurement_time"))
         .drop("_cycle"))
+
+
+def newest_cycle(loss: DataFrame, time: str = "measurement_time") -> DataFrame:
+    """The loss row of the newest cycle."""
+    return loss.orderBy(F.desc_nulls_last(time)).limit(1)

@@ -1,65 +1,56 @@
 """Pivot, unpivot, dense grids and gap imputation.
 
-Dense grids (every site at every slot) are built without joins: each site
-collects its own values into a map (bounded by the number of slots it has
-after dedup), the slot list comes from a scalar subquery (bounded by the
-number of distinct slots in the chosen time range, not by data volume), and
-each site row is exploded over that list. The grid *is* the wide table the
-reference computes, in long form; its size is sites x slots by definition.
+A dense grid (every site at every slot) is the wide table the reference
+computes, in long form; its size is sites x slots by definition. It is built
+from equi-joins alone: the sites of a day (or epoch window) meet the slots of
+that day, and the readings are joined on (site, slot). No value holds a time
+range, so the cost follows the cells of the grid.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import TIME_FORMAT, format_time, round6
 
 
-def slot_array(df: DataFrame, time: str = "measurement_time") -> Column:
-    """Sorted distinct slots of ``df`` as one array value (scalar subquery)."""
-    return df.where(F.col(time).isNotNull()).agg(
-        F.sort_array(F.collect_set(F.col(time)))).scalar()
+def _cells(df: DataFrame, site: str, time: str, value: str) -> DataFrame:
+    return df.where(F.col(time).isNotNull()).select(site, time, F.col(value).cast("double").alias(value))
 
 
-def last_k(arr: Column, k: int) -> Column:
-    return F.slice(arr, F.greatest(F.size(arr) - F.lit(k - 1), F.lit(1)), F.lit(k))
-
-
-def _site_maps(df: DataFrame, site: str, time: str, value: str) -> DataFrame:
-    v = F.col(value).cast("double")
-    return (df.where(F.col(time).isNotNull())
-            .groupBy(site)
-            .agg(F.map_from_entries(F.collect_list(F.struct(F.col(time), v))).alias("_vals"),
-                 F.avg(v).alias("_site_mean")))
+def _day_grid(sites: DataFrame, slots: DataFrame, site: str, time: str) -> DataFrame:
+    """Every row of ``sites`` at every row of ``slots``, by day: a site is
+    copied to each day (one scalar list of days), then joined with the slots of
+    that day. Skewed days are split by AQE like any join."""
+    by_day = slots.withColumn("_day", F.to_date(time))
+    days = by_day.agg(F.collect_set("_day")).scalar()
+    return sites.withColumn("_day", F.explode(days)).join(by_day, "_day").drop("_day")
 
 
 def impute_site_mean(latest: DataFrame, site: str = "site_id",
                      time: str = "measurement_time", value: str = "vehicle_flow_rate",
-                     slots: Column | None = None, keep_last: int | None = None) -> DataFrame:
+                     keep_last: int | None = None) -> DataFrame:
     """grid = sites x (union of the slots present in ``latest``); a
     missing cell gets the site's own mean over its rows, then 0.
 
     ``keep_last`` keeps only the k newest grid slots (R4's recent actuals).
     Output: site, time, value (double), ``imputed`` flag.
     """
-    per_site = _site_maps(latest, site, time, value)
-    # The slot list is derived from the same per-site maps, so the subquery's
-    # shuffles are canonically equal to the main plan's and AQE reuses them.
-    # collect_set deduplicates map-side, so the final task sees distinct slots only.
-    arr = slots if slots is not None else (
-        per_site.select(F.explode(F.map_keys("_vals")).alias("_t"))
-        .agg(F.sort_array(F.collect_set("_t"))).scalar())
+    cells = _cells(latest, site, time, value)
+    sites = cells.groupBy(site).agg(F.avg(value).alias("_site_mean"))
+    slots = cells.select(time).distinct()
     if keep_last:
-        arr = last_k(arr, keep_last)
-    grid = per_site.select(site, "_vals", "_site_mean", F.explode(arr).alias(time))
-    raw = F.try_element_at(F.col("_vals"), F.col(time))
-    return grid.select(
-        F.col(site), F.col(time),
-        round6(F.coalesce(raw, F.col("_site_mean"), F.lit(0.0))).alias(value),
-        raw.isNull().alias("imputed"))
+        newest = slots.orderBy(F.desc(time)).limit(keep_last).agg(F.collect_list(time)).scalar()
+        grid = sites.withColumn(time, F.explode(newest))
+    else:
+        grid = _day_grid(sites, slots, site, time)
+    return grid.join(cells, [site, time], "left").select(
+        site, time, round6(F.coalesce(F.col(value), F.col("_site_mean"), F.lit(0.0))).alias(value),
+        F.col(value).isNull().alias("imputed"))
 
 
 def impute_slot_mean(d: DataFrame, site: str = "site_id", time: str = "measurement_time",
@@ -70,39 +61,39 @@ def impute_slot_mean(d: DataFrame, site: str = "site_id", time: str = "measureme
     ``truncate_int`` reproduces the reference's cast of the mean into an int
     column (14.9 -> 14); the default keeps the double.
     """
-    v = F.col(value).cast("double")
-    means = (d.where(F.col(time).isNotNull()).groupBy(time).agg(F.avg(v).alias("m"))
-             .agg(F.map_from_entries(F.collect_list(F.struct(F.col(time), F.col("m"))))).scalar())
-    per_site = _site_maps(d, site, time, value)
-    grid = per_site.select(site, "_vals", F.explode(F.sort_array(F.map_keys(means))).alias(time))
-    raw = F.try_element_at(F.col("_vals"), F.col(time))
-    fill = F.try_element_at(means, F.col(time))
+    cells = _cells(d, site, time, value)
+    slots = cells.groupBy(time).agg(F.avg(value).alias("_fill"))
     if truncate_int:
-        fill = fill.cast("int").cast("double")
-    return grid.select(F.col(site), F.col(time),
-                       round6(F.coalesce(raw, fill, F.lit(0.0))).alias(value),
-                       raw.isNull().alias("imputed"))
+        slots = slots.withColumn("_fill", F.col("_fill").cast("int").cast("double"))
+    grid = _day_grid(cells.select(site).distinct(), slots, site, time)
+    return grid.join(cells, [site, time], "left").select(
+        site, time, round6(F.coalesce(F.col(value), F.col("_fill"), F.lit(0.0))).alias(value),
+        F.col(value).isNull().alias("imputed"))
 
 
 def gap_census(grid: DataFrame, value: str = "vehicle_flow_rate",
                site: str = "site_id", time: str = "measurement_time") -> DataFrame:
-    """Nulls before imputation, after, and filled, in one aggregate."""
-    return grid.agg(
-        F.count_distinct(F.col(site)).alias("n_sites"),
-        F.count_distinct(F.col(time)).alias("n_slots"),
-        F.count(F.lit(1)).alias("n_cells"),
-        F.count_if(F.col("imputed")).alias("nulls_before"),
-        F.count_if(F.col(value).isNull()).alias("nulls_after"),
+    """Nulls before imputation, after, and filled. Sites are summed up
+    first, so the distinct counts are plain sums: every site has every slot."""
+    per_site = grid.groupBy(site).agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(F.col("imputed")).alias("before"),
+        F.count_if(F.col(value).isNull()).alias("after"))
+    return per_site.agg(
+        F.count(F.lit(1)).alias("n_sites"), F.max("cells").alias("n_slots"), F.sum("cells").alias("n_cells"),
+        F.sum("before").alias("nulls_before"), F.sum("after").alias("nulls_after"),
     ).withColumn("filled", F.col("nulls_before") - F.col("nulls_after"))
 
 
-def slot_labels(d: DataFrame, time: str = "measurement_time") -> list[str]:
-    """Explicit pivot values: the distinct slot labels, sorted. One small job
-    whose result is bounded by the number of slots (not rows); it replaces
-    the value-discovery job an implicit pivot runs anyway."""
-    rows = (d.where(F.col(time).isNotNull()).select(format_time(time).alias("l"))
-            .distinct().orderBy("l").collect())
-    return [r["l"] for r in rows]
+def slot_calendar(start: dt.datetime, slots: int, step: dt.timedelta = dt.timedelta(hours=1)) -> list[str]:
+    """Pivot labels of a fixed calendar: nothing is collected to find them."""
+    return [(start + i * step).strftime("%Y-%m-%d %H:%M:%S") for i in range(slots)]
+
+
+def calendar_of(d: DataFrame, time: str = "measurement_time",
+                step: dt.timedelta = dt.timedelta(hours=1)) -> list[str]:
+    """The calendar from the first to the last slot of ``d`` (two values)."""
+    lo, hi = d.agg(F.min(time), F.max(time)).first()
+    return [] if lo is None else slot_calendar(lo, int((hi - lo) / step) + 1, step)
 
 
 def pivot_sites(d: DataFrame, values: Sequence[str] | None = None, site: str = "site_id",
@@ -111,25 +102,29 @@ def pivot_sites(d: DataFrame, values: Sequence[str] | None = None, site: str = "
     (``yyyy-MM-dd HH:mm:ss``, sorted), empty cells null.
 
     Input must be unique per (site, slot) -- run ``dedup_latest`` first --
-    which makes ``first`` deterministic. Labels avoid the reference's
-    fractional-second column names that break column resolution.
+    which makes ``first`` deterministic. A slot that no label names exactly is
+    an error rather than a dropped value.
     """
     # Columns come out in the order of the value list, so sort it up front
     # (re-selecting hundreds of columns afterwards costs more than the pivot).
-    values = sorted(values) if values is not None else slot_labels(d, time)
+    values = sorted(values) if values is not None else calendar_of(d, time)
+    label = format_time(time)
+    known = label.isin(values) & (F.col(time) == F.date_trunc("second", F.col(time)).cast("timestamp_ntz"))
+    checked = F.when(known, label).otherwise(F.raise_error(
+        F.concat(F.lit("no pivot label for slot "), F.col(time).cast("string"))))
     return (d.where(F.col(time).isNotNull())
-            .withColumn("_label", format_time(time))
+            .withColumn("_label", checked)
             .groupBy(site).pivot("_label", values).agg(F.first(F.col(value))))
 
 
-def pivot_strict(df: DataFrame, site: str = "site_id", time: str = "measurement_time",
-                 value: str = "vehicle_flow_rate", values: Sequence[str] | None = None) -> DataFrame:
-    """R2: like ``pivot_sites`` but a duplicate (site, slot) is an error
-    (the check is part of the plan: no extra eager action)."""
-    worst = df.groupBy(site, time).count().agg(F.max("count")).scalar()
-    checked = df.withColumn(value, F.when(F.coalesce(worst, F.lit(0)) > 1, F.raise_error(
-        F.lit("duplicate (site_id, measurement_time) in a strict pivot"))).otherwise(F.col(value)))
-    return pivot_sites(checked, values, site, time, value)
+def pivot_strict(df: DataFrame, values: Sequence[str] | None = None, site: str = "site_id",
+                 time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
+    """R2: like ``pivot_sites`` but a duplicate (site, slot) is an error. The
+    count and the value come from one aggregate."""
+    once = df.groupBy(site, time).agg(F.first(value).alias(value), F.count(F.lit(1)).alias("_n"))
+    checked = once.withColumn(value, F.when(F.col("_n") > 1, F.raise_error(
+        F.lit("duplicate (site_id, measurement_time) in a strict pivot"))).otherwise(F.col(value))).drop("_n")
+    return pivot_sites(checked, values if values is not None else calendar_of(df, time), site, time, value)
 
 
 def unpivot_sites(wide: DataFrame, site: str = "site_id", time: str = "measurement_time",
@@ -153,71 +148,31 @@ def unpivot_sites(wide: DataFrame, site: str = "site_id", time: str = "measureme
                        F.col(value))
 
 
-def recent_slots(df: DataFrame, k: int, time: str = "measurement_time") -> DataFrame:
-    """Rows whose slot is among the ``k`` newest distinct slots."""
-    arr = last_k(slot_array(df, time), k)
-    return df.where(F.array_contains(arr, F.col(time)))
-
-
-def _fill_grid(cells: DataFrame, group: str, site: str, time: str, value: str) -> DataFrame:
+def fill_grid(cells: DataFrame, group: str, site: str = "site_id", time: str = "measurement_time",
+              value: str = "vehicle_flow_rate") -> DataFrame:
     """Per ``group`` value: grid = its sites x its slots; a missing cell gets
-    the group's slot mean, then 0. The per-group slot maps are small (one
-    row per group) and broadcast: groups are epochs or epoch windows, so
-    their number is bounded by the length of the time range, and each row's
-    map by the slots of one group. No eager size check is needed (it would
-    run the whole upstream twice)."""
-    slots = (cells.groupBy(group, time).agg(F.avg(value).alias("_m"))
-             .groupBy(group).agg(F.map_from_entries(
-                 F.collect_list(F.struct(F.col(time), F.col("_m")))).alias("_means")))
-    vals = cells.groupBy(group, site).agg(F.map_from_entries(
-        F.collect_list(F.struct(F.col(time), F.col(value)))).alias("_vals"))
-    grid = (vals.join(F.broadcast(slots), group)
-            .select(group, site, "_vals", "_means",
-                    F.explode(F.sort_array(F.map_keys("_means"))).alias(time)))
-    return grid.select(group, site, time, F.coalesce(
-        F.try_element_at("_vals", F.col(time)), F.try_element_at("_means", F.col(time)),
-        F.lit(0.0)).alias(value))
-
-
-def epoch_snapshots(d_epochs: DataFrame, epoch: str = "epoch", site: str = "site_id",
-                    time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
-    """S12 for many epochs at once: each epoch's slot-mean imputed grid
-    (``d_epochs`` is unique per epoch, site, slot)."""
-    cells = (d_epochs.where(F.col(time).isNotNull())
-             .select(epoch, site, time, F.col(value).cast("double").alias(value)))
-    return _fill_grid(cells, epoch, site, time, value)
-
-
-def merge_snapshots(snaps: DataFrame, n_epochs: int = 4, first_window: int | None = None,
-                    last_window=None, epoch: str = "epoch", site: str = "site_id",
-                    time: str = "measurement_time", value: str = "vehicle_flow_rate") -> DataFrame:
-    """Window ``o`` covers epochs ``o .. o + n - 1``; per (site, slot)
-    the newest epoch's value wins (long form, so overlapping slots cannot
-    clash as the reference's wide outer join does), then the window's grid
-    is filled with its slot mean, then 0. Each snapshot row is copied into
-    at most ``n`` windows."""
+    the group's slot mean, then 0; ``imputed`` tells which. ``cells`` is unique
+    per (group, site, slot); a null value counts as missing."""
+    slots = cells.groupBy(group, time).agg(F.avg(value).alias("_fill"))
+    grid = cells.select(group, site).distinct().join(slots, group)
+    return grid.join(cells, [group, site, time], "left").select(
+        group, site, time, F.coalesce(F.col(value), F.col("_fill"), F.lit(0.0)).alias(value),
+        F.col(value).isNull().alias("imputed"))
+
+
+def merge_epochs(cells: DataFrame, n_epochs: int = 4, last_window=None, first_window: int = 1,
+                 epoch: str = "epoch", site: str = "site_id", time: str = "measurement_time",
+                 value: str = "vehicle_flow_rate") -> DataFrame:
+    """Window ``o`` covers epochs ``o .. o + n - 1``, from window 1 on
+    (the reference's first output is that of epoch n). Per (site, slot) the
+    newest observed value wins over older ones and over any fill; the window's
+    grid is then filled once with its slot means, then 0. ``cells`` holds null
+    values where an epoch has no reading."""
     w = F.explode(F.sequence(F.col(epoch) - (n_epochs - 1), F.col(epoch))).alias("window_id")
-    tagged = snaps.select(epoch, site, time, value, w)
-    lo = 0 if first_window is None else first_window
-    cond = F.col("window_id") >= lo
+    tagged = cells.select(epoch, site, time, F.col(value).cast("double").alias(value), w)
     if last_window is None:
-        last_window = snaps.agg(F.max(epoch)).scalar() - (n_epochs - 1)
-    cond = cond & (F.col("window_id") <= last_window)
-    merged = (tagged.where(cond).groupBy("window_id", site, time)
-              .agg(F.max_by(F.col(value), F.col(epoch)).alias(value)))
-    out = _fill_grid(merged, "window_id", site, time, value)
-    return out.withColumn(value, round6(F.col(value)))
-
-
-def epoch_merge(d_epochs: DataFrame, n_epochs: int = 4, epoch: str = "epoch",
-                site: str = "site_id", time: str = "measurement_time",
-                value: str = "vehicle_flow_rate", last_epoch: Column | None = None) -> DataFrame:
-    """J2 in batch: snapshots of every epoch, then every complete window of
-    ``n_epochs`` (output index = last epoch - n + 1, as the reference).
-    ``last_epoch`` (e.g. a scalar subquery over the raw input) avoids
-    deriving it from the snapshots, which would plan them twice."""
-    snaps = epoch_snapshots(d_epochs, epoch, site, time, value)
-    if last_epoch is None:
-        last_epoch = d_epochs.agg(F.max(epoch)).scalar()
-    return merge_snapshots(snaps, n_epochs, last_window=last_epoch - (n_epochs - 1),
-                           epoch=epoch, site=site, time=time, value=value)
+        last_window = cells.agg(F.max(epoch)).scalar() - (n_epochs - 1)
+    merged = (tagged.where((F.col("window_id") >= first_window) & (F.col("window_id") <= last_window))
+              .groupBy("window_id", site, time)
+              .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(epoch))).alias(value)))
+    return fill_grid(merged, "window_id", site, time, value).withColumn(value, round6(F.col(value))).drop("imputed")

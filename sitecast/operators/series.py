@@ -75,3 +75,22 @@ def attach_sites(df: DataFrame, sites: DataFrame) -> DataFrame:
     """Site lookup. The site table grows with the deployment, so it is
     broadcast only after its size is checked."""
     return lookup_join(df, site_points(sites), "site_id", "left")
+
+
+def map_points(sites: DataFrame, site_id=None) -> DataFrame:
+    """The point of a known site; of all sites if the site is unknown or
+    none is asked for."""
+    points = site_points(sites)
+    if site_id is None:
+        return points
+    known = points.agg(F.coalesce(F.bool_or(F.col("site_id") == F.lit(site_id)), F.lit(False))).scalar()
+    return points.where((F.col("site_id") == F.lit(site_id)) | ~known)
+
+
+def chart_text(forecasts: DataFrame) -> DataFrame:
+    """The chart lists as text, for sinks without arrays."""
+    return chart_series(forecasts).select(
+        "site_id", "type", "forecast_type", "display_name",
+        F.array_join(F.transform("x", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")), ",").alias("x"),
+        F.array_join(F.transform("y", lambda v: F.coalesce(v.cast("decimal(18,6)").cast("string"), F.lit(""))), ",")
+        .alias("y"), "n_points")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from sitecast.functions.columns import format_time, parse_time_strict
 from sitecast.operators import dedup, features, forecast, reshape, series, stats
 from sitecast.operators.joins import lookup_join
-from sitecast.session import cut_lineage
-from sitecast.sources import ingest, tables
+from sitecast.session import cut_lineage, scratch_path
+from sitecast.sources import ingest, tables, versioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,8 @@ N_EPOCHS = 4        # epoch merge width (the reference merges 4 snapshots)
 RANGE_START = dt.datetime(2024, 1, 10)
 RANGE_END = dt.datetime(2024, 1, 20)
 SITE_SEGMENT = "BUILDING"
+PULL_SITE, PULL_REGION = 7, 3   # conjuncts of the bounded pull
+CALENDAR = reshape.slot_calendar(dt.datetime(2024, 1, 1), 30 * 24)   # pivot labels: the hours of the event month
 
 
 def _d(spark, sf_dir) -> DataFrame:
@@ -84,6 +86,16 @@ def q_time_range_filter(spark, sf_dir):
     return tables.readings(spark, sf_dir, RANGE_START, RANGE_END)
 
 
+def q_pull_filter(spark, sf_dir):
+    """S2 with all conjuncts: time range, site and region of the site."""
+    region = F.pmod(F.col("site_id"), F.lit(4)) + 1
+    near = ingest.pull_filter(tables.readings(spark, sf_dir).withColumn("region_id", region),
+                              RANGE_START, RANGE_END, region_id=PULL_REGION)
+    one = ingest.pull_filter(tables.readings(spark, sf_dir).withColumn("region_id", region),
+                             RANGE_START, RANGE_END, site_id=PULL_SITE)
+    return near.unionByName(one)
+
+
 def q_bounded_limit(spark, sf_dir):
     return ingest.bounded_pull(tables.readings(spark, sf_dir), N_SAMPLES)
 
@@ -109,24 +121,17 @@ def q_gap_census(spark, sf_dir):
         features.latest_n_per_site(_d(spark, sf_dir), HISTORY)))
 
 
-def _slot_labels(spark, sf_dir):
-    # Dedup keeps every (site, slot) pair, so the slot labels of the raw
-    # readings are those of the deduplicated table: a pruned scan and a
-    # partial distinct instead of a dedup.
-    return reshape.slot_labels(tables.readings(spark, sf_dir).select("measurement_time"))
-
-
 def q_pivot_sites(spark, sf_dir):
-    return reshape.pivot_sites(_d(spark, sf_dir), _slot_labels(spark, sf_dir))
+    return reshape.pivot_sites(_d(spark, sf_dir), CALENDAR)
 
 
 def q_pivot_strict(spark, sf_dir):
     latest = features.latest_n_per_site(_d(spark, sf_dir), HISTORY).drop("rn")
-    return reshape.pivot_strict(latest)
+    return reshape.pivot_strict(latest, CALENDAR)
 
 
 def q_unpivot_sites(spark, sf_dir):
-    return reshape.unpivot_sites(reshape.pivot_sites(_d(spark, sf_dir), _slot_labels(spark, sf_dir)))
+    return reshape.unpivot_sites(reshape.pivot_sites(_d(spark, sf_dir), CALENDAR))
 
 
 def q_recent_actuals(spark, sf_dir):
@@ -137,9 +142,14 @@ def q_epoch_merge(spark, sf_dir):
     r = tables.readings(spark, sf_dir)
     first_day = r.agg(F.min(F.to_date("modified_time"))).scalar()
     r = r.withColumn("epoch", F.datediff(F.to_date("modified_time"), first_day))
-    d_e = dedup.keep_latest(r, ("epoch", "site_id", "measurement_time"), ("modified_time", "event_id"))
+    # each day re-delivers its last readings with the next one, as the pulls do,
+    # and a correction may come a day late: epochs overlap in their slots
+    late = r.where(F.col("event_id") % 5 == 0).withColumn("epoch", F.col("epoch") + 1).withColumn(
+        "vehicle_flow_rate", F.when(F.col("event_id") % 2 == 0, F.col("vehicle_flow_rate") + 1))
+    both = r.unionByName(late).where(F.col("measurement_time").isNotNull())
+    d_e = dedup.keep_latest(both, ("epoch", "site_id", "measurement_time"), ("modified_time", "event_id"))
     last_epoch = r.where(F.col("measurement_time").isNotNull()).agg(F.max("epoch")).scalar()
-    return reshape.epoch_merge(d_e, n_epochs=N_EPOCHS, last_epoch=last_epoch)
+    return reshape.merge_epochs(d_e, n_epochs=N_EPOCHS, last_window=last_epoch - (N_EPOCHS - 1))
 
 
 # -- 4: windows, split, AR, holdout error -----------------------------------
@@ -148,25 +158,58 @@ def q_eligible_sites(spark, sf_dir):
     return features.eligible_sites(_d(spark, sf_dir), HISTORY)
 
 
-def q_sliding_windows(spark, sf_dir):
-    w = features.sliding_windows(_d(spark, sf_dir), WINDOW, 1)
+def _grid(spark, sf_dir) -> DataFrame:
+    """The model's input (W1 -> T2): the default of the windows and fits."""
+    return forecast.model_grid(_d(spark, sf_dir), HISTORY)
+
+
+def _windows(d: DataFrame) -> DataFrame:
+    w = features.sliding_windows(d, WINDOW, 1)
     return w.withColumn("window_id", F.col("window_id").cast("long"))
 
 
-def q_train_eval_split(spark, sf_dir):
-    w = features.train_eval_split(features.sliding_windows(_d(spark, sf_dir), WINDOW, 1), SPLIT)
+def _split(d: DataFrame) -> DataFrame:
+    w = features.train_eval_split(features.sliding_windows(d, WINDOW, 1), SPLIT)
     return w.select("site_id", "measurement_time", _long("window_id"), "n_windows", "split")
 
 
+def q_sliding_windows(spark, sf_dir):
+    return _windows(_grid(spark, sf_dir))
+
+
+def q_sliding_windows_raw(spark, sf_dir):
+    return _windows(_d(spark, sf_dir))
+
+
+def q_cross_site_windows(spark, sf_dir):
+    return features.cross_site_windows(_grid(spark, sf_dir), WINDOW, 1)
+
+
+def q_train_eval_split(spark, sf_dir):
+    return _split(_grid(spark, sf_dir))
+
+
+def q_train_eval_split_raw(spark, sf_dir):
+    return _split(_d(spark, sf_dir))
+
+
 def q_ar1_forecast(spark, sf_dir):
+    return forecast.ar1_forecast(_grid(spark, sf_dir), STEPS)
+
+
+def q_ar1_forecast_raw(spark, sf_dir):
     return forecast.ar1_forecast(_d(spark, sf_dir), STEPS)
 
 
 def q_arp_forecast(spark, sf_dir):
-    return forecast.arp_forecast(_d(spark, sf_dir), WINDOW, STEPS)
+    return forecast.arp_forecast(_grid(spark, sf_dir), WINDOW, STEPS)
 
 
 def q_backtest_mse(spark, sf_dir):
+    return forecast.backtest_mse(_grid(spark, sf_dir), WINDOW, SPLIT)
+
+
+def q_backtest_mse_raw(spark, sf_dir):
     return forecast.backtest_mse(_d(spark, sf_dir), WINDOW, SPLIT)
 
 
@@ -197,6 +240,32 @@ def q_chart_series(spark, sf_dir):
     return series.chart_series(_forecasts(spark, sf_dir))
 
 
+def q_chart_text(spark, sf_dir):
+    return series.chart_text(_forecasts(spark, sf_dir))
+
+
+def q_forecast_methods(spark, sf_dir):
+    """One forecaster, the other, both, or none (recent actuals alone)."""
+    d = _d(spark, sf_dir)
+    parts = [forecast.forecast_table(d, methods, WINDOW, STEPS, HISTORY, STEPS, HISTORY)
+             .withColumn("choice", F.lit("+".join(methods) or "none"))
+             for methods in (("moving_avg",), ("ar1",), ("ar1", "moving_avg"), ())]
+    return dedup.union_all(parts)
+
+
+def q_missing_sites(spark, sf_dir):
+    """Q13: requested sites that have no reading."""
+    return forecast.missing_sites(tables.sites(spark, sf_dir), tables.readings(spark, sf_dir))
+
+
+def q_map_points(spark, sf_dir):
+    """The chosen site's point; all points for an unknown or no site."""
+    sites = tables.sites(spark, sf_dir)
+    parts = [series.map_points(sites, s).withColumn("chosen", F.lit(name))
+             for s, name in ((PULL_SITE, "known"), (-1, "unknown"), (None, "none"))]
+    return dedup.union_all(parts)
+
+
 def q_site_dim_join(spark, sf_dir):
     return series.attach_sites(_forecasts(spark, sf_dir), tables.sites(spark, sf_dir))
 
@@ -238,13 +307,32 @@ def q_loss_history(spark, sf_dir):
 
 
 def q_loss_iteration_rank(spark, sf_dir):
-    return series.loss_iterations(forecast.loss_history(_d(spark, sf_dir), WINDOW, SPLIT))
+    """W2 over the loss sink: the cycles are written, the newest once more, and
+    read back."""
+    root = scratch_path(spark, "losses")
+    loss = cut_lineage(forecast.loss_history(_d(spark, sf_dir), WINDOW, SPLIT))
+    versioned.append_loss(loss, root)
+    versioned.append_loss(forecast.newest_cycle(loss), root)
+    return series.loss_iterations(versioned.read_loss(spark, root))
 
 
 # -- 6: ingest --------------------------------------------------------------
 
+def _damaged_text(spark, sf_dir) -> DataFrame:
+    """Text records of which some fields do not parse, and with ids beyond 32
+    bits, so that the strict types and the rejects have work."""
+    n = F.col("EventId").cast("long")
+    return (ingest.text_records(tables.readings(spark, sf_dir))
+            .withColumn("VehicleFlowRate", F.when(n % 11 == 0, F.concat("VehicleFlowRate", F.lit(".0")))
+                        .otherwise(F.col("VehicleFlowRate")))
+            .withColumn("SiteId", F.when(n % 13 == 0, F.lit("x1")).otherwise(F.col("SiteId")))
+            .withColumn("MeasurementTime", F.when(n % 17 == 0, F.lit("yesterday")).otherwise(F.col("MeasurementTime")))
+            .withColumn("EventId", F.when(n % 19 == 0, F.lit("1e3"))
+                        .otherwise((n + F.lit(3_000_000_000)).cast("string"))))
+
+
 def q_coerce_types(spark, sf_dir):
-    return ingest.coerce_text(ingest.text_records(tables.readings(spark, sf_dir)))
+    return ingest.coerce_text(_damaged_text(spark, sf_dir))
 
 
 def q_rename_project(spark, sf_dir):

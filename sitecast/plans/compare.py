@@ -42,7 +42,8 @@ def duck(sf_dir: str):
 # Spark type -> the DuckDB type of the same column.
 DUCK_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
               "FloatType()": "FLOAT", "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP",
-              "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+              "BooleanType()": "BOOLEAN", "DateType()": "DATE",
+              "ArrayType(TimestampNTZType(), True)": "TIMESTAMP[]", "ArrayType(DoubleType(), True)": "DOUBLE[]"}
 
 
 def compare(df, con, oracle: str) -> dict:

@@ -4,21 +4,12 @@ from __future__ import annotations
 
 from sitecast.plans.catalog import QUERIES as BATCH_QUERIES
 from sitecast.plans.oracle import ORACLE
+from sitecast.sources.history import HISTORY_QUERIES
+from sitecast.streaming.jobs import STREAM_QUERIES
 
 
 def all_queries() -> dict:
-    out = dict(BATCH_QUERIES)
-    try:
-        from sitecast.streaming.jobs import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:
-        pass
-    try:
-        from sitecast.sources.history import HISTORY_QUERIES
-        out.update(HISTORY_QUERIES)
-    except ImportError:
-        pass
-    return dict(sorted(out.items()))
+    return dict(sorted({**BATCH_QUERIES, **STREAM_QUERIES, **HISTORY_QUERIES}.items()))
 
 
 def all_oracle() -> dict:

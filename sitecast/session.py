@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,11 +85,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if there is no such folder."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Wall-clock times are UTC throughout; another session zone would shift
+    them on the way from text."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
 def cut_lineage(df):

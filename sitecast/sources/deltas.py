@@ -1,0 +1,119 @@
+"""Upsert tables as committed deltas over a compacted base.
+
+::
+
+    path/deltas/epoch=N/        the rows of one batch, newest per key
+    path/base/upto=E/<part>=P/  compacted rows of one partition value
+    path/manifest/upto=E/       (part value, upto) of every base partition
+
+A batch writes its own rows and nothing else, so the rows written follow the
+batch and never the partitions it touches. Readers take the newest manifest,
+the base partitions it names and the deltas after it, and keep the newest row of
+each key.
+
+Every step can be repeated. A delta or manifest counts only once its writer has
+left ``_SUCCESS``; a batch that runs again replaces its own delta; a batch whose
+epoch is already compacted changes nothing; a compaction that stops halfway left
+only files that no manifest names. An epoch id names one batch. One writer per
+table at a time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sitecast.operators.dedup import keep_latest
+from sitecast.session import child_names, delete_path, path_exists
+
+#: Deltas after which ``upsert`` compacts by itself.
+COMPACT_AFTER = 24
+
+
+class DeltaTable:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str],
+                 part: str, part_of: Callable[[], "F.Column"]):
+        self.spark, self.path = spark, path
+        self.keys, self.order, self.part, self.part_of = keys, order, part, part_of
+
+    # -- what is committed ----------------------------------------------------
+
+    def _committed(self, kind: str, prefix: str) -> list[int]:
+        names = child_names(self.spark, f"{self.path}/{kind}")
+        return sorted(int(n[len(prefix):]) for n in names
+                      if n.startswith(prefix) and path_exists(self.spark, f"{self.path}/{kind}/{n}/_SUCCESS"))
+
+    def compacted_upto(self) -> int:
+        return max(self._committed("manifest", "upto="), default=-1)
+
+    def open_epochs(self) -> list[int]:
+        """Committed deltas that no compaction has folded in."""
+        upto = self.compacted_upto()
+        return [e for e in self._committed("deltas", "epoch=") if e > upto]
+
+    def exists(self) -> bool:
+        return self.compacted_upto() >= 0 or bool(self.open_epochs())
+
+    # -- reading --------------------------------------------------------------
+
+    def _manifest(self, upto: int) -> list[tuple[str, int]]:
+        """(partition value, base generation): one row a partition."""
+        rows = self.spark.read.parquet(f"{self.path}/manifest/upto={upto}").collect()
+        return [(r["value"], r["generation"]) for r in rows]
+
+    def read(self, where=None) -> DataFrame:
+        """The newest row of each key; ``where`` prunes base and deltas."""
+        parts = []
+        upto = self.compacted_upto()
+        if upto >= 0:
+            paths = [f"{self.path}/base/upto={g}/{self.part}={v}" for v, g in self._manifest(upto)]
+            if paths:
+                parts.append(self.spark.read.option("basePath", f"{self.path}/base").parquet(*paths).drop("upto"))
+        open_ = self.open_epochs()
+        if open_:
+            deltas = self.spark.read.option("mergeSchema", "true").parquet(
+                *[f"{self.path}/deltas/epoch={e}" for e in open_])
+            parts.append(deltas.withColumn(self.part, self.part_of()))
+        if not parts:
+            raise FileNotFoundError(f"no committed rows below {self.path}")
+        if where is not None:
+            parts = [p.where(where) for p in parts]
+        if len(parts) == 1:
+            rows = parts[0]
+            # a single delta, or the base alone, is already unique
+            return rows if len(open_) <= 1 else keep_latest(rows, self.keys, self.order)
+        return keep_latest(parts[0].unionByName(parts[1], allowMissingColumns=True), self.keys, self.order)
+
+    # -- writing --------------------------------------------------------------
+
+    def upsert(self, rows: DataFrame, epoch: int) -> None:
+        """Commit the batch's rows, unique per key, under its epoch."""
+        if epoch <= self.compacted_upto():
+            return  # a replay of a batch that the base already holds
+        (keep_latest(rows, self.keys, self.order).drop(self.part)
+         .write.mode("overwrite").parquet(f"{self.path}/deltas/epoch={epoch}"))
+        if len(self.open_epochs()) > COMPACT_AFTER:
+            self.compact()
+
+    def compact(self) -> None:
+        """Fold the open deltas into the base partitions that they touch."""
+        open_ = self.open_epochs()
+        if not open_:
+            return
+        before, upto = self.compacted_upto(), max(open_)
+        deltas = self.spark.read.option("mergeSchema", "true").parquet(
+            *[f"{self.path}/deltas/epoch={e}" for e in open_]).withColumn(self.part, self.part_of())
+        # distinct partition values of the open deltas, a few by design
+        touched = [r[0] for r in deltas.select(F.col(self.part).cast("string")).distinct().collect()]
+        rows = self.read(F.col(self.part).cast("string").isin(touched))
+        (rows.repartition(self.part, *self.keys).sortWithinPartitions(self.part, *self.keys)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.part)
+         .parquet(f"{self.path}/base/upto={upto}"))
+        old = dict(self._manifest(before)) if before >= 0 else {}
+        manifest = {**old, **{v: upto for v in touched}}
+        (self.spark.createDataFrame([*manifest.items()], "value string, generation long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/manifest/upto={upto}"))
+        for e in open_:
+            delete_path(self.spark, f"{self.path}/deltas/epoch={e}")

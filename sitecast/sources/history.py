@@ -1,24 +1,14 @@
 """The history table and its upsert.
 
-History is Parquet partitioned by ``measurement_date``. An upsert touches
-only the date partitions present in the batch:
-
-1. dedup the batch (newest delivery per key),
-2. read the touched partitions of the history (partition pruning),
-3. union by name and dedup again (newest wins; replaying a batch is a no-op),
-4. recompute the slot statistics of the touched slots (a slot lies in one
-   date partition, so all its rows are at hand),
-5. write the result to a staging path under the epoch id -- this also cuts
-   the lineage, so the table is never overwritten while being read --
-6. dynamic-partition overwrite of exactly those partitions from the stage.
-
-The history path is bootstrapped only when it does not exist; any other read
-error propagates (the reference treated every error as "no history" and
-overwrote the table). One writer per table at a time.
+A batch is deduplicated and committed as a delta of its own
+(``sitecast.sources.deltas``); rows without a key go to the table's rejects. The
+reader keeps the newest row of each key and derives the slot statistics and the
+quality flag, so late rows correct the statistics of their slot.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +19,8 @@ from sitecast.operators.dedup import keep_latest
 from sitecast.operators.joins import lookup_join
 from sitecast.operators.stats import slot_aggregates
 from sitecast.schema import KEY, NEWEST
-from sitecast.session import delete_path, path_exists, scratch_path
+from sitecast.session import scratch_path
+from sitecast.sources.deltas import DeltaTable
 
 DATE_COL = "measurement_date"
 HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
@@ -37,79 +28,51 @@ HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
                    "geometry", "data_quality"]
 
 
-def _with_stats(df: DataFrame) -> DataFrame:
-    base = df.drop("avg_vehicle_flow_rate", "std_vehicle_flow_rate", "data_quality_categorical")
-    return (lookup_join(base, slot_aggregates(base), "measurement_time", "left")
-            .withColumn("data_quality_categorical", quality_flag()))
-
-
-def prepare_batch(batch: DataFrame, keys: Sequence[str] = KEY,
-                  order: Sequence[str] = NEWEST, stats_scope: str = "merged") -> DataFrame:
-    """Valid rows only (null key -> not merged), newest per key, date column.
-    ``stats_scope="batch"`` keeps the reference's per-batch statistics
-    (computed before dedup, duplicates counted)."""
-    valid = batch.where(F.col("site_id").isNotNull() & F.col("measurement_time").isNotNull())
-    cols = [c for c in HISTORY_COLUMNS if c in valid.columns]
-    d = keep_latest(valid.select(*cols), keys, order)
-    if stats_scope == "batch":
-        d = (lookup_join(d, slot_aggregates(valid), "measurement_time", "left")
-             .withColumn("data_quality_categorical", quality_flag()))
-    return d.withColumn(DATE_COL, F.to_date("measurement_time"))
-
+def table(spark: SparkSession, path: str, keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST) -> DeltaTable:
+    return DeltaTable(spark, path, keys, order, DATE_COL, lambda: F.to_date("measurement_time"))
 
-def touched_dates(batch: DataFrame) -> list:
-    """Date partitions a batch touches: bounded by the days in one batch."""
-    return [r[0] for r in batch.where(F.col("measurement_time").isNotNull())
-            .select(F.to_date("measurement_time").alias("d")).distinct().collect()]
 
-
-# Above this many touched dates a write is shuffled by (date, site) first.
-MANY_DATES = 4
+def _with_stats(df: DataFrame) -> DataFrame:
+    if "avg_vehicle_flow_rate" not in df.columns:
+        df = lookup_join(df, slot_aggregates(df), "measurement_time", "left")
+    return df.withColumn("data_quality_categorical", quality_flag())
 
 
-def _write_partitions(df: DataFrame, path: str, sort: bool = True, shuffle: bool = False) -> None:
-    # The merged rows are already spread by the dedup's (site, slot) hash, so
-    # a hot date is written by many tasks either way. A micro-batch touching
-    # one or two dates is written straight from those partitions (each task
-    # opens few files, no extra shuffle); a backfill touching many dates is
-    # shuffled by (date, site) so a task does not open a file per date. The
-    # local sort keeps one open writer per task. Data read back from the stage
-    # is already laid out by date.
-    if shuffle:
-        df = df.repartition(DATE_COL, "site_id")
-    if sort:
-        df = df.sortWithinPartitions(DATE_COL, "measurement_time", "site_id")
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DATE_COL).parquet(path))
+def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a key, and the rejects (a null key is not merged)."""
+    has_key = F.col("site_id").isNotNull() & F.col("measurement_time").isNotNull()
+    cols = [c for c in HISTORY_COLUMNS if c in batch.columns]
+    return batch.where(has_key).select(*cols), batch.where(~has_key).select(*cols)
 
 
-def upsert(spark: SparkSession, batch: DataFrame, path: str, epoch_id: int | str = 0,
+def upsert(spark: SparkSession, batch: DataFrame, path: str, epoch_id: int = 0,
            keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST,
            stats_scope: str = "merged") -> None:
-    touched = touched_dates(batch)
-    if not touched:
-        return
-    b = prepare_batch(batch, keys, order, stats_scope)
-    if path_exists(spark, path):
-        existing = spark.read.parquet(path).where(F.col(DATE_COL).isin(touched))
-        merged = keep_latest(existing.unionByName(b, allowMissingColumns=True), keys, order)
-    else:
-        merged = b
-    # The stage holds the merged touched partitions: it cuts the lineage (the
-    # table is never overwritten while being read) and is what a retry of
-    # this epoch reapplies. Statistics are then computed from the stage, so
-    # the merge runs once.
-    stage = f"{path}/_staging/epoch={epoch_id}"
-    _write_partitions(merged, stage, shuffle=len(touched) > MANY_DATES)
-    staged = spark.read.parquet(stage)
-    if stats_scope == "merged":
-        staged = _with_stats(staged)
-    _write_partitions(staged, path, sort=False)
-    delete_path(spark, stage)
-
-
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Merge one batch. ``stats_scope="batch"`` keeps the reference's per-batch
+    statistics (computed before dedup, duplicates counted) in the rows; the
+    default derives them from the merged rows when they are read."""
+    good, bad = split_batch(batch)
+    if stats_scope == "batch":
+        good = lookup_join(keep_latest(good, keys, order), slot_aggregates(good), "measurement_time", "left")
+    table(spark, path, keys, order).upsert(good, int(epoch_id))
+    bad.write.mode("overwrite").parquet(f"{path}/rejects/epoch={int(epoch_id)}")
+
+
+def read_history(spark: SparkSession, path: str, since: dt.date | None = None, stats: bool = True,
+                 keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST) -> DataFrame:
+    """The merged rows with slot statistics; ``since`` reads the dates from it
+    on only (base partitions and delta row groups are pruned)."""
+    where = None
+    if since is not None:
+        where = (F.col(DATE_COL) >= F.lit(since)) & (F.col("measurement_time") >= F.lit(
+            dt.datetime.combine(since, dt.time())))
+    rows = table(spark, path, keys, order).read(where)
+    return _with_stats(rows) if stats else rows
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that were not merged because they have no key."""
+    return spark.read.parquet(f"{path}/rejects")
 
 
 def overlapping_batches(readings: DataFrame, n_batches: int = 3, overlap: float = 0.5) -> list[DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sitecast.functions.columns import iso_time, strict_float, strict_int
 from sitecast.schema import DROPPED, MESSAGE, RAW_FIELDS, RAW_TEXT, RENAMES
-from sitecast.session import scratch_path
+from sitecast.session import require_utc, scratch_path
 
 ROW_TAG = "TrafficFlow"
 # Written times keep microseconds (the default pattern stops at millis);
@@ -20,7 +20,7 @@ JSON_WRITE = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 # -- S2 / S3 ----------------------------------------------------------------
 
 def pull_filter(df: DataFrame, start=None, end=None, site_id=None, region_id=None,
-                time: str = "measurement_time") -> DataFrame:
+                time: str = "measurement_time", site: str = "site_id", region: str = "region_id") -> DataFrame:
     """``time > start AND time < end [AND site = s] [AND region = r]``;
     each conjunct optional. Plain ``where`` so it reaches the scan."""
     cond = F.lit(True)
@@ -29,9 +29,9 @@ def pull_filter(df: DataFrame, start=None, end=None, site_id=None, region_id=Non
     if end is not None:
         cond = cond & (F.col(time) < F.lit(end))
     if site_id is not None:
-        cond = cond & (F.col("site_id") == F.lit(site_id))
+        cond = cond & (F.col(site) == F.lit(site_id))
     if region_id is not None:
-        cond = cond & (F.col("region_id") == F.lit(region_id))
+        cond = cond & (F.col(region) == F.lit(region_id))
     return df.where(cond)
 
 
@@ -66,8 +66,9 @@ def coerce_text(raw: DataFrame) -> DataFrame:
     without a usable key or with a field that failed to parse; split them
     with ``split_rejects``.
     """
+    require_utc(raw.sparkSession)
     typed = raw.select(
-        strict_int("EventId").cast("long").alias("event_id"),
+        strict_int("EventId", "long").alias("event_id"),
         strict_int("SiteId").alias("site_id"),
         strict_int("VehicleFlowRate").alias("vehicle_flow_rate"),
         strict_float("AverageVehicleSpeed").alias("average_vehicle_speed"),
@@ -77,7 +78,8 @@ def coerce_text(raw: DataFrame) -> DataFrame:
         F.col("Geometry").alias("geometry"),
         F.col("DataQuality").alias("data_quality"),
         # which text fields were present but did not parse
-        ((F.col("SiteId").isNotNull() & strict_int("SiteId").isNull())
+        ((F.col("EventId").isNotNull() & strict_int("EventId", "long").isNull())
+         | (F.col("SiteId").isNotNull() & strict_int("SiteId").isNull())
          | (F.col("VehicleFlowRate").isNotNull() & strict_int("VehicleFlowRate").isNull())
          | (F.col("AverageVehicleSpeed").isNotNull() & strict_float("AverageVehicleSpeed").isNull())
          | (F.col("MeasurementTime").isNotNull() & iso_time("MeasurementTime").isNull())
@@ -117,16 +119,6 @@ def rename_project(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in df.columns}).drop(*DROPPED)
 
 
-def xml_text(raw: DataFrame) -> DataFrame:
-    """Render each text record as one ``<TrafficFlow>`` element (XML-escaped)."""
-    def esc(c):
-        return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col(c), "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
-    parts = []
-    for f in ["EventId"] + RAW_FIELDS:
-        parts += [F.lit(f"<{f}>"), F.coalesce(esc(f), F.lit("")), F.lit(f"</{f}>")]
-    return raw.select(F.concat(F.lit(f"<{ROW_TAG}>"), *parts, F.lit(f"</{ROW_TAG}>")).alias("value"))
-
-
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
     """Every ``<TrafficFlow>`` element; direct children -> text columns.
     An explicit all-text schema: no inference pass, values kept verbatim."""
@@ -134,11 +126,6 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
             .option("nullValue", "").schema(RAW_TEXT).load(path))
 
 
-def parse_xml_column(df: DataFrame, col: str = "value") -> DataFrame:
-    """S1 for a string column (e.g. a message payload)."""
-    return df.select(F.from_xml(F.col(col), RAW_TEXT).alias("r")).select("r.*")
-
-
 def write_xml(raw: DataFrame, path: str) -> None:
     """Text records -> XML documents (``<RESPONSE>`` root, one
     ``<TrafficFlow>`` element per record) with Spark's XML writer."""
@@ -146,12 +133,14 @@ def write_xml(raw: DataFrame, path: str) -> None:
      .option("rowTag", ROW_TAG).save(path))
 
 
-def ingest_xml_roundtrip(spark: SparkSession, readings: DataFrame) -> DataFrame:
+def ingest_xml_roundtrip(spark: SparkSession, readings: DataFrame, rejects_path: str | None = None) -> DataFrame:
     """Write readings as XML documents to the shared folder, scan them back
-    with the XML source, coerce and rename (S1 -> S4 -> S5)."""
+    with the XML source, coerce and rename (S1 -> S4 -> S5). Records that do not
+    parse are written to ``rejects_path`` as they came."""
     path = scratch_path(spark, "xml-landing")
     write_xml(text_records(readings), path)
-    good, _ = split_rejects(coerce_text(read_xml(spark, path)))
+    good, bad = split_rejects(coerce_text(read_xml(spark, path)))
+    bad.write.mode("overwrite").parquet(rejects_path or scratch_path(spark, "xml-rejects"))
     return good
 
 
@@ -166,6 +155,18 @@ def encode_json(readings: DataFrame) -> DataFrame:
         F.to_json(F.struct(*fields), JSON_WRITE).cast("binary").alias("value"))
 
 
+def write_messages(messages: DataFrame, sink: str = "files", path: str | None = None,
+                   servers: str | None = None, topic: str | None = None) -> None:
+    """S7 sink: append encoded messages to a topic when the connector is on the
+    classpath, else to a directory of JSON text files (the two forms that
+    ``message_stream`` reads)."""
+    if sink == "kafka":
+        (messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).save())
+    else:
+        messages.select(F.col("value").cast("string").alias("value")).write.mode("append").text(path)
+
+
 def json_fields_as_text(msgs: DataFrame) -> DataFrame:
     """Read single fields back out of encoded messages as text."""
     s = F.col("value").cast("string")
@@ -181,6 +182,7 @@ def parse_json(msgs: DataFrame) -> DataFrame:
     """Binary -> string -> ``from_json`` with the fixed schema
     (permissive: bad text or a mistyped field -> null) -> star expand. Times
     are returned as UTC wall-clock ``timestamp_ntz``."""
+    require_utc(msgs.sparkSession)
     parsed = msgs.select(F.from_json(F.col("value").cast("string"), MESSAGE).alias("data"))
     out = parsed.select("data.*")
     return (out.withColumn("measurement_time", F.col("measurement_time").cast("timestamp_ntz"))

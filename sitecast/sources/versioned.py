@@ -3,16 +3,22 @@
 Each forecast cycle writes one Parquet dataset whose name carries the
 version (``<prefix>_model_<n>_prediction.parquet``). Readers scan all of
 them with one glob, take the version from the hidden ``_metadata`` file path
-and keep the highest version per key; unreadable files are skipped.
+and keep the highest version per key. Files that are no whole Parquet files are
+left out, but never silently: they are logged and listed by ``damaged_files``.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitecast.functions.columns import version_from_name
+from sitecast.session import child_names, path_exists
+
+log = logging.getLogger(__name__)
 
 # Fixed value: the forecast file naming of the reference.
 FILE_PREFIX = "traffic_data_to_model"
@@ -38,13 +44,45 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
     return path
 
 
+def _pattern(root: str) -> str:
+    return f"{root}/{FILE_PREFIX}_*_prediction.parquet"
+
+
+def has_versions(spark: SparkSession, root: str) -> bool:
+    return any(n.startswith(f"{FILE_PREFIX}_") and n.endswith("_prediction.parquet")
+               for n in child_names(spark, root))
+
+
+def damaged_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, version, length) of the part files that do not begin and end with
+    Parquet's mark, such as those of a writer that was cut off."""
+    if not has_versions(spark, root):
+        return spark.createDataFrame([], "path string, version int, length long")
+    mark = F.expr("X'50415231'")
+    ends = F.expr("substring(content, -4, 4)")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(_pattern(root))
+    whole = (F.substring("content", 1, 4) == mark) & (ends == mark) & (F.col("length") >= 12)
+    return files.where(~whole).select("path", version_from_name("path").alias("version"), "length")
+
+
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
     """Every version file matching the pattern, with its version
     number parsed from the path (-1 when not numeric). A fixed schema means no
-    footer inference across many files; corrupt files are skipped."""
-    df = (spark.read.schema(FORECAST_SCHEMA).option("ignoreCorruptFiles", "true")
-          .parquet(f"{root}/{FILE_PREFIX}_*_prediction.parquet"))
-    return df.withColumn("version", version_from_name(F.col("_metadata.file_path")))
+    footer inference across many files. Without any version the result is
+    empty; damaged files are left out and logged."""
+    df = spark.createDataFrame([], FORECAST_SCHEMA).withColumn("version", F.lit(0))
+    if not has_versions(spark, root):
+        return df
+    files = spark.read.schema(FORECAST_SCHEMA).parquet(_pattern(root))
+    bad = {r.path for r in damaged_files(spark, root).collect()}
+    if bad:
+        log.warning("left out %d damaged forecast files: %s", len(bad), sorted(bad)[:20])
+        good = [f for f in files.inputFiles() if f.split(":", 1)[-1].lstrip("/") not in
+                {b.split(":", 1)[-1].lstrip("/") for b in bad}]
+        if not good:
+            return df
+        files = spark.read.schema(FORECAST_SCHEMA).parquet(*good)
+    return files.withColumn("version", version_from_name(F.col("_metadata.file_path")))
 
 
 def newest_version(versions: DataFrame) -> DataFrame:
@@ -59,16 +97,18 @@ LOSS_SCHEMA = T.StructType([
 ])
 
 
-def append_loss(loss: DataFrame, root: str, version: int) -> None:
-    """Loss rows of one cycle appended under ``version=<n>``
-    (the reference rewrote the whole history every cycle)."""
-    (loss.select(*[f.name for f in LOSS_SCHEMA.fields]).withColumn("version", F.lit(version))
+def append_loss(loss: DataFrame, root: str) -> None:
+    """One row per cycle, under the day of the cycle. A cycle that is
+    written again replaces its own row, so no cycle occurs twice."""
+    (loss.select(*[f.name for f in LOSS_SCHEMA.fields]).withColumn("cycle", F.to_date("measurement_time"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("version").parquet(f"{root}/loss"))
+     .partitionBy("cycle").parquet(f"{root}/loss"))
 
 
 def read_loss(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/loss")
+    if not path_exists(spark, f"{root}/loss"):
+        return spark.createDataFrame([], LOSS_SCHEMA)
+    return spark.read.schema(LOSS_SCHEMA).parquet(f"{root}/loss").select(*LOSS_SCHEMA.names)
 
 
 def export_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:

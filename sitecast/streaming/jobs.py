@@ -4,25 +4,33 @@ The reference's consumer is a stateless stream whose state lives in the
 Parquet history, written from ``foreachBatch`` every 5 minutes. Here every
 job has an explicit checkpoint location in the shared folder, every sink
 write is idempotent per epoch (replaying a batch after a failure changes
-nothing), and tests drive the streams with ``availableNow`` triggers.
+nothing), and the stream queries use ``availableNow`` triggers.
 
-Input: the ``events`` table landed as a directory of arriving files
-(optionally with overlapping re-deliveries), read with a fixed schema.
+Input: the ``events`` table cut into delivery chunks (optionally with overlapping
+re-deliveries). A chunk is a folder with any number of files; the chunks arrive
+one after the other and each is one epoch.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sitecast.functions.columns import version_from_name
 from sitecast.operators import dedup, forecast, reshape, stats
-from sitecast.session import path_exists, scratch_path
+from sitecast.session import child_names, move_path, path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
+from sitecast.sources.deltas import DeltaTable
 
 PROCESSING_TIME = "5 minutes"   # reference trigger period
 N_EPOCHS = 4                    # epoch merge width
 N_FILES = 6                     # delivery chunks landed for the stream queries
 OVERLAP = 0.3                   # share of the next chunk delivered again
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # -- landing ------------------------------------------------------------------
@@ -36,10 +44,10 @@ def chunk_span_us(lo, hi, n_files: int) -> int:
 
 def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: float = 0.0,
                 root: str | None = None) -> str:
-    """Land ``events`` as ``n_files`` consecutive delivery chunks (by event
-    time), one file per chunk, written in chunk order. Each chunk also
-    re-delivers the first ``overlap`` fraction of the next one. A file stream
-    reading one file per trigger then sees chunk ``c`` as epoch ``c``.
+    """Cut ``events`` into ``n_files`` consecutive delivery chunks (by event
+    time). Each chunk also re-delivers the first ``overlap`` fraction of the next
+    one. One job writes all chunks, each as a folder of many files, to a staging
+    folder beside the landing; ``run_arrivals`` lets them in one at a time.
     Returns the landing directory."""
     ev = tables.table(spark, sf_dir, "events")
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
@@ -50,23 +58,25 @@ def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: flo
     # a row in the head of chunk c (c > 0) is delivered again with chunk c-1
     redelivered = (chunk > 0) & (pos - chunk < F.lit(overlap))
     chunks = F.when(redelivered, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-    landed = ev.withColumn("chunk", F.explode(chunks)).persist()   # read by every chunk write
     root = root or scratch_path(spark, "landing")
-    try:
-        for c in range(n_files):
-            (landed.where(F.col("chunk") == c).drop("chunk").coalesce(1)
-             .write.mode("overwrite").parquet(f"{root}/chunk={c}"))
-    finally:
-        landed.unpersist()
+    (ev.withColumn("chunk", F.explode(chunks)).write.mode("overwrite").partitionBy("chunk")
+     .parquet(f"{root}/_staged"))
     return root
 
 
-def event_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1) -> DataFrame:
-    """File-stream source over the landed chunks (a glob: the source needs a
-    directory or pattern, not a single file path)."""
-    schema = spark.read.parquet(landing).drop("chunk").schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(f"{landing}/chunk=*/*.parquet"))
+def staged_chunks(spark: SparkSession, landing: str) -> list[str]:
+    """Chunks that have not arrived yet, in order."""
+    names = [n for n in child_names(spark, f"{landing}/_staged") if n.startswith("chunk=")]
+    return sorted(names, key=lambda n: int(n[len("chunk="):]))
+
+
+def event_stream(spark: SparkSession, landing: str) -> DataFrame:
+    """File-stream source over the arrived chunks (a glob: the source needs a
+    directory or pattern), with the chunk number as a column."""
+    folder = landing if any(n.startswith("chunk=") for n in child_names(spark, landing)) else f"{landing}/_staged"
+    fields = spark.read.option("basePath", folder).parquet(f"{folder}/chunk=*").drop("chunk").schema.fields
+    schema = T.StructType([*fields, T.StructField("chunk", T.IntegerType())])
+    return spark.readStream.schema(schema).option("basePath", landing).parquet(f"{landing}/chunk=*/*.parquet")
 
 
 def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = True,
@@ -74,17 +84,22 @@ def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = Tru
     """Start a query with an explicit checkpoint. For stateful queries the
     number of state partitions is fixed at the first start (then kept by the
     checkpoint); it defaults to the cluster's parallelism rather than to the
-    batch shuffle setting, which sizes shuffles, not state stores."""
+    batch shuffle setting, which sizes shuffles, not state stores. Their state
+    is kept in RocksDB, outside the JVM heap."""
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=PROCESSING_TIME)
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+    settings = {}
     if state_partitions is not None:
-        spark.conf.set(key, str(state_partitions))
+        settings = {"spark.sql.shuffle.partitions": str(state_partitions),
+                    "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         q = w.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     if available_now:
         q.awaitTermination()
         if q.exception() is not None:
@@ -92,6 +107,19 @@ def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = Tru
     return q
 
 
+def run_arrivals(spark: SparkSession, landing: str, writer, checkpoint: str,
+                 state_partitions: int | None = None) -> None:
+    """Let the staged chunks in one at a time, with one run for each, so every
+    chunk is one epoch however many files it has. With nothing staged, one run
+    takes whatever files are new."""
+    names = staged_chunks(spark, landing)
+    for name in names:
+        move_path(spark, f"{landing}/_staged/{name}", f"{landing}/{name}")
+        _run(spark, writer, checkpoint, state_partitions=state_partitions)
+    if not names:
+        _run(spark, writer, checkpoint, state_partitions=state_partitions)
+
+
 def state_partitions(spark: SparkSession) -> int:
     """State stores per stateful operator: one per core of the cluster."""
     return max(2, spark.sparkContext.defaultParallelism)
@@ -114,26 +142,32 @@ def run_upsert_stream(spark: SparkSession, landing: str, history_path: str, chec
                .drop("_event_time"))
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            history.upsert(spark, batch, history_path, epoch_id, stats_scope=stats_scope)
-        finally:
-            batch.unpersist()
+        history.upsert(spark, batch, history_path, epoch_id, stats_scope=stats_scope)
 
-    return _run(spark, src.writeStream.foreachBatch(merge), checkpoint, available_now)
+    writer = src.writeStream.foreachBatch(merge)
+    if not available_now:
+        return _run(spark, writer, checkpoint, available_now=False)
+    run_arrivals(spark, landing, writer, checkpoint, state_partitions(spark) if max_lateness else None)
 
 
 def q_stream_upsert(spark, sf_dir):
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     hist = scratch_path(spark, "history")
     run_upsert_stream(spark, landing, hist, scratch_path(spark, "ckpt"))
+    history.table(spark, hist).compact()
     return history.read_history(spark, hist)
 
 
 # -- X3 ---------------------------------------------------------------------
 
-def q_stream_dedup(spark, sf_dir, watermark: str = "60 days"):
-    """Keys seen, deduplicated inside the stream with bounded state."""
+def q_stream_dedup(spark, sf_dir, watermark: str | None = None):
+    """Keys seen, deduplicated inside the stream with bounded state (X3, the
+    option with a watermark). A watermark drops rows that come later than it
+    allows; the default is the whole time span of the events, so that none
+    can."""
+    if watermark is None:
+        lo, hi = tables.table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+        watermark = f"{(hi - lo).days + 1} days"
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     out = scratch_path(spark, "dedup-out")
     src = (tables.events_to_readings(event_stream(spark, landing))
@@ -141,8 +175,8 @@ def q_stream_dedup(spark, sf_dir, watermark: str = "60 days"):
            .withWatermark("_event_time", watermark)
            .dropDuplicatesWithinWatermark(["site_id", "measurement_time"])
            .select("site_id", "measurement_time"))
-    _run(spark, src.writeStream.format("parquet").option("path", out).outputMode("append"),
-         scratch_path(spark, "ckpt"), state_partitions=state_partitions(spark))
+    run_arrivals(spark, landing, src.writeStream.format("parquet").option("path", out).outputMode("append"),
+                 scratch_path(spark, "ckpt"), state_partitions(spark))
     return spark.read.parquet(out)
 
 
@@ -164,69 +198,79 @@ def q_stream_slot_stats(spark, sf_dir):
                       F.round("_std", 6).alias("std_vehicle_flow_rate"), "n_readings")
          .write.mode("overwrite").parquet(out))
 
-    _run(spark, agg.writeStream.outputMode("complete").foreachBatch(publish), scratch_path(spark, "ckpt"),
-         state_partitions=state_partitions(spark))
+    run_arrivals(spark, landing, agg.writeStream.outputMode("complete").foreachBatch(publish),
+                 scratch_path(spark, "ckpt"), state_partitions(spark))
     return spark.read.parquet(out)
 
 
 # -- S12 / X7: per-epoch snapshots and the epoch window ------------------------
 
-def _snapshot(batch: DataFrame, epoch_id: int) -> DataFrame:
+def _write_snapshot(batch: DataFrame, root: str) -> int | None:
+    """The batch's slot-mean filled grid under its epoch (the chunk number);
+    returns the epoch, None for an empty batch."""
+    epoch = batch.agg(F.max("chunk")).first()[0]
+    if epoch is None:
+        return None
     d = dedup.dedup_latest(tables.events_to_readings(batch))
-    return reshape.impute_slot_mean(d).drop("imputed").withColumn("epoch", F.lit(epoch_id))
-
-
-def _write_snapshot(snap: DataFrame, root: str) -> None:
-    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (reshape.impute_slot_mean(d).withColumn("epoch", F.lit(epoch))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("epoch").parquet(f"{root}/snapshots"))
+    return epoch
 
 
 def q_stream_snapshots(spark, sf_dir):
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     root = scratch_path(spark, "epochs")
-    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(
-        lambda b, e: _write_snapshot(_snapshot(b, e), root)), scratch_path(spark, "ckpt"))
-    return spark.read.parquet(f"{root}/snapshots")
+    run_arrivals(spark, landing, event_stream(spark, landing).writeStream.foreachBatch(
+        lambda b, e: _write_snapshot(b, root) and None), scratch_path(spark, "ckpt"))
+    return spark.read.parquet(f"{root}/snapshots").drop("imputed")
+
+
+def window_of_epochs(spark: SparkSession, root: str, epoch: int, n_epochs: int = N_EPOCHS) -> DataFrame | None:
+    """The merge of the last n epochs' snapshots, from epoch n on: the newest
+    reading of each cell wins, and fills are made anew for the window."""
+    if epoch < n_epochs:
+        return None
+    first = epoch - n_epochs + 1
+    snaps = spark.read.parquet(f"{root}/snapshots").where(F.col("epoch").between(first, epoch))
+    cells = snaps.withColumn("vehicle_flow_rate", F.when(~F.col("imputed"), F.col("vehicle_flow_rate")))
+    return reshape.merge_epochs(cells, n_epochs, first_window=first, last_window=F.lit(first))
 
 
 def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
-    """From epoch n-1 on, merge the snapshots of the last n epochs (newest
-    epoch wins per cell, slot-mean fill) and write it under window = id-n+1."""
+    """From epoch n on, merge the snapshots of the last n epochs and write the
+    result under window = epoch - n + 1."""
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     root = scratch_path(spark, "epochs")
 
     def step(batch: DataFrame, epoch_id: int) -> None:
-        _write_snapshot(_snapshot(batch, epoch_id), root)
-        if epoch_id < n_epochs - 1:
-            return
-        first = epoch_id - n_epochs + 1
-        snaps = (spark.read.parquet(f"{root}/snapshots")
-                 .where(F.col("epoch").between(first, epoch_id)))
-        merged = reshape.merge_snapshots(snaps, n_epochs, first_window=first, last_window=first)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("window_id").parquet(f"{root}/merged"))
-
-    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
+        epoch = _write_snapshot(batch, root)
+        merged = None if epoch is None else window_of_epochs(spark, root, epoch, n_epochs)
+        if merged is not None:
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("window_id").parquet(f"{root}/merged"))
+
+    run_arrivals(spark, landing, event_stream(spark, landing).writeStream.foreachBatch(step),
+                 scratch_path(spark, "ckpt"))
     return spark.read.parquet(f"{root}/merged")
 
 
 # -- T8: forecast on new data -------------------------------------------------
 
-def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int | None = None):
+def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int | None = None) -> Callable[[], None]:
     """The per-cycle model step (T8): forecast only if the newest slot moved
     since the last version (the new-data gate), then write the next version
-    and its loss rows.
+    and the loss row of the newest cycle.
 
     ``lookback_days`` bounds the work of a cycle by reading only the newest
-    date partitions of the history (partition pruning): the AR fit then uses
-    a trailing window, and a site silent for longer gets no forecast. The
-    default reads the whole history, as the reference does."""
+    dates of the history (pruned); a site silent for longer gets no forecast.
+    The default reads the whole history, as the reference does."""
     def step() -> None:
-        d = history.read_history(spark, hist)
-        if lookback_days is not None:
-            newest_day = d.agg(F.max(history.DATE_COL)).first()[0]
-            d = d.where(F.col(history.DATE_COL) >= F.date_sub(F.lit(newest_day), lookback_days))
+        d = history.read_history(spark, hist, stats=False)
         newest = d.agg(F.max("measurement_time")).first()[0]
+        if lookback_days is not None:
+            d = history.read_history(spark, hist, stats=False,
+                                     since=newest.date() - dt.timedelta(days=lookback_days))
         if path_exists(spark, f"{out}/cutoffs"):
             seen = spark.read.parquet(f"{out}/cutoffs").agg(F.max("cutoff"), F.max("version")).first()
             if seen[0] is not None and seen[0] >= newest:
@@ -234,9 +278,8 @@ def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int |
             version = seen[1] + 1
         else:
             version = 1
-        fc = forecast.forecast_table(d)
-        versioned.write_version(fc, out, version)
-        versioned.append_loss(forecast.loss_history(d), out, version)
+        versioned.write_version(forecast.forecast_table(d), out, version)
+        versioned.append_loss(forecast.newest_cycle(forecast.loss_history(d)), out)
         (spark.createDataFrame([(version, newest)], "version int, cutoff timestamp_ntz")
          .write.mode("append").parquet(f"{out}/cutoffs"))
     return step
@@ -253,48 +296,55 @@ def q_stream_forecast(spark, sf_dir):
         history.upsert(spark, tables.events_to_readings(batch), hist, epoch_id)
         model()
 
-    _run(spark, event_stream(spark, landing).writeStream.foreachBatch(step), scratch_path(spark, "ckpt"))
+    run_arrivals(spark, landing, event_stream(spark, landing).writeStream.foreachBatch(step),
+                 scratch_path(spark, "ckpt"))
     return versioned.read_versions(spark, out)
 
 
 # -- X8: incremental pickup of forecast versions -------------------------------
 
+def _write_versions(spark, sf_dir, root: str) -> list[str]:
+    """The forecast versions as files below ``root``."""
+    from sitecast.plans.catalog import N_VERSIONS, versions_in_memory
+    allv = versions_in_memory(spark, sf_dir, N_VERSIONS)
+    return [versioned.write_version(allv.where(F.col("version") == v), root, v) for v in range(1, N_VERSIONS + 1)]
+
+
 def q_versioned_read(spark, sf_dir):
     """Write the forecast versions, read them all back."""
-    from sitecast.plans.catalog import N_VERSIONS, versions_in_memory
     root = scratch_path(spark, "forecasts")
-    allv = versions_in_memory(spark, sf_dir, N_VERSIONS)
-    for v in range(1, N_VERSIONS + 1):
-        versioned.write_version(allv.where(F.col("version") == v), root, v)
+    _write_versions(spark, sf_dir, root)
     return versioned.read_versions(spark, root)
 
 
+def q_newest_version(spark, sf_dir):
+    """The newest version among the files."""
+    return versioned.newest_version(q_versioned_read(spark, sf_dir))
+
+
+def accumulated(spark: SparkSession, path: str) -> DeltaTable:
+    """The forecasts of all versions, the highest version per key."""
+    return DeltaTable(spark, path, ("measurement_time", "site_id", "forecast_type"), ("version",),
+                      "forecast_date", lambda: F.to_date("measurement_time"))
+
+
 def q_stream_accumulate(spark, sf_dir):
     """A file stream over the forecast directory picks up each new
-    version; every batch is upserted into the accumulated table (highest
-    version wins per time, site and forecaster)."""
-    from sitecast.plans.catalog import N_VERSIONS, versions_in_memory
-    root = scratch_path(spark, "forecasts")
-    allv = versions_in_memory(spark, sf_dir, N_VERSIONS)
-    for v in range(1, N_VERSIONS + 1):
-        versioned.write_version(allv.where(F.col("version") == v), root, v)
-    acc = scratch_path(spark, "accumulated")
-    src = (spark.readStream.schema(versioned.FORECAST_SCHEMA).option("maxFilesPerTrigger", 1)
+    version as it arrives; every version is one batch, upserted into the
+    accumulated table (highest version wins per time, site and forecaster)."""
+    staged, root = scratch_path(spark, "forecasts-staged"), scratch_path(spark, "forecasts")
+    paths = _write_versions(spark, sf_dir, staged)
+    acc = accumulated(spark, scratch_path(spark, "accumulated"))
+    checkpoint = scratch_path(spark, "ckpt")
+    src = (spark.readStream.schema(versioned.FORECAST_SCHEMA)
            .parquet(f"{root}/{versioned.FILE_PREFIX}_*_prediction.parquet")
-           .withColumn("version", F.col("_metadata.file_path")))
-
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        from sitecast.functions.columns import version_from_name
-        b = batch.withColumn("version", version_from_name("version"))
-        if path_exists(spark, acc):
-            b = spark.read.parquet(acc).unionByName(b)
-        merged = dedup.keep_last_version(b)
-        stage = f"{acc}_stage/epoch={epoch_id}"
-        merged.write.mode("overwrite").parquet(stage)
-        spark.read.parquet(stage).write.mode("overwrite").parquet(acc)
-
-    _run(spark, src.writeStream.foreachBatch(merge), scratch_path(spark, "ckpt"))
-    return spark.read.parquet(acc)
+           .withColumn("version", version_from_name(F.col("_metadata.file_path"))))
+    writer = src.writeStream.foreachBatch(lambda batch, epoch_id: acc.upsert(batch, epoch_id))
+    for p in paths:
+        move_path(spark, p, f"{root}/{p.rsplit('/', 1)[1]}")
+        _run(spark, writer, checkpoint)
+    acc.compact()
+    return acc.read().drop("forecast_date")
 
 
 # -- S9 / S7 / P1-P3: messages through a stream -------------------------------
@@ -304,9 +354,7 @@ def q_stream_ingest(spark, sf_dir):
     read as a stream, parsed with the fixed schema; rows without key go to a
     reject table, the rest are appended."""
     landing = scratch_path(spark, "json-landing")
-    msgs = ingest.encode_json(tables.readings(spark, sf_dir))
-    (msgs.select(F.col("value").cast("string").alias("value"))
-     .repartition(6).write.mode("overwrite").text(landing))
+    ingest.write_messages(ingest.encode_json(tables.readings(spark, sf_dir)), "files", landing)
     out = scratch_path(spark, "ingested")
     rejects = scratch_path(spark, "rejects")
 
@@ -321,7 +369,7 @@ def q_stream_ingest(spark, sf_dir):
         bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(rejects)
 
-    src = ingest.message_stream(spark, "files", landing, max_files_per_trigger=2)
+    src = ingest.message_stream(spark, "files", landing)
     _run(spark, src.writeStream.foreachBatch(sink), scratch_path(spark, "ckpt"))
     return spark.read.parquet(out).drop("epoch")
 
@@ -336,4 +384,5 @@ STREAM_QUERIES = {
     "stream_accumulate": q_stream_accumulate,
     "stream_ingest": q_stream_ingest,
     "versioned_read": q_versioned_read,
+    "newest_version": q_newest_version,
 }

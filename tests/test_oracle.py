@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as E
 from sitecast.plans.compare import compare, duck
+from sitecast.plans.registry import all_oracle
 from tests.conftest import SMOKE
 
-WRITE_BACKED = {"upsert_merge", "ingest_xml", "versioned_read"}
-ORACLE = E.oracle_sql()
+WRITE_BACKED = {"upsert_merge", "ingest_xml", "versioned_read", "newest_version"}
+ORACLE = all_oracle()
 BATCH = sorted(k for k in ORACLE if not k.startswith("stream_") and k not in WRITE_BACKED)
 
 
@@ -26,8 +27,8 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_is_registered_and_oracles_are_a_subset():
     q = E.queries()
-    assert set(ORACLE) <= set(q)
-    assert len(q) >= 50
+    assert set(ORACLE) == set(q) - {n for n in q if n.startswith("op") or n == "pipeline"}
+    assert len(q) >= 60
 
 
 def test_entry_runs(spark):

@@ -194,14 +194,17 @@ def test_upsert_replay_late_rows_and_bootstrap(spark, tmp_path):
     assert h[(1, ts(0))].avg_vehicle_flow_rate == pytest.approx(15.5)   # stats after merge
 
 
-def test_unreadable_history_is_an_error_not_a_bootstrap(spark, tmp_path):
+def test_unreadable_history_is_an_error(spark, tmp_path):
     path = tmp_path / "history"
-    (path / "measurement_date=2024-01-01").mkdir(parents=True)
-    (path / "measurement_date=2024-01-01" / "part-0.parquet").write_bytes(b"not parquet")
     b = readings_df(spark, [(1, 1, 0, 0, 10)])
+    history.upsert(spark, b, str(path), epoch_id=0)
+    part = next((path / "deltas" / "epoch=0").glob("part-*.parquet"))
+    for f in (path / "deltas" / "epoch=0").glob(".*.crc"):
+        f.unlink()
+    part.write_bytes(b"not parquet")
     with pytest.raises(Exception):
-        history.upsert(spark, b, str(path), epoch_id=0)
-    assert (path / "measurement_date=2024-01-01" / "part-0.parquet").read_bytes() == b"not parquet"
+        history.read_history(spark, str(path)).collect()
+    assert part.read_bytes() == b"not parquet"
 
 
 def test_series_filters(spark):
