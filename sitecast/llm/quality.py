@@ -111,9 +111,9 @@ def measures(text: Column, lang: Column) -> Column:
         dup_lines.cast("long").alias("n_dup_lines"))
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """(lang, char_ref, word_ref): summed histograms, at most MAX_LANGUAGES
-    languages and one row with a null language for all documents."""
+def references(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, char_ref, word_ref): summed histograms of at most MAX_LANGUAGES
+    languages; and one row (char_ref) for all documents."""
     def sums(name: str, n: int) -> Column:
         return F.array(*[F.sum(F.get(F.col(name), F.lit(i))).cast("double") for i in range(n)])
 
@@ -121,9 +121,7 @@ def references(measured: DataFrame) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("n"), sums("m.char_bins", len(CLASSES)).alias("char_ref"),
                      sums("m.w.word_bins", WORD_BINS).alias("word_ref")))
     top = per_lang.where("lang IS NOT NULL").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    total = per_lang.agg(F.array(*[F.sum(F.get("char_ref", F.lit(i))) for i in range(len(CLASSES))]).alias("char_ref"))
-    return top.select("lang", "char_ref", "word_ref").unionByName(
-        total.select(F.lit(None).cast("string").alias("lang"), "char_ref"), allowMissingColumns=True)
+    return top.select("lang", "char_ref", "word_ref"), per_lang.agg(sums("char_ref", len(CLASSES)).alias("char_ref"))
 
 
 def js_distance(counts: Column, reference: Column) -> Column:
@@ -153,12 +151,11 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang", *keep: str)
 
 def judge(measured: DataFrame) -> DataFrame:
     """Adds char_distance, word_distance, base_failed and kept."""
-    # the reference table has a proven bound of MAX_LANGUAGES + 1 rows
-    ref = references(measured)
-    own = ref.where("lang IS NOT NULL").select(F.col("lang").alias("ref_lang"), "char_ref", "word_ref")
-    everything = ref.where("lang IS NULL").select(F.col("char_ref").alias("all_ref"))
+    own, everything = references(measured)
+    own = own.select(F.col("lang").alias("ref_lang"), "char_ref", "word_ref")
+    # the reference table has a proven bound of MAX_LANGUAGES rows
     rows = (measured.join(F.broadcast(own), F.col("lang") == F.col("ref_lang"), "left")
-            .join(F.broadcast(everything), F.lit(True), "left"))
+            .withColumn("all_ref", everything.scalar()))
     words = F.col("m.w.n_words")
     base_failed = (words < MIN_WORDS) | (100 * F.col("m.w.n_repeat_words") > 50 * words)
     chars = F.aggregate("m.char_bins", F.lit(0).cast("long"), lambda a, x: a + x)
