@@ -24,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Rows to an Arrow batch; texts make wide rows.
+ARROW_ROWS = 1000
+
 #: Broadcast bound of ``among``: ids of 8 bytes.
 MAX_IDS = 1 << 21
 
@@ -62,7 +65,8 @@ def store(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     plan runs once, and the result survives a lost executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    with arrow_rows(spark, ARROW_ROWS):
+        df.write.option("compression", codec).parquet(path)
     release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path

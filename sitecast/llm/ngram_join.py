@@ -18,11 +18,14 @@ frequent, by hash, then the frequent ones, by hash. Which shingles count as
 frequent affects speed only; the table of at most ``MAX_FREQUENT`` hashes is the
 one broadcast, and its bound is that parameter.
 
-Lists never expand into all their pairs. Each list first links its members to
-one centre (the member with fewest rare shingles) after exact verification;
-lists that then lie in one component are settled, since only components are
-asked for. What remains is the pairs of a list in different components, cut by
-the size and position filters before they are made and verified exactly.
+Lists never expand into all their pairs. Each list offers its members one centre
+(the member with fewest rare shingles). A document is verified first against the
+centre it shares most lists with, then against those centres that are not in its
+component yet; lists that then lie in one component are settled, since only
+components are asked for. What remains is the pairs of a list in different components, cut by
+the size and position filters before they are made. Before whole sets are
+compared, a pair must pass its parity sketches, which bound the difference of the
+sets from below and so lose no link.
 
 Defined results: a null or empty text, or one without words, has an empty set,
 links with nothing and is its own component; with fewer than K words the whole
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.llm.bpe import binary_rows
-from sitecast.llm.common import drop_stored, keyed_text, mix64, store, sub_batches, word_hashes
+from sitecast.llm.common import among, drop_stored, keyed_text, mix64, store, sub_batches, word_hashes
 from sitecast.llm.components import connected_components
 
 K = 5
@@ -51,6 +54,8 @@ K = 5
 MAX_FREQUENT = 1 << 20
 #: A shingle counted this often is treated as frequent.
 FREQUENT = 16
+#: Bytes of text shingled at a time.
+TEXT_BYTES = 1 << 18
 #: Sizes for which subsets may be enumerated.
 MAX_SMALL = 16
 
@@ -99,12 +104,12 @@ def survey(docs: DataFrame) -> DataFrame:
                 "kind": pa.array(np.ones(keep.sum(), np.int32)), "value": pa.array(h[keep].view(np.int64)),
                 "n": pa.array(n[keep].astype(np.int64))})
 
-        for _, data, bounds in sub_batches(batches):
+        for _, data, bounds in sub_batches(batches, limit=TEXT_BYTES):
             for s in shingle_sets(data, bounds):
                 sizes[min(len(s), top)] += 1
                 buffer.append(s)
                 held += len(s)
-            if held > 4_000_000:
+            if held > 1_000_000:
                 yield flush()
                 buffer, held = [], 0
         if buffer:
@@ -141,17 +146,39 @@ def subset_keys(s: np.ndarray) -> list[int]:
     return out
 
 
+def parity_sketch(s: np.ndarray) -> bytes:
+    """One parity bit for each bucket of the set's hashes, with at least as many
+    buckets as shingles (a power of two, 64 or more). Every shingle in which two
+    sets differ flips one bit, so two sketches of one length differ in at most
+    as many bits as the sets in shingles; halves fold by exclusive or."""
+    m = max(64, 1 << max(0, len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1,
+                       bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the shingles in which two sets differ."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, bits = int.from_bytes(x, "little"), 8 * len(x)
+    while bits > 8 * len(y):
+        bits //= 2
+        a = (a >> bits) ^ (a & ((1 << bits) - 1))
+    return (a ^ int.from_bytes(y, "little")).bit_count()
+
+
 def signatures(docs: DataFrame, frequent: np.ndarray, small: int) -> DataFrame:
     """doc_id, n, k1, k2 (key of the set), rare (shingles not known to be
     frequent), keys (index keys as 64-bit little-endian: the prefix in rarest
-    order, then the subsets), n_prefix."""
+    order, then the subsets), n_prefix, sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
-        for batch, data, bounds in sub_batches(batches):
+        for batch, data, bounds in sub_batches(batches, limit=TEXT_BYTES):
             rows: list[tuple[int, int, int, int, int]] = []
             keys: list[np.ndarray] = []
+            sketches: list[bytes] = []
             for s in shingle_sets(data, bounds):
                 n = len(s)
                 if len(hot) and n:
@@ -170,17 +197,19 @@ def signatures(docs: DataFrame, frequent: np.ndarray, small: int) -> DataFrame:
                 rows.append((n, int(mix64(s, 4).sum(dtype=np.uint64).view(np.int64)),
                              int(mix64(s, 5).sum(dtype=np.uint64).view(np.int64)), rare, len(prefix)))
                 keys.append(np.concatenate([prefix, subsets]))
+                sketches.append(parity_sketch(s))
             cut = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int64)
             cols = np.array(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(cols[:, j]) for j in range(5)],
-                 binary_rows(np.concatenate(keys).astype("<u8"), cut)],
-                names=["doc_id", "n", "k1", "k2", "rare", "n_prefix", "keys"])
+                 binary_rows(np.concatenate(keys).astype("<u8"), cut), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n", "k1", "k2", "rare", "n_prefix", "keys", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, rare long, n_prefix long, keys binary")
+    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, rare long, n_prefix long, keys binary, "
+                                "sketch binary")
 
 
-def list_entries(classes: DataFrame) -> DataFrame:
+def list_entries(indexed: DataFrame) -> DataFrame:
     """Inverted-list entries (key, rep, n, rare, pos) of the representatives;
     pos counts from 1 in the rarest-first order and is 0 for a subset."""
 
@@ -200,7 +229,7 @@ def list_entries(classes: DataFrame) -> DataFrame:
                     [pa.array(flat.view(np.int64)), *[pa.array(np.repeat(c.to_numpy(), count)) for c in (rep, n, rare)],
                      pa.array(pos)], names=["key", "rep", "n", "rare", "pos"])
 
-    return (classes.select("rep", "n", "rare", "n_prefix", "keys").where(F.length("keys") > 0)
+    return (indexed.select("rep", "n", "rare", "n_prefix", "keys").where(F.length("keys") > 0)
             .mapInArrow(run, "key long, rep long, n long, rare long, pos long"))
 
 
@@ -233,18 +262,52 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, shingles) of the documents whose ids are in ``wanted`` (rep)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, bounds in sub_batches(batches):
+        for batch, data, bounds in sub_batches(batches, limit=TEXT_BYTES):
             sets = list(shingle_sets(data, bounds))
             cut = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), binary_rows(np.concatenate(sets).astype("<u8"), cut)],
                                              names=["rep", "shingles"])
 
-    return (docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    return (among(docs, wanted, "doc_id")
             .mapInArrow(run, "rep long, shingles binary").dropDuplicates())
 
 
+def apart(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) that are not in one component yet."""
+    left = placed.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    right = placed.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    return (pairs.distinct().join(left, "a", "left").join(right, "b", "left")
+            .where("coalesce(x, a) <> coalesce(y, b)").select("a", "b"))
+
+
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) whose sketches do not rule a link out: sets
+    that link differ in at most a ninth of their summed sizes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, x, y = (c.to_pylist() for c in batch.columns)
+            keep = [9 * least_difference(s, t) <= size for size, s, t in zip(n, x, y)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    return (pairs.distinct().join(left, "a").join(right, "b").select("a", "b", F.expr("na + nb"), "x", "y")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def link(docs: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by the whole sets of their documents."""
+    pairs = store(possible(pairs, sketches), "pairs")
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+    sets = store(sets_of(docs, ids), "sets")
+    out = store(verified(pairs, sets), "links")
+    drop_stored(pairs, sets)
+    return out
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
+    """The pairs (a, b) whose sets link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,22 +340,32 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     drop_stored(seen)
 
     same = ["k1", "k2", "n"]
-    classes = store(signed.where("doc_id IS NOT NULL AND n > 0").groupBy(*same)
-                    .agg(F.min(F.struct("doc_id", "rare", "n_prefix", "keys")).alias("m"))
-                    .select(*same, F.col("m.doc_id").alias("rep"), "m.rare", "m.n_prefix", "m.keys"), "classes")
-    lists = store(centred(list_entries(classes)), "lists")
-    sets = store(sets_of(rows, lists.select("rep").distinct()), "sets")
-
-    member = store(signed.select("doc_id", "n", "k1", "k2").join(classes.select(*same, "rep"), same, "left")
-                   .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("node")), "members")
-    drop_stored(signed, classes)
-    twice = (member.where("doc_id IS NOT NULL").groupBy("doc_id")
-             .agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("doc_id"))
+    classes = signed.where("doc_id IS NOT NULL AND n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    member = store(signed.select("doc_id", *same).join(classes, same, "left")
+                   .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("node")),
+                   "members")
+    by_id = member.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"), F.bool_or(F.expr("node = doc_id")).alias("rep"))
+    twice = by_id.where("lo < hi").select("doc_id")
     one_id = member.join(twice, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-
-    near = (lists.where("rep <> c_rep").where(may_link("", "c_"))
-            .select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct())
-    links = store(verified(near, sets).unionByName(one_id), "links")
+    copies = by_id.where("NOT rep").select("doc_id")
+    indexed = among(signed.where("doc_id IS NOT NULL AND n > 0"), copies, "doc_id", keep=False)
+    indexed = indexed.withColumnRenamed("doc_id", "rep")
+    sketches = store(indexed.select("rep", "n", "sketch"), "sketches")
+    lists = store(centred(list_entries(indexed)), "lists")
+    drop_stored(signed)
+
+    # each document is first held against the centre it shares most lists with
+    near = store(lists.where("rep <> c_rep").where(may_link("", "c_"))
+                 .groupBy("rep", "c_rep").agg(F.count(F.lit(1)).alias("lists")), "near")
+    best = near.groupBy("rep").agg(F.max(F.struct("lists", -F.col("c_rep"))).alias("m")).select(
+        "rep", (-F.col("m.col2")).alias("c_rep"))
+    first = link(rows, best.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")), sketches)
+    links = store(first.unionByName(one_id), "links")
+    placed = connected_components(links)
+    other = apart(near.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")), placed)
+    links = store(links.unionByName(link(rows, other, sketches)), "links")
+    drop_stored(near)
     joined = connected_components(links)
     placed = (lists.join(joined, lists["rep"] == joined["node"], "left")
               .withColumn("comp", F.coalesce("component", "rep")))
@@ -301,10 +374,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                        "open-lists")
     x, y = open_lists.alias("x"), open_lists.alias("y")
     rest = (x.join(y, F.expr("x.key = y.key AND x.rep < y.rep AND x.comp <> y.comp AND " + may_link("x.", "y.")))
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    more = store(verified(rest, sets), "links")
-    found = connected_components(links.unionByName(more))
-    drop_stored(lists, sets, open_lists, links, more)
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")))
+    found = connected_components(links.unionByName(link(rows, rest, sketches)))
+    drop_stored(lists, open_lists, sketches)
     return member.join(found, "node", "left").select(
         F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
 
