@@ -256,3 +256,13 @@ def test_slot_fill_cost_follows_the_cells(spark):
     seconds(1000)
     small, large = min(seconds(4000) for _ in range(3)), seconds(32000)
     assert large < 12 * max(small, 0.4)
+
+
+def test_output_order_and_columns(spark):
+    from sitecast.plans import catalog
+    d = "/root/testdata/sf0.001"
+    rows = [(r.site_id, r.measurement_time, r.forecast_type) for r in catalog.q_forecast_union(spark, d).collect()]
+    assert rows == sorted(rows)
+    assert catalog.q_pivot_sites(spark, d).columns == ["site_id", *catalog.CALENDAR]
+    ranks = [r.iteration for r in catalog.q_loss_iteration_rank(spark, d).collect()]
+    assert ranks == sorted(ranks) and len(set(ranks)) == len(ranks)

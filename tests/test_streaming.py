@@ -115,3 +115,33 @@ def test_ingest_stream_records_batch_metrics(spark):
     assert len(new) == 1
     m = spark.read.parquet(new.pop())
     assert m.agg(F.sum("n_rows")).first()[0] == out.count()
+
+
+def test_processing_time_trigger(spark):
+    """The continuous form (5-minute trigger) handles what has arrived at its
+    start and can be stopped; nothing is lost for the next run."""
+    landing = jobs.land_events(spark, SMOKE, n_files=2, overlap=0.0)
+    hist, ckpt = scratch_path(spark, "h"), scratch_path(spark, "c")
+    names = jobs.staged_chunks(spark, landing)
+    jobs.move_path(spark, f"{landing}/_staged/{names[0]}", f"{landing}/{names[0]}")
+    q = jobs.run_upsert_stream(spark, landing, hist, ckpt, available_now=False)
+    try:
+        q.processAllAvailable()
+        first = history.read_history(spark, hist).count()
+        assert 0 < first
+    finally:
+        q.stop()
+    jobs.run_upsert_stream(spark, landing, hist, ckpt)
+    assert _keys(history.read_history(spark, hist)) == _keys(dedup.dedup_latest(tables.readings(spark, SMOKE)))
+
+
+def test_chunks_have_many_files_and_are_one_epoch_each(spark):
+    landing = jobs.land_events(spark, SMOKE, n_files=3, overlap=0.2)
+    spark.read.parquet(f"{landing}/_staged/chunk=1").repartition(5).write.mode("append").parquet(f"{landing}/_more")
+    for name in jobs.child_names(spark, f"{landing}/_more"):
+        if name.startswith("part-"):
+            jobs.move_path(spark, f"{landing}/_more/{name}", f"{landing}/_staged/chunk=1/again-{name}")
+    hist = scratch_path(spark, "h")
+    jobs.run_upsert_stream(spark, landing, hist, scratch_path(spark, "c"))
+    assert history.table(spark, hist).open_epochs() == [0, 1, 2]
+    assert _keys(history.read_history(spark, hist)) == _keys(dedup.dedup_latest(tables.readings(spark, SMOKE)))
