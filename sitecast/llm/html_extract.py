@@ -5,7 +5,7 @@ tag negative; one linear scan finds the contiguous stretch of highest total. The
 weights come from labelled pages, those that mark their content with an article
 or main element: a word's weight is the log-odds of its context lying inside the
 content, a tag's is minus the log-odds of lying outside. At most
-``LABELLED_PAGES`` pages (a documented bound, taken in hash order) are counted;
+``LABELLED_PAGES`` pages (a documented bound) are counted;
 without any the prior weights hold.
 
 The stretch is then aligned to the page's elements: if an article or main
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecast.llm.common import ship
+from sitecast.llm.common import bounded_sample, ship
 
 LABELLED_PAGES = 2000
 
@@ -255,8 +255,7 @@ def learn(pages: DataFrame, bound: int = LABELLED_PAGES, key: str = "page_id", p
     element names of HTML, so the table that is collected has a few hundred
     rows at most."""
     ship(pages.sparkSession)
-    labelled = (pages.select(key, page).where(F.col(page).rlike("(?i)<(article|main)[ >]"))
-                .orderBy(F.xxhash64(key), key).limit(bound))
+    labelled = bounded_sample(pages.select(key, page).where(F.col(page).rlike("(?i)<(article|main)[ >]")), bound, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
