@@ -8,8 +8,7 @@ are licence families and ``unknown``.
 
 Training rows: the notice templates of each family, each also with every single
 word left out; sentences that use the cue words without granting a licence; and
-paragraphs of at most ``SAMPLE_DOCUMENTS`` documents (a documented bound, taken
-in hash order) that hold no cue, as ``unknown``. A fifth of the rows, by hash, is
+paragraphs of at most ``SAMPLE_DOCUMENTS`` documents (a documented bound) that hold no cue, as ``unknown``. A fifth of the rows, by hash, is
 not fitted but calibrates the unknown class: a family is accepted only above the
 highest family probability that an unknown calibration row gets, and above
 ``LEAST_PROBABILITY``. An accepted family is confirmed if a template of it
@@ -29,6 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitecast.llm.common import bounded_sample
 from sitecast.llm.quality import bind
 
 UNKNOWN = "unknown"
@@ -107,7 +107,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, key: str, text: str) ->
     fewer = (named.select("family", words.alias("w"), places.alias("i"))
              .select("family", F.array_join(F.concat(F.slice("w", F.lit(1), F.col("i") - 1),
                                                      F.slice("w", F.col("i") + 1, F.size("w"))), " ").alias("text")))
-    sample = docs.where(F.col(text).isNotNull()).orderBy(F.xxhash64(key, text), key).limit(SAMPLE_DOCUMENTS)
+    sample = bounded_sample(docs.where(F.col(text).isNotNull()).select(key, text), SAMPLE_DOCUMENTS, key, text)
     plain = paragraphs(sample, key, text, cue=False).select(F.lit(UNKNOWN).alias("family"), "text")
     return named.unionByName(fewer).unionByName(plain)
 
