@@ -40,9 +40,9 @@ from sitecast.llm.shard_files import MappedArrays, lookup, write_arrays
 
 END, BEGIN = np.uint64(0x5DEECE66D1234567), np.uint64(0x1B873593CC9E2D51)
 #: Tokens that a task adds up before it emits.
-BUFFER = 2_000_000
+BUFFER = 500_000
 #: Text scored at a time.
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 1 << 20
 _MUL = np.uint64(0x9FB21C651E98DF25)
 
 WORD_FILE = ["<u8", "<i8", "<i8"]            # word, count, distinct words before it
@@ -191,7 +191,7 @@ def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     """Count the texts of ``docs`` and write the model's files below ``path``."""
     spark = docs.sparkSession
     rows = keyed_text(docs, key, text)
-    shards = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(4, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, _ in buffered(batches):
@@ -310,6 +310,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """Train on the rows that are not held out and score every row."""
     path = scratch_path(docs.sparkSession, "lm")
     model = train(docs.where(~held_out(key)), path, key, text)
-    return score(docs, model, key, text).select(
+    # the scores are small; stored, the step runs with small Arrow batches
+    return store(score(docs, model, key, text), "lm-scores").select(
         key, held_out(key).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
