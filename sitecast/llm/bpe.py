@@ -336,14 +336,94 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @functools.lru_cache(2)
-def rank_encoder(path: str) -> CachedEncoder:
+def pair_table(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys (left id, right id) of all pairs that make a token, and the
+    token of each."""
+    ranks = load_ranks(path)
+    made = {}
+    for token, i in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                made[left << 32 | right] = i
+    keys = np.array(sorted(made), np.int64)
+    return keys, np.array([made[k] for k in keys.tolist()], np.int64)
+
+
+#: Matches up to this many bytes are merged side by side.
+SHORT = 64
+_NO_PAIR = np.int64(1) << 40
+
+
+def merge_together(pieces: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of many matches and each match's number of ids. Every round joins
+    the leftmost pair of lowest rank in all matches at once; only the pairs
+    beside a join are looked up again, and finished matches step aside."""
     ranks = load_ranks(path)
+    keys, made = pair_table(path)
+
+    def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+        return np.where(keys[at] == wanted, made[at], _NO_PAIR) if len(keys) else np.full(len(left), _NO_PAIR)
+
+    out: list = [None] * len(pieces)
+    short = []
+    for k, p in enumerate(pieces):
+        whole = ranks.get(p)
+        if whole is not None:
+            out[k] = [whole]
+        elif len(p) > SHORT:
+            out[k] = merge_pairs(p, ranks)
+        else:
+            short.append(k)
+    if short:
+        single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        raw = [pieces[k] for k in short]
+        ids = single[np.frombuffer(b"".join(raw), np.uint8)]
+        if (ids < 0).any():
+            raise KeyError("the vocabulary lacks a byte")
+        owner = np.repeat(np.array(short), [len(p) for p in raw])
+        last = np.append(owner[1:] != owner[:-1], True)
+        pair = np.full(len(ids), _NO_PAIR)
+        pair[:-1] = rank_of(ids[:-1], ids[1:])
+        pair[last] = _NO_PAIR
+        while len(ids):
+            begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            low = np.minimum.reduceat(pair, begin)
+            size = np.diff(np.append(begin, len(ids)))
+            done = low == _NO_PAIR
+            if done.any():
+                gone = np.repeat(done, size)
+                left_over, of = ids[gone], owner[gone]
+                bounds = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of)).tolist()
+                values, names = left_over.tolist(), of.tolist()
+                for a, b in zip(bounds, bounds[1:]):
+                    out[names[a]] = values[a:b]
+                ids, owner, pair, last = ids[~gone], owner[~gone], pair[~gone], last[~gone]
+                if not len(ids):
+                    break
+                low, size = low[~done], size[~done]
+            hit = np.flatnonzero(pair == np.repeat(low, size))
+            hit = hit[np.append(True, owner[hit[1:]] != owner[hit[:-1]])]  # the leftmost of each match
+            ids[hit] = pair[hit]
+            last[hit] = last[hit + 1]
+            stay = np.ones(len(ids), bool)
+            stay[hit + 1] = False
+            at = hit - np.arange(len(hit))  # places after the joins
+            ids, owner, pair, last = ids[stay], owner[stay], pair[stay], last[stay]
+            new = np.full(len(at), _NO_PAIR)
+            inner = np.flatnonzero(~last[at])
+            new[inner] = rank_of(ids[at[inner]], ids[at[inner] + 1])
+            pair[at] = new
+            before = at[(at > 0) & (owner[np.maximum(at - 1, 0)] == owner[at])] - 1
+            pair[before] = rank_of(ids[before], ids[before + 1])
+    return (np.array([i for m in out for i in m], np.uint32), np.array([len(m) for m in out], np.int64))
 
-    def words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        merged = [merge_pairs(p, ranks) for p in pieces]
-        return np.array([i for m in merged for i in m], np.uint32), np.array([len(m) for m in merged], np.int64)
 
-    return CachedEncoder(words)
+@functools.lru_cache(2)
+def rank_encoder(path: str) -> CachedEncoder:
+    return CachedEncoder(lambda pieces: merge_together(pieces, path))
 
 
 @functools.lru_cache(2)
