@@ -340,7 +340,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     drop_stored(seen)
 
     same = ["k1", "k2", "n"]
-    classes = signed.where("doc_id IS NOT NULL AND n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    # stored, so that the join below reads plain shuffles and a class of a third
+    # of all rows can be split
+    classes = store(signed.where("doc_id IS NOT NULL AND n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep")),
+                    "classes")
     member = store(signed.select("doc_id", *same).join(classes, same, "left")
                    .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("node")),
                    "members")
@@ -353,7 +356,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     indexed = indexed.withColumnRenamed("doc_id", "rep")
     sketches = store(indexed.select("rep", "n", "sketch"), "sketches")
     lists = store(centred(list_entries(indexed)), "lists")
-    drop_stored(signed)
+    drop_stored(signed, classes)
 
     # each document is first held against the centre it shares most lists with
     near = store(lists.where("rep <> c_rep").where(may_link("", "c_"))
