@@ -40,7 +40,7 @@ from sitecast.llm.shard_files import MappedArrays, lookup, write_arrays
 
 END, BEGIN = np.uint64(0x5DEECE66D1234567), np.uint64(0x1B873593CC9E2D51)
 #: Tokens that a task adds up before it emits.
-BUFFER = 500_000
+BUFFER = 1_000_000
 #: Text scored at a time.
 SCORE_BYTES = 1 << 20
 _MUL = np.uint64(0x9FB21C651E98DF25)
