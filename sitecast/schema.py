@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-# One sensor reading as carried in a JSON message (all nullable).
+# One sensor reading as carried in a JSON message (all nullable).
 READING = T.StructType([
     T.StructField("specific_lane", T.StringType()),
     T.StructField("geometry", T.StringType()),
@@ -18,7 +18,8 @@ READING = T.StructType([
 # of the same key can be broken deterministically.
 MESSAGE = T.StructType([T.StructField("event_id", T.LongType())] + READING.fields)
 
-# The raw record as flattened from a <TrafficFlow> element: every child is text.
+# The raw record as flattened from a <TrafficFlow> element; every
+# child is text.
 RAW_FIELDS = ["SiteId", "VehicleFlowRate", "AverageVehicleSpeed",
               "MeasurementTime", "ModifiedTime", "SpecificLane", "Geometry",
               "DataQuality"]

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import iso_time, strict_float, strict_int
-from sitecast.schema import DROPPED, MESSAGE, RAW_FIELDS, RAW_TEXT, RENAMES
+from sitecast.schema import DROPPED, MESSAGE, RAW_TEXT, RENAMES
 from sitecast.session import require_utc, scratch_path
 
-ROW_TAG = "TrafficFlow"
+ROW_TAG = "TrafficFlow"  # fixed value: the record element
 # Written times keep microseconds (the default pattern stops at millis);
 # reading uses Spark's default ISO parsing, which accepts an offset.
 JSON_WRITE = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
