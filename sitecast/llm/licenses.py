@@ -1,14 +1,16 @@
 """Licence scan by a trained paragraph classifier, in DataFrame functions and
 ``pyspark.ml`` only.
 
-Paragraphs are the lines of a text. Those with a licence cue (a fixed pattern)
-are classified by a multinomial logistic regression over hashed word unigrams
-and bigrams; all others are no licence paragraphs by definition. The classes
-are licence families and ``unknown``.
+Paragraphs are the lines of a text. Every line that is not blank is classified
+by a multinomial logistic regression over hashed word unigrams and bigrams. The
+classes are licence families and ``unknown``. Lines of a family are reported,
+and those of ``unknown`` that hold a licence cue (a fixed pattern); the cue has no
+say in what is classified.
 
 Training rows: the notice templates of each family, each also with every single
 word left out; sentences that use the cue words without granting a licence; and
-paragraphs of at most ``SAMPLE_DOCUMENTS`` documents (a documented bound) that hold no cue, as ``unknown``. A fifth of the rows, by hash, is
+paragraphs of at most ``SAMPLE_DOCUMENTS`` documents (a documented bound) that hold no
+cue and are not similar to a template of any family, as ``unknown``. A fifth of the rows, by hash, is
 not fitted but calibrates the unknown class: a family is accepted only above the
 highest family probability that an unknown calibration row gets, and above
 ``LEAST_PROBABILITY``. An accepted family is confirmed if a template of it
@@ -41,24 +43,27 @@ BUCKETS = 1 << 12
 TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files, to deal in the Software without restriction."],
+            "associated documentation files, to deal in the Software without restriction.",
+            "The software is provided \"as is\", without warranty of any kind, express or implied.",
+            "Distributed under the MIT terms"],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under Apache-2.0", "Apache License 2.0",
                    "You may not use this file except in compliance with the Apache License.",
                    "Unless required by applicable law or agreed to in writing, software distributed under the Apache "
                    "License is distributed on an AS IS BASIS, without warranties or conditions of any kind."],
     "GPL": ["This work is licensed under the GNU General Public License, version 3.",
             "Licensed under the GPL version 2 or later.", "Available under the GNU GPL v3 license", "GPL-3.0 license",
+            "Released under GPLv3", "GPLv2 or later",
             "This program is free software: you can redistribute it and modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation."],
     "LGPL": ["This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL, version 2.1.",
-             "GNU LGPL v3"],
+             "GNU LGPL v3", "Released under LGPLv3", "LGPLv2.1 or later"],
     "AGPL": ["Licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL license.",
-             "GNU AGPL v3"],
+             "GNU AGPL v3", "Released under AGPLv3", "AGPLv3 or later"],
     "BSD": ["Released under the BSD 3-Clause License.", "BSD 2-Clause License", "Licensed under the BSD license",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met."],
+            "that the following conditions are met.", "Available under BSD-3-Clause", "BSD-2-Clause"],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-            "Licensed under the MPL 2.0.", "Mozilla Public License 2.0"],
+            "Licensed under the MPL 2.0.", "Mozilla Public License 2.0", "Released under MPLv2", "MPL-2.0"],
     "CC-BY": ["Licensed under CC BY 4.0.", "CC-BY 4.0 license", "This work is licensed under a Creative Commons Attribution 4.0 "
               "International License."],
     "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "CC-BY-SA 4.0 license", "This work is licensed under a Creative Commons "
@@ -67,10 +72,12 @@ TEMPLATES = {
                  "Attribution-NonCommercial 4.0 International License."],
     "CC0": ["Released into the public domain under CC0 1.0.", "To the extent possible under law, the author has waived "
             "all copyright and dedicated this work to the public domain."],
+    "Unlicense": ["Unlicense", "Released under the Unlicense.",
+                  "This is free and unencumbered software released into the public domain."],
     "proprietary": ["Copyright. All rights reserved.", "All rights reserved. No part of this work may be reproduced "
                     "without the written permission of the publisher."],
 }
-#: Sentences with cue words that grant nothing.
+#: Sentences with cue words or names of families that grant nothing.
 NO_LICENCE = [
     "A valid driving licence is required to rent a car.", "The licence plate was found near the river.",
     "The court discussed copyright law for two days.", "Her licence to practise medicine was renewed last year.",
@@ -78,22 +85,28 @@ NO_LICENCE = [
     "The city will license new taxi drivers in spring.", "Food was redistributed to families in need.",
     "The shop lost its liquor license.", "The software license costs more than the hardware.",
     "Copyright questions should go to the office.", "The pilot showed a flying licence at the gate.",
+    "She studied physics at MIT for four years.", "Wir fahren mit dem Zug nach Berlin.",
+    "The Apache helicopter landed near the base.", "The software is provided to all members of the club.",
+    "The BSD conference takes place in May.", "The report was released under pressure last week.",
 ]
 CUE = (r"(?i)\b(?:licen[cs]\w*|copyright\w*|copyleft|public domain|all rights reserved|permission is hereby|"
        r"redistribut\w+|creative commons|CC[ -]BY|CC0|SPDX|[AL]?GPL|MPL)\b")
 
 
-def paragraphs(docs: DataFrame, key: str, text: str, cue: bool) -> DataFrame:
-    """(key, paragraph, text): the lines with (without) a licence cue."""
+def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, paragraph, text, cue): the lines that are not blank, and whether
+    they hold a licence cue."""
     lines = docs.select(F.col(key).cast("long").alias(key), F.posexplode(F.split(F.col(text), "\n", -1)))
-    found = F.col("col").rlike(CUE)
-    return lines.where(found if cue else ~found & (F.trim("col") != "")).select(
-        key, F.col("pos").cast("long").alias("paragraph"), F.col("col").alias("text"))
+    return lines.where(F.col("col").rlike(r"[\p{L}\p{N}]") | F.col("col").rlike(CUE)).select(
+        key, F.col("pos").cast("long").alias("paragraph"), F.col("col").alias("text"),
+        F.col("col").rlike(CUE).alias("cue"))
 
 
 def ngrams(text: Column) -> Column:
-    """Distinct word unigrams and bigrams."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"), 0)
+    """Distinct word unigrams and bigrams. A version that is written to a name
+    (GPLv3) is a word of its own, and so are the parts of Apache-2.0."""
+    apart = F.regexp_replace(F.lower(text), r"(?<=\p{L}{2})(v?[0-9])", " $1")
+    words = F.regexp_extract_all(apart, F.lit(r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"), 0)
     return bind(words, lambda w: F.array_distinct(F.concat(w, F.zip_with(
         w, F.slice(w, 2, 1 << 30), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)).otherwise(a)))))
 
@@ -106,9 +119,11 @@ def training_rows(spark: SparkSession, docs: DataFrame, key: str, text: str) ->
     places = F.explode(F.sequence(F.lit(1), F.size(words)))
     fewer = (named.select("family", words.alias("w"), places.alias("i"))
              .select("family", F.array_join(F.concat(F.slice("w", F.lit(1), F.col("i") - 1),
-                                                     F.slice("w", F.col("i") + 1, F.size("w"))), " ").alias("text")))
+                                                     F.slice("w", F.col("i") + 1, F.size("w"))), " ").alias("text"))
+             .where("text <> ''"))
     sample = bounded_sample(docs.where(F.col(text).isNotNull()).select(key, text), SAMPLE_DOCUMENTS, key, text)
-    plain = paragraphs(sample, key, text, cue=False).select(F.lit(UNKNOWN).alias("family"), "text")
+    plain = (paragraphs(sample, key, text).where(~F.col("cue") & (bind(ngrams(F.col("text")), lambda g: similarity(g)) < LEAST_SIMILARITY))
+             .select(F.lit(UNKNOWN).alias("family"), "text"))
     return named.unionByName(fewer).unionByName(plain)
 
 
@@ -149,24 +164,31 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> LicenceMode
     return LicenceModel(model, labels, max(LEAST_PROBABILITY, most or 0.0))
 
 
-def similarity(grams: Column, family: Column) -> Column:
-    """Largest share of a template's n-grams of ``family`` found in ``grams``."""
+def similarity(grams: Column, family: Column | None = None) -> Column:
+    """Largest share of a template's n-grams found in ``grams``, of the templates
+    of ``family`` or of all."""
     known = F.array(*[F.struct(F.lit(f).alias("family"), ngrams(F.lit(t)).alias("grams"))
                       for f, ts in TEMPLATES.items() for t in ts])
     return F.coalesce(F.array_max(F.transform(
-        F.filter(known, lambda t: t["family"] == family),
+        known if family is None else F.filter(known, lambda t: t["family"] == family),
         lambda t: F.size(F.array_intersect(t["grams"], grams)) / F.size(t["grams"]))), F.lit(0.0))
 
 
 def scan(docs: DataFrame, model: LicenceModel | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, paragraph, family, probability, similarity, confirmed of every
-    paragraph with a licence cue."""
+    paragraph that the classifier gives a family, and of those without one that
+    hold a licence cue."""
     model = model or fit(docs, key, text)
     labels = F.array(*[F.lit(x) for x in model.labels])
-    judged = model.regression.transform(features(paragraphs(docs, key, text, cue=True))).withColumn(
-        "best", family_probability(model.labels))
-    family = F.when(F.col("best.p") > model.threshold, F.element_at(labels, F.col("best.i") + 1)).otherwise(
-        F.lit(UNKNOWN))
-    return (judged.withColumn("family", family).withColumn("similarity", similarity(F.col("grams"), F.col("family")))
-            .select(key, "paragraph", "family", F.round("best.p", 4).alias("probability"), F.round("similarity", 4)
+    judged = model.regression.transform(features(paragraphs(docs, key, text)))
+    best = F.col("best")
+    family = F.when(best["p"] > model.threshold, F.element_at(labels, best["i"] + 1)).otherwise(F.lit(UNKNOWN))
+    # an array of one row or none instead of a filter, which Spark would push
+    # below the classifier and so run it twice
+    found = (judged.select(key, "paragraph", "grams", "cue", family_probability(model.labels).alias("best"))
+             .select(key, "paragraph", F.explode(F.filter(
+                 F.array(F.struct("grams", "cue", best["p"].alias("p"), family.alias("family"))),
+                 lambda x: x["cue"] | (x["family"] != UNKNOWN))).alias("x")))
+    return (found.select(key, "paragraph", "x.family", "x.p", similarity(F.col("x.grams"), F.col("x.family")).alias("similarity"))
+            .select(key, "paragraph", "family", F.round("p", 4).alias("probability"), F.round("similarity", 4)
                     .alias("similarity"), (F.col("similarity") >= LEAST_SIMILARITY).alias("confirmed")))

@@ -40,6 +40,29 @@ def test_awkward_rows(spark, model):
     assert got == [(0, 0, "MIT"), (3, 1, "MIT"), (3, 1, "MIT"), (3, 2, "MIT"), (3, 2, "MIT"), (4, 1, "MIT")]
 
 
+NO_CUE = [("Released under GPLv3.", "GPL"), ("LGPLv2.1 or later", "LGPL"), ("MPLv2", "MPL"),
+          ("Distributed under Apache-2.0.", "Apache-2.0"), ("Available under BSD-3-Clause.", "BSD"),
+          ("Distributed under the MIT terms.", "MIT"), ("Unlicense", "Unlicense"),
+          ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR', "MIT"),
+          # not among the templates in this form
+          ("Provided under AGPLv3 only", "AGPL"), ("Code: BSD-2-Clause", "BSD"), ("Made available under Apache-2.0", "Apache-2.0")]
+PROSE = ["Er kommt mit dem Bus und mit der Bahn.", "The band released a new record in May.",
+         "An Apache pilot spoke at MIT.", "They live under the bridge."]
+
+
+def test_notices_without_a_cue(spark, model):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NO_CUE)], "doc_id long, text string")
+    got = {r.doc_id: r.family for r in L.scan(rows, model).collect()}
+    assert got == {i: f for i, (_, f) in enumerate(NO_CUE)}
+    assert L.scan(spark.createDataFrame(list(enumerate(PROSE)), "doc_id long, text string"), model).count() == 0
+
+
+def test_notices_do_not_train_unknown(spark):
+    rows = spark.createDataFrame([(1, "Distributed under Apache-2.0.\nThey live under the bridge.")], "doc_id long, text string")
+    got = {r.text for r in L.training_rows(spark, rows, "doc_id", "text").where(f"family = '{L.UNKNOWN}'").collect()}
+    assert "They live under the bridge." in got and "Distributed under Apache-2.0." not in got
+
+
 def test_empty_table_trains_on_templates(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert L.scan(empty).count() == 0
