@@ -15,7 +15,7 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the written
     files. Not expressible in SQL: tests compare it with the library."""
     path = scratch_path(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
+    write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2, added=True)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -63,10 +64,36 @@ def unpack(block: bytes) -> np.ndarray:
     return out.view("<u4")[:n]
 
 
-@functools.lru_cache(2)
-def library_encoder(path: str) -> CachedEncoder:
+class WithAddedTokens:
+    """An encoder that leaves the texts that hold the string of an added token
+    of the tokenizer (``<|endoftext|>``) to the library as loaded, whole."""
+
+    def __init__(self, encoder: CachedEncoder, path: str):
+        from tokenizers import Tokenizer
+        self.encoder, self.library = encoder, Tokenizer.from_file(path)
+        added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.strings = re.compile(b"|".join(map(re.escape, added))) if added else None
+
+    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, cut = self.encoder(data, bounds)
+        raw = data.tobytes()
+        if self.strings is None or not self.strings.search(raw):
+            return ids, cut
+        parts = np.split(ids, cut[1:-1])
+        for k, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            if self.strings.search(raw, lo, hi):
+                parts[k] = np.array(self.library.encode(raw[lo:hi].decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+
+
+@functools.lru_cache(4)
+def library_encoder(path: str, added: bool = False) -> CachedEncoder | WithAddedTokens:
     """The tokenizers library behind the match cache: it encodes each distinct
-    match of the pre-tokeniser once, which gives the ids of the whole text."""
+    match of the pre-tokeniser once, which gives the ids of the whole text.
+    ``added``: strings of added tokens give those tokens, as in the library as
+    loaded; otherwise they are ordinary text."""
+    if added:
+        return WithAddedTokens(library_encoder(path), path)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
@@ -109,11 +136,11 @@ def library_encoder(path: str) -> CachedEncoder:
     return CachedEncoder(words)
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, added: bool = False) -> DataFrame:
     """Rows (part, block, doc_ids, lengths, n_ids, ids) in ascending id order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = library_encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = library_encoder(tokenizer_path, added), TaskContext.get().partitionId()
         for block, (batch, data, bounds) in enumerate(sub_batches(batches)):
             ids, cut = encoder(data, bounds)
             ids = np.insert(ids, cut[1:], end_id).astype("<u4")
@@ -154,10 +181,11 @@ def count_ids(blocks: DataFrame) -> DataFrame:
             .groupBy("token_id").agg(F.sum("n").alias("n")))
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
-    """Encode every document and write blocks, ranks and index below ``path``."""
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, added: bool = False) -> None:
+    """Encode every document and write blocks, ranks and index below ``path``.
+    ``added``: see ``library_encoder``."""
     spark = docs.sparkSession
-    plain = store(tokenise(docs, tokenizer_path, end_id), "token-blocks")
+    plain = store(tokenise(docs, tokenizer_path, end_id, added), "token-blocks")
     # at most one row for each id of the vocabulary
     by_rank = [r.token_id for r in count_ids(plain).orderBy(F.desc("n"), "token_id").collect()]
     (spark.createDataFrame([*enumerate(by_rank)], "rank int, token_id int")

@@ -72,6 +72,21 @@ def test_library_cache_gives_whole_text_ids():
         t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_added_tokens_as_in_the_library_as_loaded(spark, tmp_path):
+    from sitecast.llm.q_tokens import op1_token_output
+    texts = ["one <|endoftext|> two", "plain", "<|endoftext|><|endoftext|>", "", "<|endoftext", "|> x", "é<|endoftext|>"]
+    t = Tokenizer.from_file(TOKENIZER)
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert want[0] == [505, 220, 50256, 734]
+    assert encode(texts, token_output.library_encoder(TOKENIZER, added=True)) == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for r in op1_token_output(spark, str(tmp_path)).orderBy("doc_id").collect():
+        ids = [*want[r.doc_id], 2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), token_output.crc32_le(ids))
+        start += len(ids)
+
+
 def test_encode_and_decode_rows(docs):
     rows = bpe.decode(bpe.encode(docs, RANKS), RANKS).collect()
     want = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in docs.collect())
