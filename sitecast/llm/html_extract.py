@@ -61,30 +61,38 @@ HEADER_WORDS = {"header", "masthead", "topbar"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+MARKS = {"class", "id", "role"}
+CONTENT = {"article", "main"}
 WORDS = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("name", "kind", "parent", "frame", "content")
+    __slots__ = ("name", "kind", "parent", "own", "frame", "content")
 
     def __init__(self, name: str, kind: str, parent: Element | None, frame: bool):
         self.name, self.kind, self.parent = name, kind, parent
+        self.own = frame
         self.frame = frame or bool(parent and parent.frame)
-        self.content = name in ("article", "main") or bool(parent and parent.content)
+        self.content = name in CONTENT or bool(parent and parent.content)
 
 
 def kind_of(name: str, attributes: str, inside_content: bool) -> tuple[str, bool]:
     """Feature name of an element and whether it belongs to the frame. A header
-    inside the content is the content's own."""
+    inside the content is the content's own. A mark counts if all words of one
+    of its names are frame words (``cookie-notice``, not ``has-sidebar``)."""
     shown = name if name in BLOCK or name in INLINE or name in RAW else "other"
     if name in FRAME or name == "header" and not inside_content:
         return shown, True
     if "=" in attributes and name not in ("html", "body", "article", "main"):
-        for m in MARKS.finditer(attributes):
-            words = set(WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
-            if words & FRAME_WORDS or not inside_content and words & HEADER_WORDS:
-                return f"{shown}.frame", True
+        frame_words = FRAME_WORDS if inside_content else FRAME_WORDS | HEADER_WORDS
+        for m in ATTRIBUTE.finditer(attributes):
+            if m[1].lower() not in MARKS:
+                continue
+            for token in (m[2] or m[3] or m[4] or "").lower().split():
+                words = WORDS.findall(token)
+                if words and frame_words.issuperset(words):
+                    return f"{shown}.frame", True
     return shown, False
 
 
@@ -131,12 +139,32 @@ def parse(page: str) -> Iterator[tuple[str, str, Element | None]]:
             top = element
 
 
+#: Their content is never shown as it stands.
+HIDDEN = {"template", "head", "object", "svg"}
+
+
+def parsed(page: str) -> list[tuple[str, str, Element | None]]:
+    """The items of a page. If its only article or main elements lie inside
+    frame elements, those are wrappers: their frame does not pass on to them."""
+    items = list(parse(page))
+    elements = list({id(e): e for _, _, e in items if e is not None}.values())
+    marked = [e for e in elements if e.name in CONTENT]
+    if marked and all(e.frame for e in marked):
+        for e in elements:
+            up = e.parent
+            free = e.name in CONTENT and not e.own and not (up and up.content)
+            while free and up is not None:
+                free, up = up.name not in HIDDEN, up.parent
+            e.frame = e.own or not free and bool(e.parent and e.parent.frame)
+    return items
+
+
 def count_features(page: str) -> tuple[Counter, Counter] | None:
     """Counts of each feature inside and outside the content of a labelled
     page: words for text features, tags for the others."""
     inside, outside = Counter(), Counter()
     found = False
-    for feature, text, element in parse(page):
+    for feature, text, element in parsed(page):
         good = element is not None and element.content and not element.frame
         good = good and not (not text and element.name in ("article", "main"))
         found |= good
@@ -176,7 +204,7 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str, weight: dict[str, float]) -> str:
     """The page's main text."""
-    items = list(parse(page))
+    items = parsed(page)
     scores = []
     for feature, text, element in items:
         if text:

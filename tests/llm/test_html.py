@@ -35,6 +35,19 @@ def test_hand_made_pages(page, want):
     assert H.extract(page, WEIGHTS) == want
 
 
+@pytest.mark.parametrize("mark", ["layout has-sidebar", "with-comments", "no-ads", "search-result", "share-price", "widget"])
+def test_wrapper_of_an_article_is_no_frame(mark):
+    body = "<article><h1>Head</h1><p>some words of the article</p></article>"
+    assert H.extract(f"<body>{FRAME}<div class='{mark}'>{body}</div></body>", WEIGHTS) == "Head some words of the article"
+
+
+def test_marks_are_whole_names():
+    page = ("<article><h2 id='notice-period'>Notice period</h2><section id='social-impact'><p>it has an impact</p></section>"
+            "<p data-id='share-1'>shares rose</p><p title='an id=ad there'>last</p><div class='box ad'>Buy</div></article>"
+            "<section id='comments'><article><p>Nice post, nice post</p></article></section>")
+    assert H.extract(page, WEIGHTS) == "Notice period it has an impact shares rose last"
+
+
 def test_best_stretch_against_all_stretches():
     import random
     random.seed(1)
