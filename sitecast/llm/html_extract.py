@@ -8,9 +8,10 @@ content, a tag's is minus the log-odds of lying outside. At most
 ``LABELLED_PAGES`` pages (a documented bound) are counted;
 without any the prior weights hold.
 
-The stretch is then aligned to the page's elements: if an article or main
-element holds most of its score, that element is the content, else the smallest
-element that spans it. Elements of the page's frame (menus, headers, footers,
+The stretch is then aligned to the page's elements: the smallest element that
+covers all its text outside the frame is the content, or the article or main
+element around it. If only the whole page covers it, the content is the stretch
+with every article and main element that it touches. Elements of the page's frame (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, comments) go wherever they stand.
 References are decoded, white space inside a block becomes one blank, and the
 blocks are joined by one blank in page order.
@@ -216,7 +217,7 @@ def extract(page: str, weight: dict[str, float]) -> str:
     lo, hi = best_stretch(scores)
     if lo == hi:
         return ""
-    chosen = align(items, scores, lo, hi)
+    chosen = align(items, lo, hi)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -226,7 +227,7 @@ def extract(page: str, weight: dict[str, float]) -> str:
         run.clear()
 
     for i, (_, text, element) in enumerate(items):
-        if not (lo <= i < hi if chosen is None else within(element, chosen)):
+        if not (lo <= i < hi and not chosen[1] or any(within(element, e) for e in chosen[0])):
             continue
         if text:
             if element is None or not element.frame:
@@ -243,23 +244,22 @@ def within(element: Element | None, outer: Element) -> bool:
     return element is outer
 
 
-def align(items: list, scores: list[float], lo: int, hi: int) -> Element | None:
-    """The element that stands for the stretch; None: the stretch itself."""
-    share: dict[int, list] = {}
-    total, path = 0.0, None
-    for (_, text, element), s in zip(items[lo:hi], scores[lo:hi]):
-        if not text or not text.strip():
+def align(items: list, lo: int, hi: int) -> tuple[list[Element], bool]:
+    """The elements that stand for the stretch, and whether they do so alone;
+    if not, the stretch itself belongs to them."""
+    path = None
+    touched: dict[int, Element] = {}
+    for _, text, element in items[lo:hi]:
+        if not text or not text.strip() or element is not None and element.frame:
             continue
-        total += s
-        chain, at, holder = [], element, None
+        chain, at = [], element
         while at is not None:
             chain.append(at)
-            if holder is None and at.name in ("article", "main") and not at.frame:
-                holder = at
             at = at.parent
-        if holder is not None:
-            share.setdefault(id(holder), [0.0, holder])[0] += s
         chain.reverse()
+        holder = next((e for e in chain if e.name in CONTENT and not e.frame), None)
+        if holder is not None:
+            touched[id(holder)] = holder
         if path is None:
             path = chain
         else:
@@ -267,15 +267,14 @@ def align(items: list, scores: list[float], lo: int, hi: int) -> Element | None:
             while n < len(path) and n < len(chain) and path[n] is chain[n]:
                 n += 1
             path = path[:n]
-    if share:
-        most, holder = max(share.values(), key=lambda x: x[0])
-        if 2 * most >= total:
-            return holder
     spans = [e for e in path or [] if e.name not in ("html", "body") and e.name not in INLINE]
+    around = [e for e in spans if e.name in CONTENT]
+    if around:
+        return [around[-1]], True
     inner = spans[-1] if spans else None
     if inner is not None and inner.name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre"):
         inner = spans[-2] if len(spans) > 1 else None
-    return inner if inner is not None and not inner.frame else None
+    return ([inner], True) if inner is not None else (list(touched.values()), False)
 
 
 def learn(pages: DataFrame, bound: int = LABELLED_PAGES, key: str = "page_id", page: str = "html") -> dict[str, float]:

@@ -48,6 +48,21 @@ def test_marks_are_whole_names():
     assert H.extract(page, WEIGHTS) == "Notice period it has an impact shares rose last"
 
 
+ONE, TWO = "<p>the first story has six words</p>" * 3, "<p>the second has five</p>" * 2
+FIRST, SECOND = " ".join(["the first story has six words"] * 3), " ".join(["the second has five"] * 2)
+
+
+@pytest.mark.parametrize("body,want", [
+    (f"<article>{ONE}</article><article>{TWO}</article>", f"{FIRST} {SECOND}"),
+    (f"<div id='list'><article>{ONE}</article><article>{TWO}</article></div>", f"{FIRST} {SECOND}"),
+    (f"<main>{TWO}<article>{ONE}</article></main>", f"{SECOND} {FIRST}"),
+    (f"<div class='lead'>{TWO}</div><article>{ONE}</article>", f"{SECOND} {FIRST}"),
+    (f"<main><article>{ONE}</article></main>", FIRST),
+])
+def test_all_that_the_stretch_covers(body, want):
+    assert H.extract(f"<html><body>{FRAME}{body}<footer>x</footer></body></html>", WEIGHTS) == want
+
+
 def test_best_stretch_against_all_stretches():
     import random
     random.seed(1)
