@@ -14,7 +14,7 @@ one after the other and each is one epoch.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +43,11 @@ def chunk_span_us(lo, hi, n_files: int) -> int:
 
 
 def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: float = 0.0,
-                root: str | None = None) -> str:
+                root: str | None = None, delayed: str | None = None) -> str:
     """Cut ``events`` into ``n_files`` consecutive delivery chunks (by event
     time). Each chunk also re-delivers the first ``overlap`` fraction of the next
-    one. One job writes all chunks, each as a folder of many files, to a staging
+    one; rows for which the SQL condition ``delayed`` holds come one chunk later.
+    One job writes all chunks, each as a folder of many files, to a staging
     folder beside the landing; ``run_arrivals`` lets them in one at a time.
     Returns the landing directory."""
     ev = tables.table(spark, sf_dir, "events")
@@ -57,7 +58,8 @@ def land_events(spark: SparkSession, sf_dir: str, n_files: int = 6, overlap: flo
     chunk = F.least(F.floor(pos), F.lit(n_files - 1)).cast("int")
     # a row in the head of chunk c (c > 0) is delivered again with chunk c-1
     redelivered = (chunk > 0) & (pos - chunk < F.lit(overlap))
-    chunks = F.when(redelivered, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
+    first = chunk if delayed is None else F.when(F.expr(delayed), F.least(chunk + 1, F.lit(n_files - 1))).otherwise(chunk)
+    chunks = F.when(redelivered, F.array(first, chunk - 1)).otherwise(F.array(first))
     root = root or scratch_path(spark, "landing")
     (ev.withColumn("chunk", F.explode(chunks)).write.mode("overwrite").partitionBy("chunk")
      .parquet(f"{root}/_staged"))
@@ -80,17 +82,17 @@ def event_stream(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = True,
-         state_partitions: int | None = None):
+         state_partitions: int | None = None, settings: dict[str, str] | None = None):
     """Start a query with an explicit checkpoint. For stateful queries the
     number of state partitions is fixed at the first start (then kept by the
     checkpoint); it defaults to the cluster's parallelism rather than to the
     batch shuffle setting, which sizes shuffles, not state stores. Their state
-    is kept in RocksDB, outside the JVM heap."""
+    is kept in RocksDB, outside the JVM heap. ``settings`` hold for this query."""
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=PROCESSING_TIME)
-    settings = {}
+    settings = dict(settings or {})
     if state_partitions is not None:
-        settings = {"spark.sql.shuffle.partitions": str(state_partitions),
+        settings |= {"spark.sql.shuffle.partitions": str(state_partitions),
                     "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -107,16 +109,22 @@ def _run(spark: SparkSession, writer, checkpoint: str, available_now: bool = Tru
     return q
 
 
-def run_arrivals(spark: SparkSession, landing: str, writer, checkpoint: str,
-                 state_partitions: int | None = None) -> None:
-    """Let the staged chunks in one at a time, with one run for each, so every
-    chunk is one epoch however many files it has. With nothing staged, one run
-    takes whatever files are new."""
+def arrivals(spark: SparkSession, landing: str) -> Iterator[str | None]:
+    """Let the staged chunks in one at a time; one turn with nothing new if none
+    is staged."""
     names = staged_chunks(spark, landing)
     for name in names:
         move_path(spark, f"{landing}/_staged/{name}", f"{landing}/{name}")
-        _run(spark, writer, checkpoint, state_partitions=state_partitions)
+        yield name
     if not names:
+        yield None
+
+
+def run_arrivals(spark: SparkSession, landing: str, writer, checkpoint: str,
+                 state_partitions: int | None = None) -> None:
+    """One run for each chunk that arrives, so every chunk is one epoch however
+    many files it has. With nothing staged, one run takes whatever files are new."""
+    for _ in arrivals(spark, landing):
         _run(spark, writer, checkpoint, state_partitions=state_partitions)
 
 
