@@ -1,7 +1,7 @@
 """The history table and its upsert.
 
-A batch is deduplicated and committed as a delta of its own
-(``sitecast.sources.deltas``); rows without a key go to the table's rejects. The
+A batch is deduplicated and written under its run and epoch
+(``sitecast.sources.upserts``); rows without a key go to the table's rejects. The
 reader keeps the newest row of each key and derives the slot statistics and the
 quality flag, so late rows correct the statistics of their slot.
 """
@@ -20,7 +20,7 @@ from sitecast.operators.joins import lookup_join
 from sitecast.operators.stats import slot_aggregates
 from sitecast.schema import KEY, NEWEST
 from sitecast.session import scratch_path
-from sitecast.sources.deltas import DeltaTable
+from sitecast.sources.upserts import UpsertTable, current_run, write_batch
 
 DATE_COL = "measurement_date"
 HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
@@ -28,8 +28,8 @@ HISTORY_COLUMNS = ["event_id", "site_id", "measurement_time", "modified_time",
                    "geometry", "data_quality"]
 
 
-def table(spark: SparkSession, path: str, keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST) -> DeltaTable:
-    return DeltaTable(spark, path, keys, order, DATE_COL, lambda: F.to_date("measurement_time"))
+def table(spark: SparkSession, path: str, keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST) -> UpsertTable:
+    return UpsertTable(spark, path, keys, order, DATE_COL, lambda: F.to_date("measurement_time"))
 
 
 def _with_stats(df: DataFrame) -> DataFrame:
@@ -47,32 +47,32 @@ def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, epoch_id: int = 0,
            keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST,
-           stats_scope: str = "merged") -> None:
-    """Merge one batch. ``stats_scope="batch"`` keeps the reference's per-batch
+           stats_scope: str = "merged", run: str | None = None) -> None:
+    """Merge one batch, the pair (``run``, ``epoch_id``): by default every call
+    outside a stream is a run of its own, so no call replaces another's rows.
+    ``stats_scope="batch"`` keeps the reference's per-batch
     statistics (computed before dedup, duplicates counted) in the rows; the
     default derives them from the merged rows when they are read."""
     good, bad = split_batch(batch)
     if stats_scope == "batch":
         good = lookup_join(keep_latest(good, keys, order), slot_aggregates(good), "measurement_time", "left")
-    table(spark, path, keys, order).upsert(good, int(epoch_id))
-    bad.write.mode("overwrite").parquet(f"{path}/rejects/epoch={int(epoch_id)}")
+    run = run or current_run(spark)
+    table(spark, path, keys, order).upsert(good, epoch_id, run)
+    write_batch(bad, f"{path}/rejects", run, epoch_id)
 
 
 def read_history(spark: SparkSession, path: str, since: dt.date | None = None, stats: bool = True,
                  keys: Sequence[str] = KEY, order: Sequence[str] = NEWEST) -> DataFrame:
     """The merged rows with slot statistics; ``since`` reads the dates from it
-    on only (base partitions and delta row groups are pruned)."""
-    where = None
-    if since is not None:
-        where = (F.col(DATE_COL) >= F.lit(since)) & (F.col("measurement_time") >= F.lit(
-            dt.datetime.combine(since, dt.time())))
+    on only (the other partitions are pruned)."""
+    where = None if since is None else F.col(DATE_COL) >= F.lit(since)
     rows = table(spark, path, keys, order).read(where)
     return _with_stats(rows) if stats else rows
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Rows that were not merged because they have no key."""
-    return spark.read.parquet(f"{path}/rejects")
+    return spark.read.option("mergeSchema", "true").parquet(f"{path}/rejects").drop("run", "epoch")
 
 
 def overlapping_batches(readings: DataFrame, n_batches: int = 3, overlap: float = 0.5) -> list[DataFrame]:
@@ -100,8 +100,8 @@ def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = readings(spark, sf_dir)
     path = scratch_path(spark, "history")
     batches = overlapping_batches(r)
-    for i, b in enumerate(batches + batches[:1]):
-        upsert(spark, b, path, epoch_id=i)
+    for b in batches + batches[:1]:
+        upsert(spark, b, path)
     return read_history(spark, path)
 
 

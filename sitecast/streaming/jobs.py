@@ -24,7 +24,7 @@ from sitecast.functions.columns import version_from_name
 from sitecast.operators import dedup, forecast, reshape, stats
 from sitecast.session import child_names, move_path, path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
-from sitecast.sources.deltas import DeltaTable
+from sitecast.sources.upserts import UpsertTable
 
 PROCESSING_TIME = "5 minutes"   # reference trigger period
 N_EPOCHS = 4                    # epoch merge width
@@ -162,7 +162,6 @@ def q_stream_upsert(spark, sf_dir):
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     hist = scratch_path(spark, "history")
     run_upsert_stream(spark, landing, hist, scratch_path(spark, "ckpt"))
-    history.table(spark, hist).compact()
     return history.read_history(spark, hist)
 
 
@@ -213,24 +212,21 @@ def q_stream_slot_stats(spark, sf_dir):
 
 # -- S12 / X7: per-epoch snapshots and the epoch window ------------------------
 
-def _write_snapshot(batch: DataFrame, root: str) -> int | None:
-    """The batch's slot-mean filled grid under its epoch (the chunk number);
-    returns the epoch, None for an empty batch."""
-    epoch = batch.agg(F.max("chunk")).first()[0]
-    if epoch is None:
-        return None
-    d = dedup.dedup_latest(tables.events_to_readings(batch))
-    (reshape.impute_slot_mean(d).withColumn("epoch", F.lit(epoch))
+def write_snapshot(readings: DataFrame, root: str, epoch: int) -> None:
+    """The slot-mean filled grid of a micro-batch of readings, from any source,
+    under the epoch that ``foreachBatch`` gives it. A replay replaces its own
+    epoch; the snapshots below ``root`` belong to one checkpoint."""
+    d = dedup.dedup_latest(readings)
+    (reshape.impute_slot_mean(d).withColumn("epoch", F.lit(int(epoch)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("epoch").parquet(f"{root}/snapshots"))
-    return epoch
 
 
 def q_stream_snapshots(spark, sf_dir):
     landing = land_events(spark, sf_dir, n_files=N_FILES, overlap=OVERLAP)
     root = scratch_path(spark, "epochs")
-    run_arrivals(spark, landing, event_stream(spark, landing).writeStream.foreachBatch(
-        lambda b, e: _write_snapshot(b, root) and None), scratch_path(spark, "ckpt"))
+    run_arrivals(spark, landing, tables.events_to_readings(event_stream(spark, landing)).writeStream.foreachBatch(
+        lambda batch, epoch_id: write_snapshot(batch, root, epoch_id)), scratch_path(spark, "ckpt"))
     return spark.read.parquet(f"{root}/snapshots").drop("imputed")
 
 
@@ -252,13 +248,13 @@ def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
     root = scratch_path(spark, "epochs")
 
     def step(batch: DataFrame, epoch_id: int) -> None:
-        epoch = _write_snapshot(batch, root)
-        merged = None if epoch is None else window_of_epochs(spark, root, epoch, n_epochs)
+        write_snapshot(batch, root, epoch_id)
+        merged = window_of_epochs(spark, root, epoch_id, n_epochs)
         if merged is not None:
             (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("window_id").parquet(f"{root}/merged"))
 
-    run_arrivals(spark, landing, event_stream(spark, landing).writeStream.foreachBatch(step),
+    run_arrivals(spark, landing, tables.events_to_readings(event_stream(spark, landing)).writeStream.foreachBatch(step),
                  scratch_path(spark, "ckpt"))
     return spark.read.parquet(f"{root}/merged")
 
@@ -330,10 +326,10 @@ def q_newest_version(spark, sf_dir):
     return versioned.newest_version(q_versioned_read(spark, sf_dir))
 
 
-def accumulated(spark: SparkSession, path: str) -> DeltaTable:
+def accumulated(spark: SparkSession, path: str) -> UpsertTable:
     """The forecasts of all versions, the highest version per key."""
-    return DeltaTable(spark, path, ("measurement_time", "site_id", "forecast_type"), ("version",),
-                      "forecast_date", lambda: F.to_date("measurement_time"))
+    return UpsertTable(spark, path, ("measurement_time", "site_id", "forecast_type"), ("version",),
+                       "forecast_date", lambda: F.to_date("measurement_time"))
 
 
 def q_stream_accumulate(spark, sf_dir):
@@ -351,7 +347,6 @@ def q_stream_accumulate(spark, sf_dir):
     for p in paths:
         move_path(spark, p, f"{root}/{p.rsplit('/', 1)[1]}")
         _run(spark, writer, checkpoint)
-    acc.compact()
     return acc.read().drop("forecast_date")
 
 

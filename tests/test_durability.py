@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitecast.functions.columns import strict_int
 from sitecast.operators import features, forecast, reshape
 from sitecast.session import require_utc
-from sitecast.sources import deltas, history, ingest, versioned
+from sitecast.sources import history, ingest, upserts, versioned
 from sitecast.streaming import jobs
 from tests.util import readings_df, ts
 
@@ -24,83 +24,98 @@ THREE = [(1, 1, 0, 0, 10), (2, 2, 0, 0, 20), (3, 3, ts(1, day=2), ts(1, 1, day=2
 TWO = [(4, 4, 0, 0, 40), (5, 5, ts(2, day=2), ts(2, 1, day=2), 50)]
 
 
-def test_crash_while_a_delta_is_written(spark, tmp_path):
+def test_crash_while_a_batch_is_written(spark, tmp_path):
     path = str(tmp_path / "h")
-    history.upsert(spark, readings_df(spark, THREE), path, 0)
-    # the second batch died halfway: files, but no _SUCCESS
-    readings_df(spark, TWO[:1]).write.parquet(f"{path}/deltas/epoch=1")
-    (tmp_path / "h" / "deltas" / "epoch=1" / "_SUCCESS").unlink()
+    history.upsert(spark, readings_df(spark, THREE), path, run="s")
+    # the second batch died before its commit: task files in the staging folder only
+    staging = tmp_path / "h" / "rows" / ".spark-staging-1" / "_temporary" / "0" / "run=s" / "epoch=1"
+    readings_df(spark, TWO[:1]).write.parquet(str(staging))
     assert len(keys(spark, path)) == 3
-    history.upsert(spark, readings_df(spark, TWO), path, 1)
+    # and another one halfway through it: one of its two dates is there
+    half = readings_df(spark, TWO[:1]).withColumn("measurement_date", F.to_date("measurement_time"))
+    upserts.write_batch(half, f"{path}/rows", "s", 1, "measurement_date")
+    history.upsert(spark, readings_df(spark, TWO), path, 1, run="s")
     assert len(keys(spark, path)) == 5
+    history.upsert(spark, readings_df(spark, TWO), path, 1, run="s")
+    assert len(keys(spark, path)) == spark.read.parquet(f"{path}/rows").count() == 5
 
 
-def test_crash_in_the_first_epoch(spark, tmp_path):
+def test_crash_in_the_first_batch(spark, tmp_path):
     path = str(tmp_path / "h")
-    readings_df(spark, TWO[:1]).write.parquet(f"{path}/deltas/epoch=0")
-    (tmp_path / "h" / "deltas" / "epoch=0" / "_SUCCESS").unlink()
     with pytest.raises(FileNotFoundError):
         history.read_history(spark, path)
-    history.upsert(spark, readings_df(spark, THREE), path, 0)
+    history.upsert(spark, readings_df(spark, THREE), path)
     assert len(keys(spark, path)) == 3
 
 
-def test_crash_while_compacting(spark, tmp_path):
+def test_calls_without_an_epoch_keep_all_rows(spark, tmp_path):
     path = str(tmp_path / "h")
-    table = history.table(spark, path)
-    history.upsert(spark, readings_df(spark, THREE), path, 0)
-    table.compact()
-    history.upsert(spark, readings_df(spark, TWO), path, 1)
-    want = keys(spark, path)
-    # new base files of the second compaction, but no manifest names them
-    readings_df(spark, TWO).limit(1).withColumn("measurement_date", F.to_date("measurement_time")).write.partitionBy(
-        "measurement_date").parquet(f"{path}/base/upto=1")
-    assert keys(spark, path) == want
-    table.compact()
-    assert keys(spark, path) == want and table.open_epochs() == []
-    # a manifest without _SUCCESS does not count
-    spark.createDataFrame([("2024-01-01", 9)], "value string, generation long").write.parquet(f"{path}/manifest/upto=9")
-    (tmp_path / "h" / "manifest" / "upto=9" / "_SUCCESS").unlink()
-    assert keys(spark, path) == want
-
-
-def test_replays_and_late_rows_around_a_compaction(spark, tmp_path):
+    history.upsert(spark, readings_df(spark, THREE), path)
+    history.upsert(spark, readings_df(spark, TWO), path)
+    assert len(keys(spark, path)) == 5
+
+
+def test_any_sequence_of_epochs_keeps_all_rows(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for i, epoch in enumerate([0, 1, 2, 0, 1, 7, 7, 3, 0]):     # epochs that start again, repeat, go back
+        history.upsert(spark, readings_df(spark, [(i, i, i, i, i)]), path, epoch)
+    assert [k[0] for k in keys(spark, path)] == list(range(9))
+
+
+def test_a_stream_with_a_new_checkpoint_keeps_all_rows(spark, tmp_path):
+    path, landing = str(tmp_path / "h"), str(tmp_path / "in")
+
+    def run(rows, checkpoint):
+        readings_df(spark, rows).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.read.parquet(landing).schema
+        stream = spark.readStream.schema(schema).parquet(landing)
+        jobs._run(spark, stream.writeStream.foreachBatch(lambda b, e: history.upsert(spark, b, path, e)), str(tmp_path / checkpoint))
+        return [k[0] for k in keys(spark, path)]
+
+    assert run([(1, 1, 0, 0, 1)], "a") == [1]
+    assert run([(2, 2, 0, 0, 1)], "a") == [1, 2]          # the same run goes on
+    assert run([(3, 3, 0, 0, 1)], "b") == [1, 2, 3]       # epochs from 0 again, in a run of their own
+    assert run([(4, 4, 0, 0, 1)], "a") == [1, 2, 3, 4]
+    written = spark.read.parquet(f"{path}/rows").select("run", "epoch").distinct().collect()
+    assert len({r.run for r in written}) == 2 and len(written) == 4
+
+
+def test_replays_and_late_rows(spark, tmp_path):
     path = str(tmp_path / "h")
-    table = history.table(spark, path)
-    history.upsert(spark, readings_df(spark, THREE), path, 0)
-    table.compact()
-    history.upsert(spark, readings_df(spark, THREE), path, 0)      # replay of a compacted batch
-    assert table.open_epochs() == []
+    for _ in range(2):
+        history.upsert(spark, readings_df(spark, THREE), path, 0, run="s")
     late = [(9, 1, 0, ts(0, 50), 99), (10, 9, ts(3, day=5), ts(3, 1, day=5), 7)]
-    history.upsert(spark, readings_df(spark, late), path, 1)
-    history.upsert(spark, readings_df(spark, late), path, 1)
+    for _ in range(2):
+        history.upsert(spark, readings_df(spark, late), path, 1, run="s")
     want = [(1, ts(0), 99), (2, ts(0), 20), (3, ts(1, day=2), 30), (9, ts(3, day=5), 7)]
-    assert keys(spark, path) == want
-    table.compact()
-    table.compact()
-    assert keys(spark, path) == want
-    recent = history.read_history(spark, path, since=dt.date(2024, 1, 2)).collect()
-    assert sorted(r.site_id for r in recent) == [3, 9]
-    day_two = [n for n in (tmp_path / "h" / "base").glob("upto=1/measurement_date=*")]
-    assert sorted(p.name[-10:] for p in day_two) == ["2024-01-01", "2024-01-05"]   # only the dates it touched
+    assert keys(spark, path) == want and spark.read.parquet(f"{path}/rows").count() == 5
+    recent = history.read_history(spark, path, since=dt.date(2024, 1, 2), stats=False)
+    assert sorted(r.site_id for r in recent.collect()) == [3, 9]
+    assert "PartitionFilters: [isnotnull(measurement_date" in recent._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rows_written_follow_the_batch(spark, tmp_path):
     path = str(tmp_path / "h")
-    big = readings_df(spark, [(i, i, 0, 0, i) for i in range(500)])
-    history.upsert(spark, big, path, 0)
-    history.upsert(spark, readings_df(spark, [(1000, 7, 0, ts(0, 59), 1)]), path, 1)
-    assert spark.read.parquet(f"{path}/deltas/epoch=1").count() == 1
+    history.upsert(spark, readings_df(spark, [(i, i, 0, 0, i) for i in range(500)]), path, 0, run="s")
+    history.upsert(spark, readings_df(spark, [(1000, 7, 0, ts(0, 59), 1)]), path, 1, run="s")
+    assert spark.read.parquet(f"{path}/rows").where("epoch = 1").count() == 1
     assert history.read_history(spark, path).count() == 500
 
 
-def test_compaction_by_itself(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(deltas, "COMPACT_AFTER", 2)
+def test_batches_may_differ_in_columns(spark, tmp_path):
     path = str(tmp_path / "h")
-    for e in range(4):
-        history.upsert(spark, readings_df(spark, [(e, e, 0, 0, e)]), path, e)
-    assert history.table(spark, path).compacted_upto() >= 2
-    assert len(keys(spark, path)) == 4
+    history.upsert(spark, readings_df(spark, THREE).drop("specific_lane"), path)
+    history.upsert(spark, readings_df(spark, TWO), path)
+    got = history.read_history(spark, path).select("site_id", "specific_lane").collect()
+    assert sorted((r.site_id, r.specific_lane) for r in got) == [(1, None), (2, None), (3, None), (4, "lane1"), (5, "lane1")]
+
+
+def test_snapshots_of_a_topic_use_the_epoch_of_the_batch(spark, tmp_path):
+    root = str(tmp_path / "e")
+    for epoch, rows in ((0, THREE), (1, TWO), (1, TWO)):
+        jobs.write_snapshot(readings_df(spark, rows), root, epoch)      # no chunk column anywhere
+    got = spark.read.parquet(f"{root}/snapshots")
+    assert {(r.epoch, r.n) for r in got.groupBy("epoch").agg(F.count("*").alias("n")).collect()} == {(0, 6), (1, 4)}
 
 
 def test_rejects_are_kept(spark, tmp_path):

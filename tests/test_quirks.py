@@ -198,8 +198,8 @@ def test_unreadable_history_is_an_error(spark, tmp_path):
     path = tmp_path / "history"
     b = readings_df(spark, [(1, 1, 0, 0, 10)])
     history.upsert(spark, b, str(path), epoch_id=0)
-    part = next((path / "deltas" / "epoch=0").glob("part-*.parquet"))
-    for f in (path / "deltas" / "epoch=0").glob(".*.crc"):
+    part = next((path / "rows").rglob("part-*.parquet"))
+    for f in (path / "rows").rglob(".*.crc"):
         f.unlink()
     part.write_bytes(b"not parquet")
     with pytest.raises(Exception):
