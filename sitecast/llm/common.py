@@ -119,13 +119,18 @@ def among(df: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> DataFra
 
 
 def bounded_sample(rows: DataFrame, n: int, *keys: str) -> DataFrame:
-    """At most ``n`` rows, in hash order of ``keys``. Rows are thinned out where
-    they are read, so what meets in one task is a few times ``n`` however large
-    the table and however often a row repeats."""
+    """The ``n`` rows that come first in the hash order of ``keys``, the same ones
+    in any file or partition layout. Rows whose hash is beyond four times the
+    share of ``n`` are thinned out where they are read, so few rows are sorted
+    however large the table; a key that repeats may need a larger share."""
     total = rows.count()
-    if total > 4 * n:
-        rows = rows.sample(4.0 * n / total, seed=11)
-    return rows.orderBy(F.xxhash64(*keys), *keys).limit(n)
+    share, first = 4.0 * n / max(1, total), rows
+    while share < 1:
+        first = rows.where(F.xxhash64(*keys) < F.lit(int(share * 2**64) - 2**63))
+        if first.limit(n).count() == n:
+            break
+        share, first = 16 * share, rows
+    return first.orderBy(F.xxhash64(*keys), *keys).limit(n)
 
 
 def drop_stored(*tables: DataFrame) -> None:

@@ -31,7 +31,7 @@ def _distance(a: str, b: str) -> str:
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL = rf"""
 WITH raw AS (
-  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t, {WORDS} AS w,
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t, {WORDS} AS w,
          CASE lang {' '.join(f"WHEN '{k}' THEN {_list(v)}" for k, v in Q.COMMON_WORDS.items())} END AS common
   FROM documents),
 grams AS (
@@ -44,7 +44,7 @@ chars AS (
   SELECT *, regexp_replace(t, '\p{{L}}+', '', 'g') AS r1,
          [l FOR l IN string_split(t, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines FROM raw),
 counts AS (
-  SELECT rid, doc_id, lang, len(w) AS n_words, len(list_filter(lines, lambda l: true)) - len(list_distinct(lines)) AS n_dup_lines,
+  SELECT rid, doc_id, lang, source, len(w) AS n_words, len(list_filter(lines, lambda l: true)) - len(list_distinct(lines)) AS n_dup_lines,
          length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS upper,
          length(t) - length(r1) AS letters, length(r1) AS n1,
          length(regexp_replace(r1, '[\x20\x09-\x0D]+', '', 'g')) AS n2,
@@ -56,20 +56,24 @@ counts AS (
            [len(list_filter(w, lambda x: NOT list_contains(common, x)))] END AS word_bins
   FROM chars),
 bins AS (
-  SELECT *, [upper, letters - upper, digits, n_symbols, n2 - digits - n_symbols, n1 - n2] AS char_bins FROM counts),
+  SELECT counts.*, [upper, letters - upper, digits, n_symbols, n2 - digits - n_symbols, n1 - n2] AS char_bins,
+         coalesce(cover.n, 0) AS n_repeat_words,
+         n_words < {Q.MIN_WORDS} OR 100 * coalesce(cover.n, 0) > 50 * n_words AS base_failed
+  FROM counts LEFT JOIN cover USING (rid)),
+per_source AS (
+  SELECT lang, source, {', '.join(f"avg(char_bins[{i}] / list_sum(char_bins)) AS c{i}" for i in range(1, 7))},
+         {', '.join(f"avg(word_bins[{i}] / list_sum(word_bins)) AS b{i}" for i in range(1, Q.WORD_BINS + 1))}
+  FROM bins WHERE NOT base_failed GROUP BY lang, source),
 ref AS (
-  SELECT lang, {', '.join(f"sum(char_bins[{i}])::DOUBLE AS c{i}" for i in range(1, 7))},
-         {', '.join(f"sum(word_bins[{i}])::DOUBLE AS b{i}" for i in range(1, Q.WORD_BINS + 1))}, count(*) AS n
-  FROM bins GROUP BY lang),
-top AS (SELECT * FROM ref WHERE lang IS NOT NULL ORDER BY n DESC, lang LIMIT {Q.MAX_LANGUAGES}),
-pooled AS (SELECT [{', '.join(f"sum(c{i})" for i in range(1, 7))}] AS all_ref FROM ref),
+  SELECT lang AS ref_lang, [{', '.join(f"avg(c{i})" for i in range(1, 7))}] AS own_ref,
+         [{', '.join(f"avg(b{i})" for i in range(1, Q.WORD_BINS + 1))}] AS word_ref
+  FROM per_source WHERE lang IS NOT NULL GROUP BY lang),
+pooled AS (SELECT [{', '.join(f"avg(c{i})" for i in range(1, 7))}] AS all_ref FROM per_source),
 joined AS (
-  SELECT bins.*, coalesce(CASE WHEN top.lang IS NOT NULL THEN [{', '.join(f"top.c{i}" for i in range(1, 7))}] END, all_ref) AS char_ref,
-         [{', '.join(f"top.b{i}" for i in range(1, Q.WORD_BINS + 1))}] AS word_ref, coalesce(cover.n, 0) AS n_repeat_words
-  FROM bins LEFT JOIN top ON bins.lang = top.lang LEFT JOIN cover ON bins.rid = cover.rid, pooled),
+  SELECT bins.*, coalesce(own_ref, all_ref) AS char_ref, word_ref
+  FROM bins LEFT JOIN ref ON lang = ref_lang, pooled),
 judged AS (
-  SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         CASE WHEN n_chars >= {Q.MIN_CHARS} THEN {_distance('char_bins', 'char_ref')} END AS char_distance,
+  SELECT *, CASE WHEN n_chars >= {Q.MIN_CHARS} THEN {_distance('char_bins', 'char_ref')} END AS char_distance,
          CASE WHEN n_words >= {Q.MIN_COMMON_WORDS} AND word_bins IS NOT NULL THEN {_distance('word_bins', 'word_ref')} END
            AS word_distance
   FROM joined)

@@ -12,9 +12,9 @@ Guards: the character verdict needs ``min_chars`` characters, the word verdict
 below a guard is judged by the rest.
 
 Defined results: a null text has no words and fails the base rules; a language
-that is null, has no list or is not among the ``MAX_LANGUAGES`` most frequent
-ones is compared with the reference of all documents, on characters alone;
-repeated rows are judged each; a null id is kept; an empty table gives an empty
+that is null or has no document that passes the base rules is compared with the
+reference of all languages, and one without a word list on characters alone;
+documents without a source are a source of their own; repeated rows are judged each; a null id is kept; an empty table gives an empty
 result; extra columns are ignored.
 """
 
@@ -41,7 +41,8 @@ COMMON_WORDS = {
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("upper", "other_letters", "digits", "symbols", "rest", "space")
 WORD_BINS = 21  # twenty common words and all others
-MAX_LANGUAGES = 256
+#: Language references are broadcast up to this number, and joined beyond it.
+BROADCAST_LANGUAGES = 4096
 
 MIN_WORDS = 50
 MIN_CHARS = 200
@@ -111,17 +112,27 @@ def measures(text: Column, lang: Column) -> Column:
         dup_lines.cast("long").alias("n_dup_lines"))
 
 
+def base_failed() -> Column:
+    words = F.col("m.w.n_words")
+    return (words < MIN_WORDS) | (100 * F.col("m.w.n_repeat_words") > 50 * words)
+
+
 def references(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, char_ref, word_ref): summed histograms of at most MAX_LANGUAGES
-    languages; and one row (char_ref) for all documents."""
-    def sums(name: str, n: int) -> Column:
-        return F.array(*[F.sum(F.get(F.col(name), F.lit(i))).cast("double") for i in range(n)])
+    """(ref_lang, char_ref, word_ref) of every language, and one row (char_ref)
+    for all of them."""
+    def shares(name: str, n: int) -> Column:
+        total = F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.array(*[F.avg(F.get(F.col(name), F.lit(i)) / total) for i in range(n)])
+
+    def means(name: str, n: int) -> Column:
+        return F.array(*[F.avg(F.get(F.col(name), F.lit(i))) for i in range(n)]).alias(name)
 
-    per_lang = (measured.groupBy("lang")
-                .agg(F.count(F.lit(1)).alias("n"), sums("m.char_bins", len(CLASSES)).alias("char_ref"),
-                     sums("m.w.word_bins", WORD_BINS).alias("word_ref")))
-    top = per_lang.where("lang IS NOT NULL").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    return top.select("lang", "char_ref", "word_ref"), per_lang.agg(sums("char_ref", len(CLASSES)).alias("char_ref"))
+    sources = measured.where(~base_failed()).groupBy("lang", "source").agg(
+        shares("m.char_bins", len(CLASSES)).alias("char_ref"), shares("m.w.word_bins", WORD_BINS).alias("word_ref"))
+    sources = store(sources, "source-references")
+    own = (sources.where("lang IS NOT NULL").groupBy(F.col("lang").alias("ref_lang"))
+           .agg(means("char_ref", len(CLASSES)), means("word_ref", WORD_BINS)))
+    return own, sources.agg(means("char_ref", len(CLASSES)))
 
 
 def js_distance(counts: Column, reference: Column) -> Column:
@@ -143,24 +154,25 @@ def js_distance(counts: Column, reference: Column) -> Column:
                 lambda t: F.when((t["a"] > 0) & (t["b"] > 0), distance(t)))
 
 
-def measure(docs: DataFrame, text: str = "text", lang: str = "lang", *keep: str) -> DataFrame:
-    """The columns ``keep`` in a struct ``row``, ``lang`` and the counts ``m``."""
+def measure(docs: DataFrame, text: str = "text", lang: str = "lang", *keep: str, source: str = "source") -> DataFrame:
+    """The columns ``keep`` in a struct ``row``, ``lang``, ``source`` (null if the
+    table has none) and the counts ``m``."""
     row = F.struct(*[docs[k] for k in keep]).alias("row")
-    return docs.select(row, docs[lang].alias("lang"), measures(docs[text], docs[lang]).alias("m"))
+    origin = docs[source] if source in docs.columns else F.lit(None).cast("string")
+    return docs.select(row, docs[lang].alias("lang"), origin.alias("source"), measures(docs[text], docs[lang]).alias("m"))
 
 
 def judge(measured: DataFrame) -> DataFrame:
     """Adds char_distance, word_distance, base_failed and kept."""
     own, everything = references(measured)
-    own = own.select(F.col("lang").alias("ref_lang"), "char_ref", "word_ref")
-    # the reference table has a proven bound of MAX_LANGUAGES rows
-    rows = (measured.join(F.broadcast(own), F.col("lang") == F.col("ref_lang"), "left")
+    own = store(own, "language-references")
+    few = own.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
+    rows = (measured.join(F.broadcast(own) if few else own, F.col("lang") == F.col("ref_lang"), "left")
             .withColumn("all_ref", everything.scalar()))
     words = F.col("m.w.n_words")
-    base_failed = (words < MIN_WORDS) | (100 * F.col("m.w.n_repeat_words") > 50 * words)
     chars = F.aggregate("m.char_bins", F.lit(0).cast("long"), lambda a, x: a + x)
     out = rows.select(
-        "row", "m", base_failed.alias("base_failed"),
+        "row", "m", base_failed().alias("base_failed"),
         F.when(chars >= MIN_CHARS, js_distance(F.col("m.char_bins"), F.coalesce("char_ref", "all_ref")))
         .alias("char_distance"),
         F.when(words >= MIN_COMMON_WORDS, js_distance(F.col("m.w.word_bins"), F.col("word_ref")))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sitecast.llm import common as C
 from sitecast.session import path_exists
@@ -60,6 +61,14 @@ def test_bounded_sample(spark):
     assert C.bounded_sample(rows.limit(0), 50, "id").count() == 0
 
 
+def test_a_sample_is_the_same_in_any_layout(spark):
+    rows = spark.range(10_000).selectExpr("id", "id % 7 AS other")
+    picks = [{r.id for r in C.bounded_sample(rows.repartition(n), 200, "id").collect()} for n in (1, 4, 9)]
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 200
+    alone = {r.id for r in rows.orderBy(F.xxhash64("id"), "id").limit(200).collect()}
+    assert picks[0] == alone
+
+
 def test_stored_tables_lie_in_the_shared_folder(spark, docs):
     t = C.store(docs, "unit")
     assert t.scratch.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -63,3 +63,36 @@ def test_stage_keeps_columns_and_empty_tables(spark, docs, no_docs):
 def test_no_python_in_the_plan(docs):
     plan = Q.judge(Q.measure(docs, "text", "lang", "doc_id"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _prose(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_a_large_odd_source_does_not_move_the_reference(spark):
+    """Clean documents of a small language stay although one junk source of that
+    language holds most of its rows."""
+    import random
+    rng = random.Random(6)
+    common = Q.COMMON_WORDS["es"]
+    other = [f"palabra{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    clean = [(i, " ".join(rng.choice(common if rng.random() < 0.5 else other) for _ in range(150)), "es", f"s{i % 8}")
+             for i in range(80)]
+    junk = [(1000 + i, " ".join(rng.choice(["zzqx", "#### 11", "$$ 9", "kkw"]) + str(rng.random()) for _ in range(300)), "es", "hot")
+            for i in range(240)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in Q.quality(docs).collect()}
+    assert all(kept[i] for i in range(80))
+    assert sum(kept[1000 + i] for i in range(240)) == 0
+
+
+@pytest.mark.parametrize("bound", [Q.BROADCAST_LANGUAGES, 10])
+def test_every_language_has_its_own_reference(spark, monkeypatch, bound):
+    monkeypatch.setattr(Q, "BROADCAST_LANGUAGES", bound)
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, text if i % 3 else text.upper(), f"x{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = Q.quality(docs).collect()
+    assert len(out) == 300
+    # a language's only document lies at distance 0 from its own reference
+    assert all(r.char_distance == pytest.approx(0, abs=1e-6) for r in out)
