@@ -59,6 +59,15 @@ FRAME_WORDS = set("ad ads adv advert adverts advertisement advertising banner sp
                   "footer comment comments respond reply replies disqus share sharing social related recommended "
                   "widget login search contentinfo complementary".split())
 HEADER_WORDS = {"header", "masthead", "topbar"}
+#: Words that say nothing about an element beside a frame word
+#: (``comment-list``, ``site-footer``, ``ad-container``).
+NEUTRAL_WORDS = set("area areas articles bar block body bottom box button buttons center container content form global "
+                    "group holder icons inner item items js left links list main outer panel posts primary reader "
+                    "readers right secondary section site slot stories thread top unit user users wrap wrapper".split())
+#: Frame words of what is never main text, an article in it neither.
+HARD_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr "
+                 "comment comments respond reply replies disqus related recommended".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
@@ -66,35 +75,47 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 MARKS = {"class", "id", "role"}
 CONTENT = {"article", "main"}
 WORDS = re.compile(r"[a-z]+")
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("name", "kind", "parent", "own", "frame", "content")
+    __slots__ = ("name", "kind", "parent", "own", "hard", "frame", "content")
 
-    def __init__(self, name: str, kind: str, parent: Element | None, frame: bool):
+    def __init__(self, name: str, kind: str, parent: Element | None, frame: bool, hard: bool):
         self.name, self.kind, self.parent = name, kind, parent
-        self.own = frame
+        self.own, self.hard = frame, hard
         self.frame = frame or bool(parent and parent.frame)
         self.content = name in CONTENT or bool(parent and parent.content)
 
 
-def kind_of(name: str, attributes: str, inside_content: bool) -> tuple[str, bool]:
-    """Feature name of an element and whether it belongs to the frame. A header
-    inside the content is the content's own. A mark counts if all words of one
-    of its names are frame words (``cookie-notice``, not ``has-sidebar``)."""
+def frame_mark(token: str, frame_words: set[str], name: str) -> set[str]:
+    """The frame words of one class, id or role name if it marks a frame: all
+    its words are frame words, or frame words beside neutral ones. Any other
+    word (``has-sidebar``, ``notice-period``, ``search-result``) takes the name
+    out, and a heading needs a whole name."""
+    words = set(WORDS.findall(HUMP.sub("-", token).lower()))
+    found = words & frame_words
+    rest = words - found
+    return found if found and (not rest or name not in HEADINGS and rest <= NEUTRAL_WORDS) else set()
+
+
+def kind_of(name: str, attributes: str, inside_content: bool) -> tuple[str, bool, bool]:
+    """Feature name of an element, whether it belongs to the frame, and whether
+    it is a frame that no main text can stand in. A header inside the content is
+    the content's own; an article inside another is a comment if marked so."""
     shown = name if name in BLOCK or name in INLINE or name in RAW else "other"
     if name in FRAME or name == "header" and not inside_content:
-        return shown, True
-    if "=" in attributes and name not in ("html", "body", "article", "main"):
-        frame_words = FRAME_WORDS if inside_content else FRAME_WORDS | HEADER_WORDS
+        return shown, True, False
+    nested = name == "article" and inside_content
+    if "=" in attributes and (nested or name not in ("html", "body", "article", "main")):
+        frame_words = HARD_WORDS if nested else FRAME_WORDS if inside_content else FRAME_WORDS | HEADER_WORDS
         for m in ATTRIBUTE.finditer(attributes):
             if m[1].lower() not in MARKS:
                 continue
-            for token in (m[2] or m[3] or m[4] or "").lower().split():
-                words = WORDS.findall(token)
-                if words and frame_words.issuperset(words):
-                    return f"{shown}.frame", True
-    return shown, False
+            for token in (m[2] or m[3] or m[4] or "").split():
+                if found := frame_mark(token, frame_words, name):
+                    return f"{shown}.frame", True, bool(found & HARD_WORDS)
+    return shown, False, False
 
 
 def parse(page: str) -> Iterator[tuple[str, str, Element | None]]:
@@ -130,8 +151,8 @@ def parse(page: str) -> Iterator[tuple[str, str, Element | None]]:
                 at = at.parent
             if inside is not None:
                 top = inside.parent
-        kind, frame = kind_of(name, m[3] or m[6] or "", bool(top and top.content))
-        element = Element(name, kind, top, frame or name in RAW)
+        kind, frame, hard = kind_of(name, m[3] or m[6] or "", bool(top and top.content))
+        element = Element(name, kind, top, frame or name in RAW, hard)
         yield kind, "", element
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, pos)
@@ -146,7 +167,8 @@ HIDDEN = {"template", "head", "object", "svg"}
 
 def parsed(page: str) -> list[tuple[str, str, Element | None]]:
     """The items of a page. If its only article or main elements lie inside
-    frame elements, those are wrappers: their frame does not pass on to them."""
+    frame elements, those are wrappers: their frame does not pass on to them,
+    unless it is one of comments, adverts or the like."""
     items = list(parse(page))
     elements = list({id(e): e for _, _, e in items if e is not None}.values())
     marked = [e for e in elements if e.name in CONTENT]
@@ -155,7 +177,7 @@ def parsed(page: str) -> list[tuple[str, str, Element | None]]:
             up = e.parent
             free = e.name in CONTENT and not e.own and not (up and up.content)
             while free and up is not None:
-                free, up = up.name not in HIDDEN, up.parent
+                free, up = up.name not in HIDDEN and not up.hard, up.parent
             e.frame = e.own or not free and bool(e.parent and e.parent.frame)
     return items
 

@@ -48,6 +48,43 @@ def test_marks_are_whole_names():
     assert H.extract(page, WEIGHTS) == "Notice period it has an impact shares rose last"
 
 
+FRAMES = ["comment-list", "comments-area", "user-comments", "reader-comments", "comments-section", "ad-container", "ad-slot",
+          "advert-box", "sponsored-content", "promo-box", "notice-box", "site-footer", "sidebar-left", "main-nav",
+          "commentList", "js-comments wide", "related-posts"]
+PROSE = "many good words stand in this paragraph"
+
+
+@pytest.mark.parametrize("mark", FRAMES)
+@pytest.mark.parametrize("learned", [True, False])
+def test_compound_names_of_frames(mark, learned):
+    weight = WEIGHTS if learned else {}
+    extra = f"<div class='{mark}'><p>{'other words that are not the story ' * 3}</p></div>"
+    story = f"<h1>News</h1><p>{PROSE}</p><p>{PROSE}</p>"
+    want = f"News {PROSE} {PROSE}"
+    for body in (f"<article>{story}{extra}</article>", f"<article>{story}</article>{extra}",
+                 f"<main><article>{story}</article>{extra}</main>", f"<div id='content'>{story}{extra}</div>",
+                 f"<div id='content'>{story}</div>{extra}"):
+        assert H.extract(f"<html><body>{FRAME}{body}<footer>x</footer></body></html>", weight) == want
+
+
+@pytest.mark.parametrize("body", [
+    "<main><article><p>{0}</p></article><ol class='comment-list'><li><article><p>{1}</p></article></li></ol></main>",
+    "<article><p>{0}</p><div id='comments'><article><p>{1}</p></article><article><p>{1}</p></article></div></article>",
+    "<article><p>{0}</p><article class='comment'><p>{1}</p></article></article>",
+    "<div id='content'><p>{0}</p><p>{0}</p></div><div class='user-comments'><article><p>{1}</p></article></div>",
+])
+def test_comment_articles_are_no_content(body):
+    got = H.extract(f"<body>{FRAME}{body.format(PROSE, 'nice post, a very nice post indeed')}</body>", WEIGHTS)
+    assert got in (PROSE, f"{PROSE} {PROSE}")
+
+
+@pytest.mark.parametrize("mark", ["has-sidebar-left", "no-ads-box", "with-comments-list", "post-content", "main-content", "user-story",
+                                  "notice-period", "social-impact", "share-price-list", "section-body"])
+def test_other_names_are_no_frames(mark):
+    assert H.extract(f"<body>{FRAME}<article><p>{PROSE}</p><div class='{mark}'><p>{PROSE}</p></div></article></body>",
+                     WEIGHTS) == f"{PROSE} {PROSE}"
+
+
 ONE, TWO = "<p>the first story has six words</p>" * 3, "<p>the second has five</p>" * 2
 FIRST, SECOND = " ".join(["the first story has six words"] * 3), " ".join(["the second has five"] * 2)
 
