@@ -8,6 +8,7 @@ bounded array: ``window`` values in, ``steps`` values out.
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -209,25 +210,43 @@ def sorted_forecasts(df: DataFrame) -> DataFrame:
     return df.orderBy("site_id", "measurement_time", "forecast_type")
 
 
+def _pair_moments(y: str, x: str) -> list[Column]:
+    """Count, means and central moments of the pairs (y, x): what the fit and
+    the error of any line over them follow from."""
+    return [F.regr_count(y, x).alias("_n"), F.regr_avgx(y, x).alias("_mx"), F.regr_avgy(y, x).alias("_my"),
+            F.regr_sxx(y, x).alias("_sxx"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy")]
+
+
+def _line_mse(slope: Column, intercept: Column) -> Column:
+    """Mean squared error of the line over the pairs of a row of moments; with
+    no slope the prediction repeats x."""
+    b, a = F.coalesce(slope, F.lit(1.0)), F.when(slope.isNull(), 0.0).otherwise(intercept)
+    spread = (F.col("_syy") - 2 * b * F.col("_sxy") + b * b * F.col("_sxx")) / F.col("_n")
+    return F.when(F.col("_n") > 0, F.greatest(F.lit(0.0), spread) + F.pow(F.col("_my") - a - b * F.col("_mx"), 2))
+
+
+def _fitted_on(rows: DataFrame, train: Column, *keys: str) -> DataFrame:
+    """Adds _b, _a: the least-squares line of the training row of each key.
+    There are at most two rows of moments a key."""
+    of = Window.partitionBy(*keys)
+    slope = F.when(F.col("_sxx") > 0, F.col("_sxy") / F.col("_sxx"))
+    rows = rows.withColumn("_b", F.max(F.when(train, slope)).over(of))
+    return rows.withColumn("_a", F.max(F.when(train, F.col("_my") - F.col("_b") * F.col("_mx"))).over(of))
+
+
 def backtest_mse(d: DataFrame, window: int = 5, train_fraction: float = 0.5,
                  site: str = "site_id", time: str = "measurement_time",
                  value: str = "vehicle_flow_rate") -> DataFrame:
     """One-step holdout error per site and split, for the moving average
-    and for an AR(1) fitted on the site's training windows only."""
+    and for an AR(1) fitted on the site's training windows only. One aggregate
+    per site and split holds all that the fit and both errors need."""
     wins = train_eval_split(sliding_windows(d, window, 1, site, time, value), train_fraction)
     ma = sum((F.col(f"w{i}") for i in range(2, window + 1)), F.col("w1")) / window
-    last = F.col(f"w{window}")
-    coef = (wins.where(F.col("split") == "train").groupBy(site).agg(
-        F.when(F.regr_sxx("y", last) > 0, F.regr_slope("y", last)).alias("_b"),
-        F.when(F.regr_sxx("y", last) > 0, F.regr_intercept("y", last)).alias("_a")))
-    pred_ar = F.when(F.col("_b").isNull(), last).otherwise(F.col("_a") + F.col("_b") * last)
-    scored = wins.join(coef, site, "left").select(
-        F.col(site), F.col("split"),
-        F.pow(F.col("y") - ma, 2).alias("_e_ma"), F.pow(F.col("y") - pred_ar, 2).alias("_e_ar"))
-    return scored.groupBy(site, "split").agg(
-        F.count(F.lit(1)).alias("n_windows"),
-        round6(F.avg("_e_ma")).alias("mse_moving_avg"),
-        round6(F.avg("_e_ar")).alias("mse_ar1"))
+    moments = wins.groupBy(site, "split").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.avg(F.pow(F.col("y") - ma, 2)).alias("_ma"), *_pair_moments("y", f"w{window}"))
+    fitted = _fitted_on(moments, F.col("split") == "train", site)
+    return fitted.select(site, "split", "n_windows", round6(F.col("_ma")).alias("mse_moving_avg"),
+                         round6(_line_mse(F.col("_b"), F.col("_a"))).alias("mse_ar1"))
 
 
 def loss_history(d: DataFrame, window: int = 5, train_fraction: float = 0.5,
@@ -238,26 +257,33 @@ def loss_history(d: DataFrame, window: int = 5, train_fraction: float = 0.5,
     A cycle is one day of targets: the AR(1) pooled over all sites is fitted
     on the windows whose target falls in the first ``train_fraction`` of the
     day and evaluated on the rest; ``measurement_time`` is the cycle's newest
-    target slot. Linear in the data, no per-cycle ranking.
+    target slot. One aggregate per cycle and half, no per-cycle ranking.
     """
-    wins = sliding_windows(d, window, 1, site, time, value).withColumnRenamed("target_time", "_target")
-    cycle = F.date_trunc("day", F.col("_target")).cast("timestamp_ntz")
-    wins = wins.select("*", cycle.alias("_cycle"),
-                       (F.hour("_target") < F.lit(24 * train_fraction)).alias("_train"))
-    last = F.col(f"w{window}")
-    coef = wins.where("_train").groupBy("_cycle").agg(
-        F.when(F.regr_sxx("y", last) > 0, F.regr_slope("y", last)).alias("_b"),
-        F.when(F.regr_sxx("y", last) > 0, F.regr_intercept("y", last)).alias("_a"))
-    pred = F.when(F.col("_b").isNull(), last).otherwise(F.col("_a") + F.col("_b") * last)
-    err = F.pow(F.col("y") - pred, 2)
-    # One coefficient row per day-cycle: bounded by the days in the range.
-    return (wins.join(F.broadcast(coef), "_cycle", "left").groupBy("_cycle").agg(
-        round6(F.avg(F.when(F.col("_train"), err))).alias("train_loss"),
-        round6(F.avg(F.when(~F.col("_train"), err))).alias("eval_loss"),
-        F.max("_target").alias("measurement_time"))
+    wins = sliding_windows(d, window, 1, site, time, value)
+    cycle = F.date_trunc("day", F.col("target_time")).cast("timestamp_ntz")
+    train = F.hour("target_time") < F.lit(24 * train_fraction)
+    moments = wins.groupBy(cycle.alias("_cycle"), train.alias("_train")).agg(
+        F.max("target_time").alias("_newest"), *_pair_moments("y", f"w{window}"))
+    error = _line_mse(F.col("_b"), F.col("_a"))
+    return (_fitted_on(moments, F.col("_train"), "_cycle").groupBy("_cycle").agg(
+        round6(F.max(F.when(F.col("_train"), error))).alias("train_loss"),
+        round6(F.max(F.when(~F.col("_train"), error))).alias("eval_loss"),
+        F.max("_newest").alias("measurement_time"))
         .drop("_cycle"))
 
 
+def newest_loss(d: DataFrame, window: int = 5, train_fraction: float = 0.5, site: str = "site_id",
+                time: str = "measurement_time", value: str = "vehicle_flow_rate",
+                newest: dt.datetime | None = None) -> DataFrame:
+    """The loss row of the newest day alone, from that day's rows and the
+    ``window`` rows of each site before it; no row if no site has a window in it.
+    ``newest``: the newest time, if it is known."""
+    last = d.agg(F.max(time)).scalar() if newest is None else F.lit(newest).cast("timestamp_ntz")
+    day = F.date_trunc("day", last).cast("timestamp_ntz")
+    before = latest_n_per_site(d.where(F.col(time) < day), window, site, time).drop("rn")
+    return loss_history(before.unionByName(d.where(F.col(time) >= day)), window, train_fraction, site, time, value)
+
+
 def newest_cycle(loss: DataFrame, time: str = "measurement_time") -> DataFrame:
     """The loss row of the newest cycle."""
     return loss.orderBy(F.desc_nulls_last(time)).limit(1)

@@ -37,7 +37,7 @@ def select_series(forecasts: DataFrame, site_id=None, type_=None, forecast_type=
     return df.select("measurement_time", "vehicle_flow_rate", "type", "forecast_type").orderBy("measurement_time")
 
 
-def chart_series(forecasts: DataFrame) -> DataFrame:
+def chart_lists(forecasts: DataFrame) -> DataFrame:
     """One row per (site, type, forecaster) with x/y lists sorted by
     time. Structs are collected so null values keep their place."""
     pts = F.sort_array(F.collect_list(F.struct("measurement_time", "vehicle_flow_rate")))
@@ -87,9 +87,14 @@ def map_points(sites: DataFrame, site_id=None) -> DataFrame:
     return points.where((F.col("site_id") == F.lit(site_id)) | ~known)
 
 
+def chart_series(forecasts: DataFrame) -> DataFrame:
+    """The chart lists with x in microseconds since 1970, as charts take it."""
+    return chart_lists(forecasts).withColumn("x", F.transform("x", lambda t: F.unix_micros(t.cast("timestamp"))))
+
+
 def chart_text(forecasts: DataFrame) -> DataFrame:
     """The chart lists as text, for sinks without arrays."""
-    return chart_series(forecasts).select(
+    return chart_lists(forecasts).select(
         "site_id", "type", "forecast_type", "display_name",
         F.array_join(F.transform("x", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss")), ",").alias("x"),
         F.array_join(F.transform("y", lambda v: F.coalesce(v.cast("decimal(18,6)").cast("string"), F.lit(""))), ",")

@@ -244,6 +244,17 @@ def q_chart_text(spark, sf_dir):
     return series.chart_text(_forecasts(spark, sf_dir))
 
 
+def q_single_file_export(spark, sf_dir):
+    """One site's forecasts, sorted and exported as one file; read back
+    with each row's position in it."""
+    path = scratch_path(spark, "export")
+    one = _forecasts(spark, sf_dir).where(F.col("site_id") == PULL_SITE)
+    versioned.export_single_file(forecast.sorted_forecasts(one), path)
+    rows = spark.read.parquet(path)
+    files = rows.agg(F.count_distinct("_metadata.file_path")).scalar()
+    return rows.select("*", F.col("_metadata.row_index").alias("position"), files.alias("n_files"))
+
+
 def q_forecast_methods(spark, sf_dir):
     """One forecaster, the other, both, or none (recent actuals alone)."""
     d = _d(spark, sf_dir)

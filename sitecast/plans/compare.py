@@ -43,7 +43,8 @@ def duck(sf_dir: str):
 DUCK_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
               "FloatType()": "FLOAT", "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP",
               "BooleanType()": "BOOLEAN", "DateType()": "DATE",
-              "ArrayType(TimestampNTZType(), True)": "TIMESTAMP[]", "ArrayType(DoubleType(), True)": "DOUBLE[]"}
+              "ArrayType(TimestampNTZType(), True)": "TIMESTAMP[]", "ArrayType(DoubleType(), True)": "DOUBLE[]",
+              "ArrayType(LongType(), True)": "BIGINT[]"}
 
 
 def compare(df, con, oracle: str) -> dict:

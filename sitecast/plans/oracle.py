@@ -375,11 +375,13 @@ JOIN (SELECT unnest(range(any_value(n) - {C.WINDOW})) AS window_id FROM idx) w
     "arp_forecast": sql(READINGS, D, *site_mean_grid("d"), *arp_ctes("grid"), body="SELECT * FROM arp"),
     "backtest_mse": sql(READINGS, D, *site_mean_grid("d"), *backtest("grid"), body=BACKTEST_BODY),
     "backtest_mse_raw": sql(READINGS, D, *backtest("d"), body=BACKTEST_BODY),
-    "chart_series": sql(*FC, body=CHART.format(x="list(measurement_time ORDER BY measurement_time)",
+    "chart_series": sql(*FC, body=CHART.format(x="list(epoch_us(measurement_time) ORDER BY measurement_time)",
                                                y="list(vehicle_flow_rate ORDER BY measurement_time)")),
     "chart_text": sql(*FC, body=CHART.format(
         x="string_agg(strftime(measurement_time, '%Y-%m-%d %H:%M:%S'), ',' ORDER BY measurement_time)",
         y="string_agg(coalesce(CAST(CAST(vehicle_flow_rate AS DECIMAL(18, 6)) AS VARCHAR), ''), ',' ORDER BY measurement_time)")),
+    "single_file_export": sql(*FC, body=f"""SELECT *, row_number() OVER (ORDER BY measurement_time, forecast_type) - 1 AS position,
+  1::BIGINT AS n_files FROM fc WHERE site_id = {C.PULL_SITE}"""),
     "forecast_methods": sql(*FC, body="""SELECT fc.*, choice FROM fc JOIN (VALUES
   ('moving_avg', 'moving_avg'), ('moving_avg', 'actual'), ('ar1', 'ar1'), ('ar1', 'actual'), ('ar1+moving_avg', 'ar1'),
   ('ar1+moving_avg', 'moving_avg'), ('ar1+moving_avg', 'actual'), ('none', 'actual')) c(choice, kind)

@@ -19,7 +19,7 @@ from sitecast.operators.dedup import keep_latest
 from sitecast.operators.joins import lookup_join
 from sitecast.operators.stats import slot_aggregates
 from sitecast.schema import KEY, NEWEST
-from sitecast.session import scratch_path
+from sitecast.session import path_exists, scratch_path
 from sitecast.sources.upserts import UpsertTable, current_run, write_batch
 
 DATE_COL = "measurement_date"
@@ -70,6 +70,14 @@ def read_history(spark: SparkSession, path: str, since: dt.date | None = None, s
     return _with_stats(rows) if stats else rows
 
 
+def newest_slot(spark: SparkSession, path: str) -> dt.datetime | None:
+    """The newest slot in the table. Merging cannot change it, so one column of
+    the stored rows is enough."""
+    if not path_exists(spark, f"{path}/rows"):
+        return None
+    return spark.read.parquet(f"{path}/rows").agg(F.max("measurement_time")).first()[0]
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Rows that were not merged because they have no key."""
     return spark.read.option("mergeSchema", "true").parquet(f"{path}/rejects").drop("run", "epoch")

@@ -3,8 +3,9 @@
 Each forecast cycle writes one Parquet dataset whose name carries the
 version (``<prefix>_model_<n>_prediction.parquet``). Readers scan all of
 them with one glob, take the version from the hidden ``_metadata`` file path
-and keep the highest version per key. Files that are no whole Parquet files are
-left out, but never silently: they are logged and listed by ``damaged_files``.
+and keep the highest version per key. A file that cannot be read is skipped by
+Spark, but never silently: the files that gave rows are set against the files
+listed, and what is missing is logged and returned by ``damaged_files``.
 """
 
 from __future__ import annotations
@@ -53,36 +54,60 @@ def has_versions(spark: SparkSession, root: str) -> bool:
                for n in child_names(spark, root))
 
 
+def _listed(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length) of all part files; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(_pattern(root))
+    return files.select("path", "length")
+
+
+def _readable(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(FORECAST_SCHEMA).option("ignoreCorruptFiles", "true").parquet(_pattern(root))
+
+
+#: A Parquet file without rows is its schema and footer; a longer file that
+#: gives no row is damaged, a shorter one is looked into.
+EMPTY_BYTES = 1 << 20
+
+
 def damaged_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, version, length) of the part files that do not begin and end with
-    Parquet's mark, such as those of a writer that was cut off."""
+    """(path, version, length) of the part files that no row can be read from
+    although they are not empty tables, such as those of a writer that was cut
+    off. Files with rows are told by their footers (a count that needs no column);
+    only small files without rows are opened to tell an empty table."""
+    none = spark.createDataFrame([], "path string, version int, length long")
     if not has_versions(spark, root):
-        return spark.createDataFrame([], "path string, version int, length long")
+        return none
+    name = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    seen = _readable(spark, root).groupBy(name(F.col("_metadata.file_path")).alias("seen")).agg(F.count(F.lit(1)).alias("n"))
+    listed = _listed(spark, root)
+    silent = listed.join(seen, name(F.col("path")) == F.col("seen"), "left_anti")
+    small = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(_pattern(root))
+             .where(F.col("length") <= EMPTY_BYTES))
     mark = F.expr("X'50415231'")
-    ends = F.expr("substring(content, -4, 4)")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(_pattern(root))
-    whole = (F.substring("content", 1, 4) == mark) & (ends == mark) & (F.col("length") >= 12)
-    return files.where(~whole).select("path", version_from_name("path").alias("version"), "length")
+    whole = (F.substring("content", 1, 4) == mark) & (F.expr("substring(content, -4, 4)") == mark) & (F.col("length") >= 12)
+    empty = small.join(silent.select("path"), "path", "left_semi").where(whole).select("path")
+    return silent.join(empty, "path", "left_anti").select("path", version_from_name("path").alias("version"), "length")
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
     """Every version file matching the pattern, with its version
     number parsed from the path (-1 when not numeric). A fixed schema means no
     footer inference across many files. Without any version the result is
-    empty; damaged files are left out and logged."""
-    df = spark.createDataFrame([], FORECAST_SCHEMA).withColumn("version", F.lit(0))
+    empty; files that cannot be read are left out and logged (the first ones by
+    name)."""
     if not has_versions(spark, root):
-        return df
-    files = spark.read.schema(FORECAST_SCHEMA).parquet(_pattern(root))
-    bad = {r.path for r in damaged_files(spark, root).collect()}
+        return spark.createDataFrame([], FORECAST_SCHEMA).withColumn("version", F.lit(0))
+    bad = [r.path for r in damaged_files(spark, root).orderBy("path").limit(20).collect()]
     if bad:
-        log.warning("left out %d damaged forecast files: %s", len(bad), sorted(bad)[:20])
-        good = [f for f in files.inputFiles() if f.split(":", 1)[-1].lstrip("/") not in
-                {b.split(":", 1)[-1].lstrip("/") for b in bad}]
-        if not good:
-            return df
-        files = spark.read.schema(FORECAST_SCHEMA).parquet(*good)
-    return files.withColumn("version", version_from_name(F.col("_metadata.file_path")))
+        log.warning("left out %s%d damaged forecast files: %s", "at least " * (len(bad) == 20), len(bad), bad)
+    return _readable(spark, root).withColumn("version", version_from_name(F.col("_metadata.file_path")))
+
+
+def newest_listed(spark: SparkSession, root: str) -> DataFrame:
+    """The highest number among the names of the version files (one row;
+    null without any). Names only, no file is opened."""
+    names = [(n,) for n in child_names(spark, root) if n.startswith(f"{FILE_PREFIX}_") and n.endswith("_prediction.parquet")]
+    return spark.createDataFrame(names, "name string").agg(F.max(version_from_name("name")).alias("version"))
 
 
 def newest_version(versions: DataFrame) -> DataFrame:

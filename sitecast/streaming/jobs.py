@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitecast.functions.columns import version_from_name
-from sitecast.operators import dedup, forecast, reshape, stats
-from sitecast.session import child_names, move_path, path_exists, scratch_path
+from sitecast.operators import dedup, features, forecast, reshape, stats
+from sitecast.session import child_names, cut_lineage, move_path, path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
 from sitecast.sources.upserts import UpsertTable
 
 PROCESSING_TIME = "5 minutes"   # reference trigger period
 N_EPOCHS = 4                    # epoch merge width
 N_FILES = 6                     # delivery chunks landed for the stream queries
+MODEL_ROWS = 20                 # readings of each site that the models take
 OVERLAP = 0.3                   # share of the next chunk delivered again
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -270,20 +271,21 @@ def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int |
     dates of the history (pruned); a site silent for longer gets no forecast.
     The default reads the whole history, as the reference does."""
     def step() -> None:
-        d = history.read_history(spark, hist, stats=False)
-        newest = d.agg(F.max("measurement_time")).first()[0]
-        if lookback_days is not None:
-            d = history.read_history(spark, hist, stats=False,
-                                     since=newest.date() - dt.timedelta(days=lookback_days))
+        newest = history.newest_slot(spark, hist)
+        if newest is None:
+            return
+        version = 1
         if path_exists(spark, f"{out}/cutoffs"):
             seen = spark.read.parquet(f"{out}/cutoffs").agg(F.max("cutoff"), F.max("version")).first()
             if seen[0] is not None and seen[0] >= newest:
                 return
             version = seen[1] + 1
-        else:
-            version = 1
-        versioned.write_version(forecast.forecast_table(d), out, version)
-        versioned.append_loss(forecast.newest_cycle(forecast.loss_history(d)), out)
+        since = None if lookback_days is None else newest.date() - dt.timedelta(days=lookback_days)
+        d = history.read_history(spark, hist, stats=False, since=since)
+        # the forecasters read the newest rows of each site only: merged once, stored, read by all of them
+        recent = cut_lineage(features.latest_n_per_site(d, MODEL_ROWS).drop("rn"))
+        versioned.write_version(forecast.forecast_table(recent, history=MODEL_ROWS, min_history=MODEL_ROWS), out, version)
+        versioned.append_loss(forecast.newest_loss(d, newest=newest), out)
         (spark.createDataFrame([(version, newest)], "version int, cutoff timestamp_ntz")
          .write.mode("append").parquet(f"{out}/cutoffs"))
     return step
@@ -322,8 +324,10 @@ def q_versioned_read(spark, sf_dir):
 
 
 def q_newest_version(spark, sf_dir):
-    """The newest version among the files."""
-    return versioned.newest_version(q_versioned_read(spark, sf_dir))
+    """The newest version among the files, by their names."""
+    root = scratch_path(spark, "forecasts")
+    _write_versions(spark, sf_dir, root)
+    return versioned.newest_listed(spark, root)
 
 
 def accumulated(spark: SparkSession, path: str) -> UpsertTable:

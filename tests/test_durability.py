@@ -165,6 +165,26 @@ def test_damaged_version_files_are_reported(spark, tmp_path, caplog):
     assert versioned.newest_version(versioned.read_versions(spark, root)).first().version == 1
 
 
+def test_empty_and_large_version_files(spark, tmp_path):
+    root = str(tmp_path)
+    versioned.write_version(forecasts(spark, 6).coalesce(1), root, 1)
+    versioned.write_version(forecasts(spark, 6).limit(0), root, 2)      # an empty table is not damaged
+    folder = tmp_path / f"{versioned.FILE_PREFIX}_3_prediction.parquet"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"PAR1" + b"x" * (versioned.EMPTY_BYTES + 5) + b"PAR1")   # marks alone
+    assert [r.version for r in versioned.damaged_files(spark, root).collect()] == [3]
+    assert versioned.read_versions(spark, root).count() == 6
+    assert versioned.newest_listed(spark, root).first().version == 3
+    assert versioned.newest_listed(spark, str(tmp_path / "none")).first().version is None
+
+
+def test_loss_of_the_newest_day_alone(spark):
+    rows = [(i, s, h, h, (h * 7 + s * 3) % 11) for i, (s, h) in enumerate((s, h) for s in range(4) for h in range(0, 100, 1 + s))]
+    d = readings_df(spark, rows)
+    want = forecast.newest_cycle(forecast.loss_history(d)).collect()
+    assert forecast.newest_loss(d).collect() == want and len(want) == 1
+
+
 def test_no_version_yet(spark, tmp_path):
     got = versioned.read_versions(spark, str(tmp_path / "none"))
     assert got.count() == 0 and "version" in got.columns

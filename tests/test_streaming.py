@@ -21,7 +21,7 @@ def con():
 @pytest.mark.parametrize("name", ["stream_upsert", "stream_dedup", "stream_slot_stats",
                                   "stream_ingest", "stream_accumulate", "stream_snapshots",
                                   "stream_epoch_window", "stream_forecast", "upsert_merge",
-                                  "ingest_xml", "versioned_read", "newest_version"])
+                                  "ingest_xml", "versioned_read", "newest_version", "single_file_export"])
 def test_write_backed_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SMOKE), con, E.oracle_sql()[name])
     assert res["names"] and res["types"] and res["rows"] == res["oracle_rows"] and res["hash"], res
