@@ -2,12 +2,15 @@
 
 Spark counts the n-grams: tasks add up their own before the shuffle, and the
 shuffle deals words by hash and word pairs by the hash of the first word (pairs
-of very frequent first words by both, so no shard grows with one word). Each
-shard becomes a file of sorted 64-bit hashes with parallel counts in the shared
-folder. Scoring tasks memory-map one shard at a time and look up the sorted
-distinct words and pairs of a batch of documents; no model table passes through
-the driver, which sees sums, at most 64 frequent words a shard, and the
-statistics of the frequent first words.
+of very frequent first words by both, so no shard grows with one word). The
+number of shards follows the bytes of the training texts, so that a shard's task
+holds about as much at any size of the corpus. Each shard becomes a file of
+sorted 64-bit hashes with parallel counts in the shared folder. Scoring tasks
+open each shard's file once, keep it mapped, and look up the sorted distinct
+words and pairs of a batch of documents; batches grow with the number of shards.
+No model table passes through the driver, which sees a few sums a shard and the
+statistics of the frequent first words (at most 1 / LEAST_SHARE of them, summed
+by Spark).
 
 Probability of w after v, with c the counts and n1, n2, n3 the numbers of words
 seen once, twice, more often after v:
@@ -36,17 +39,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitecast.llm.common import drop_stored, keyed_text, mix64, scratch_path, store, sub_batches, word_hashes
-from sitecast.llm.shard_files import MappedArrays, lookup, write_arrays
+from sitecast.llm.shard_files import MappedArrays, OpenArrays, lookup, write_arrays
 
 END, BEGIN = np.uint64(0x5DEECE66D1234567), np.uint64(0x1B873593CC9E2D51)
 #: Tokens that a task adds up before it emits.
 BUFFER = 1_000_000
-#: Text scored at a time.
-SCORE_BYTES = 1 << 20
+#: Training text to a shard.
+SHARD_BYTES = 16 << 20
+#: A first word is frequent from a quarter of a shard's mean share of all tokens,
+#: and from this share at least.
+LEAST_SHARE = 2.0 ** -20
+#: Text scored at a time: by the number of shards, within these bounds.
+SCORE_BYTES, SCORE_BYTES_SHARD, MOST_SCORE_BYTES = 1 << 20, 4 << 10, 8 << 20
 _MUL = np.uint64(0x9FB21C651E98DF25)
 
 WORD_FILE = ["<u8", "<i8", "<i8"]            # word, count, distinct words before it
-PAIR_FILE = ["<u8", "<u4"]                   # pair, count
+NARROW, WIDE = ["<u8", "<u4"], ["<u8", "<u8"]  # pair, count; wide where a count needs it
+MOST_NARROW = (1 << 32) - 1
 FIRST_FILE = ["<u8", "<i8", "<i4", "<i4", "<i4"]  # first word, c, n1, n2, n3
 
 
@@ -134,26 +143,26 @@ class Model:
 
     def __init__(self, path: str, shards: int, total: int, vocabulary: int, pairs: int, d: list[float],
                  e: list[float], spare: float, frequent: np.ndarray, frequent_stats: np.ndarray,
-                 word_shards: set[int], pair_shards: set[int]):
+                 word_shards: set[int], pair_shards: dict[int, bool]):
         self.path, self.shards, self.total, self.vocabulary, self.pairs = path, shards, total, vocabulary, pairs
         self.d, self.e, self.spare = np.array([0.0, *d]), np.array([0.0, *e]), spare
         self.frequent, self.frequent_stats = frequent, frequent_stats
-        self.word_shards, self.pair_shards = word_shards, pair_shards  # those that have a file
+        # those that have a file; whether the pair counts are wide
+        self.word_shards, self.pair_shards = word_shards, pair_shards
 
-    def words(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, w: np.ndarray, files: OpenArrays) -> tuple[np.ndarray, np.ndarray]:
         """Counts and lower-order probabilities of sorted distinct words."""
         c, k = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
         shard = shard_of(w, self.shards)
         order = np.argsort(shard, kind="stable")
         for s, idx in each_shard(shard, order, self.word_shards):
-            with MappedArrays(f"{self.path}/word-{s}", WORD_FILE) as (keys, count, before):
-                at, there = lookup(keys, w[idx])
-                c[idx[there]], k[idx[there]] = count[at[there]], before[at[there]]
-                del keys, count, before
+            keys, count, before = files.get(f"{self.path}/word-{s}", WORD_FILE)
+            at, there = lookup(keys, w[idx])
+            c[idx[there]], k[idx[there]] = count[at[there]], before[at[there]]
         q = np.maximum(k - self.e[np.minimum(k, 3)], 0) / max(1, self.pairs) + self.spare / (self.vocabulary + 1)
         return c, q
 
-    def pairs_after(self, first: np.ndarray, word: np.ndarray, q: np.ndarray) -> np.ndarray:
+    def pairs_after(self, first: np.ndarray, word: np.ndarray, q: np.ndarray, files: OpenArrays) -> np.ndarray:
         """p(word | first) of distinct pairs."""
         c = np.zeros(len(first), np.int64)
         total = np.zeros(len(first), np.int64)
@@ -162,16 +171,14 @@ class Model:
         shard = pair_shard(first, word, self.frequent, self.shards)
         order = np.lexsort((key, shard))
         for s, idx in each_shard(shard, order, self.pair_shards):
-            with MappedArrays(f"{self.path}/pair-{s}", PAIR_FILE) as (keys, count):
-                at, there = lookup(keys, key[idx])
-                c[idx[there]] = count[at[there]]
-                del keys, count
-            with MappedArrays(f"{self.path}/first-{s}", FIRST_FILE) as (keys, size, *ns):
-                at, there = lookup(keys, first[idx])
-                total[idx[there]] = size[at[there]]
-                for row, own in zip(n, ns):
-                    row[idx[there]] = own[at[there]]
-                del keys, size, ns, own
+            keys, count = files.get(f"{self.path}/pair-{s}", WIDE if self.pair_shards[s] else NARROW)
+            at, there = lookup(keys, key[idx])
+            c[idx[there]] = count[at[there]]
+            keys, size, *ns = files.get(f"{self.path}/first-{s}", FIRST_FILE)
+            at, there = lookup(keys, first[idx])
+            total[idx[there]] = size[at[there]]
+            for row, own in zip(n, ns):
+                row[idx[there]] = own[at[there]]
         at, there = lookup(self.frequent, first)
         if there.any():
             total[there] = self.frequent_stats[0][at[there]]
@@ -181,17 +188,26 @@ class Model:
         return np.where(total > 0, p, q)
 
 
-def each_shard(shard: np.ndarray, order: np.ndarray, filled: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+def each_shard(shard: np.ndarray, order: np.ndarray, filled: set[int] | dict[int, bool]) -> Iterator[tuple[int, np.ndarray]]:
     """Each shard that has a file, with the places of its entries in order."""
     ids, at = np.unique(shard[order], return_index=True)
     yield from ((s, idx) for s, idx in zip(ids.tolist(), np.split(order, at[1:])) if s in filled)
 
 
+def frequent_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each frequent first word of each shard, with its statistics there."""
+    for batch in batches:
+        for w, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(w, "<i8")), *map(pa.array, np.frombuffer(n, "<i8").reshape(4, -1))],
+                                             names=["w", "c", "n1", "n2", "n3"])
+
+
 def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> Model:
     """Count the texts of ``docs`` and write the model's files below ``path``."""
     spark = docs.sparkSession
     rows = keyed_text(docs, key, text)
-    shards = max(4, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shards = max(4, -(-size // SHARD_BYTES))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, _ in buffered(batches):
@@ -206,12 +222,14 @@ def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
                          "w": pa.array([0, 0, *w[top].view(np.int64).tolist()], pa.int64()),
                          "n": pa.array([len(w), int(n.sum()), *n[top].tolist()], pa.int64())})
 
-    sums = store(rows.mapInArrow(count_words, "shard long, w binary, n binary").groupBy("shard")
+    sums = store(rows.mapInArrow(count_words, "shard long, w binary, n binary")
+                 .repartition(shards, "shard").groupBy("shard")
                  .applyInArrow(sum_words, "kind string, w long, n long"), "lm-words")
     found = {r.kind: r.s for r in sums.where("kind <> 'top'").groupBy("kind").agg(F.sum("n").alias("s")).collect()}
     vocabulary, total = found.get("words", 0), found.get("total", 0)
-    # at most 64 rows a shard
-    often = [r.w for r in sums.where((F.col("kind") == "top") & (F.col("n") * 4 * shards > total)).select("w").collect()]
+    # fewer than 1 / LEAST_SHARE rows
+    least = total * max(0.25 / shards, LEAST_SHARE)
+    often = [r.w for r in sums.where((F.col("kind") == "top") & (F.col("n") > least)).select("w").collect()]
     frequent = np.unique(np.append(np.array(often, np.int64).view(np.uint64), BEGIN))
     drop_stored(sums)
     shared = spark.sparkContext.broadcast(frequent)
@@ -228,7 +246,8 @@ def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
         s = group[0].as_py()
         a, b, n = joined(table, "a", "<u8"), joined(table, "b", "<u8"), joined(table, "n", "<u4")
         keys, at, n = add_up(pair_key(a, b), n.astype(np.int64))
-        write_arrays(f"{path}/pair-{s}", [keys, n.astype("<u4")])
+        wide = bool((n > MOST_NARROW).any())
+        write_arrays(f"{path}/pair-{s}", [keys, n.astype((WIDE if wide else NARROW)[1])])
         first, _, own = add_up(a[at], n)
         ns = [add_up(a[at], hit.astype(np.int64))[2] for hit in (n == 1, n == 2, n >= 3)]
         hot = lookup(shared.value, first)[1]
@@ -237,22 +256,21 @@ def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
         spread = blobs(shard_of(after, shards), [after, before.astype("<u4")], ["w", "n"])
         head = pa.RecordBatch.from_pydict({
             "shard": pa.array([-1, -2], pa.int64()),
-            "w": pa.array([np.array([s, *counts_of(n)], "<i8").tobytes(), first[hot].tobytes()], pa.binary()),
+            "w": pa.array([np.array([s, wide, *counts_of(n)], "<i8").tobytes(), first[hot].tobytes()], pa.binary()),
             "n": pa.array([b"", np.stack([own[hot], *[x[hot] for x in ns]]).astype("<i8").tobytes()], pa.binary())})
         return pa.Table.from_batches([head, spread])
 
-    out = store(rows.mapInArrow(count_pairs, "shard long, a binary, b binary, n binary").groupBy("shard")
-                .applyInArrow(sum_pairs, "shard long, w binary, n binary"), "lm-pairs")
-    seen, pair_shards = np.zeros(4, np.int64), set()
+    out = store(rows.mapInArrow(count_pairs, "shard long, a binary, b binary, n binary")
+                .repartition(shards, "shard").groupBy("shard").applyInArrow(sum_pairs, "shard long, w binary, n binary"), "lm-pairs")
+    seen, pair_shards = np.zeros(4, np.int64), {}
+    for r in out.where("shard = -1").select("w").toLocalIterator():  # one row a shard
+        s, wide, *n = np.frombuffer(r.w, "<i8").tolist()
+        pair_shards[s] = bool(wide)
+        seen += np.array(n)
     stats = np.zeros((4, len(frequent)), np.int64)
-    for r in out.where("shard < 0").toLocalIterator():  # two rows a shard
-        if r.shard == -1:
-            s, *n = np.frombuffer(r.w, "<i8").tolist()
-            pair_shards.add(s)
-            seen += np.array(n)
-        else:
-            at = np.searchsorted(frequent, np.frombuffer(r.w, "<u8"))
-            stats[:, at] += np.frombuffer(r.n, "<i8").reshape(4, -1)
+    for r in (out.where("shard = -2").mapInArrow(frequent_rows, "w long, c long, n1 long, n2 long, n3 long")
+              .groupBy("w").agg(*[F.sum(x) for x in ("c", "n1", "n2", "n3")]).collect()):  # one row a frequent word
+        stats[:, np.searchsorted(frequent, np.array([r[0]]).view(np.uint64))[0]] = r[1:]
 
     def sum_before(group: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
         s = group[0].as_py()
@@ -264,7 +282,8 @@ def train(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
             del words, count
         return pa.table({"n": pa.array([[s, int(k.sum()), *counts_of(k), int((k >= 3).sum())]], pa.list_(pa.int64()))})
 
-    word_shards = [r.n for r in out.where("shard >= 0").groupBy("shard").applyInArrow(sum_before, "n array<long>").collect()]
+    word_shards = [r.n for r in out.where("shard >= 0").repartition(shards, "shard").groupBy("shard")
+                   .applyInArrow(sum_before, "n array<long>").collect()]
     k = np.array(word_shards, np.int64).reshape(-1, 7)[:, 1:].sum(axis=0).tolist()  # one row a shard
     drop_stored(out)
     e = discounts(k[1:5])
@@ -277,18 +296,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """key, n_tokens, n_known, base_score, score of every row: base_score adds
     one to the word counts, score is the model's log10 probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    size = min(MOST_SCORE_BYTES, max(SCORE_BYTES, SCORE_BYTES_SHARD * model.shards))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch, data, bounds in sub_batches(batches, text, SCORE_BYTES):
+        m, files = shared.value, OpenArrays()
+        for batch, data, bounds in sub_batches(batches, text, size):
             words, cut = tokens(data, bounds)
             distinct, which = np.unique(words, return_inverse=True)
-            c, q = m.words(distinct)
+            c, q = m.words(distinct, files)
             before = firsts(words, cut)
             _, at, n = add_up(pair_key(before, words))
             order = np.argsort(pair_key(before, words), kind="stable")
             p = np.empty(len(words))
-            p[order] = np.repeat(np.log10(m.pairs_after(before[at], words[at], q[which[at]])), n)
+            p[order] = np.repeat(np.log10(m.pairs_after(before[at], words[at], q[which[at]], files)), n)
             base = np.log10((c + 1) / (m.total + m.vocabulary + 1))[which]
             begins = cut[:-1]
             yield pa.RecordBatch.from_arrays(

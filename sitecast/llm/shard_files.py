@@ -11,6 +11,7 @@ import mmap
 import os
 import tempfile
 import uuid
+from collections import OrderedDict
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -63,6 +64,32 @@ class MappedArrays:
         self.file.close()  # the mapping goes with the last array that views it
 
 
+class OpenArrays:
+    """Files that a task keeps open between its batches: each is opened, and one
+    of a remote store copied, once, unless more than ``most_files``, or copies of
+    more than ``most_copied`` bytes, are in use; then the one that was used
+    longest ago is closed and opened again when it is next wanted."""
+
+    def __init__(self, most_files: int = 4096, most_copied: int = 1 << 30):
+        self.most_files, self.most_copied = most_files, most_copied
+        self.open: OrderedDict[str, tuple[MappedArrays, list[np.ndarray]]] = OrderedDict()
+        self.copied = 0
+
+    def get(self, uri: str, dtypes: list[str]) -> list[np.ndarray]:
+        if uri in self.open:
+            self.open.move_to_end(uri)
+            return self.open[uri][1]
+        mapped = MappedArrays(uri, dtypes)
+        arrays = mapped.__enter__()
+        mapped.__exit__()  # the mapping outlives the file's handle
+        self.copied += 0 if _local(uri) else len(mapped.map)
+        self.open[uri] = mapped, arrays
+        while len(self.open) > 1 and (len(self.open) > self.most_files or self.copied > self.most_copied):
+            old, (gone, _) = self.open.popitem(last=False)
+            self.copied -= 0 if _local(old) else len(gone.map)
+        return arrays
+
+
 def lookup(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of sorted ``wanted`` in ``sorted_keys`` and whether they are there."""
     if not len(sorted_keys):

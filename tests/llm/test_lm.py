@@ -106,3 +106,34 @@ def test_shard_files(tmp_path):
     with S.MappedArrays(f"{tmp_path}/e", ["<u8"]) as (x,):
         assert len(x) == 0
         del x
+
+
+def test_many_shards_and_wide_counts(spark, docs, monkeypatch):
+    monkeypatch.setattr(K, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(K, "MOST_NARROW", 2)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    check(spark, rows + [(100 + i, " ".join(f"w{(i * j) % 13}" for j in range(1, 40))) for i in range(60)])
+
+
+def test_wide_counts_are_exact():
+    many = np.array([3_000_000_000, 3_000_000_000], np.int64)
+    assert K.add_up(np.array([7, 7], np.uint64), many)[2].tolist() == [6_000_000_000]
+    assert np.dtype(K.WIDE[1]).itemsize == 8
+
+
+def test_shards_follow_the_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "SHARD_BYTES", 100)
+    for n in (5, 50):
+        docs = spark.createDataFrame([(i, "some words of a text") for i in range(n)], "doc_id long, text string")
+        assert K.train(docs, f"{tmp_path}/{n}").shards == max(4, n * 20 // 100)
+
+
+def test_open_files_are_bounded(tmp_path):
+    a = np.array([2, 5, 9], "<u8")
+    files = S.OpenArrays(most_files=2)
+    for k in range(5):
+        S.write_arrays(f"{tmp_path}/f-{k}", [a + np.uint64(k)])
+    for k in (0, 1, 2, 0, 3, 4, 0):
+        assert files.get(f"{tmp_path}/f-{k}", ["<u8"])[0].tolist() == (a + np.uint64(k)).tolist()
+        assert len(files.open) <= 2
+    assert files.get(f"{tmp_path}/f-0", ["<u8"])[0] is files.get(f"{tmp_path}/f-0", ["<u8"])[0]
