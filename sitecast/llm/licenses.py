@@ -170,16 +170,26 @@ def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
 def ngrams(text: Column) -> Column:
     """Word unigrams and bigrams. A version that is written to a name
     (GPLv3) is a word of its own, and so are the parts of Apache-2.0."""
-    apart = F.regexp_replace(F.lower(text), r"(?<=\p{L}{2})(v?[0-9])", " $1")
-    words = F.regexp_extract_all(apart, F.lit(r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"), 0)
+    low = F.lower(text)
+    # only a text with a digit can have a version in it
+    apart = F.when(low.rlike("[0-9]"), F.regexp_replace(low, r"(?<=\p{L}{2})(v?[0-9])", " $1")).otherwise(low)
+    words = F.regexp_extract_all(apart, F.lit(r"[\p{L}\p{N}]++(?:\.[\p{L}\p{N}]++)*+"), 0)
     return bind(words, lambda w: F.concat(w, F.zip_with(
-        w, F.slice(w, 2, 1 << 30), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)).otherwise(a))))
+        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, 1 << 30),
+        lambda a, b: F.concat(a, F.lit(" "), b))))
+
+
+def template_grams(spark: SparkSession) -> Column:
+    """(family, distinct n-grams) of every template, as one constant of a plan."""
+    named = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, text string")
+    grams = F.collect_list(F.struct("family", F.array_distinct(ngrams(F.col("text"))).alias("grams")))
+    return F.from_json(F.lit(named.agg(F.to_json(grams)).first()[0]), "array<struct<family:string,grams:array<string>>>")
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, key: str, text: str) -> DataFrame:
     """(family, text) of templates, their variants, and unknown paragraphs."""
-    known = [(family, t) for family, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in NO_LICENCE]
-    named = spark.createDataFrame(known, "family string, text string")
+    notices = [(family, t) for family, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in NO_LICENCE]
+    named = spark.createDataFrame(notices, "family string, text string")
     words = F.split("text", " ")
     places = F.explode(F.sequence(F.lit(1), F.size(words)))
     fewer = (named.where(F.size(words) <= LONG).select("family", words.alias("w"), places.alias("i"))
@@ -189,8 +199,9 @@ def training_rows(spark: SparkSession, docs: DataFrame, key: str, text: str) ->
     windows = (named.where(F.size(words) > LONG)
                .select("family", words.alias("w"), F.explode(F.sequence(F.lit(1), F.size(words) - WINDOW // 2, F.lit(STEP))).alias("i"))
                .select("family", F.array_join(F.slice("w", F.col("i"), F.lit(WINDOW)), " ").alias("text")))
+    known = template_grams(spark)
     sample = bounded_sample(docs.where(F.col(text).isNotNull()).select(key, text), SAMPLE_DOCUMENTS, key, text)
-    plain = (paragraphs(sample, key, text).where(~F.col("cue") & (bind(ngrams(F.col("text")), lambda g: similarity(g)) < LEAST_SIMILARITY))
+    plain = (paragraphs(sample, key, text).where(~F.col("cue") & (bind(ngrams(F.col("text")), lambda g: similarity(g, known)) < LEAST_SIMILARITY))
              .select(F.lit(UNKNOWN).alias("family"), "text"))
     return named.unionByName(fewer).unionByName(windows).unionByName(plain)
 
@@ -236,11 +247,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> LicenceMode
     return LicenceModel(model, labels, [max(LEAST_PROBABILITY, p or 0.0) for p in high])
 
 
-def similarity(grams: Column, family: Column | None = None) -> Column:
+def similarity(grams: Column, known: Column, family: Column | None = None) -> Column:
     """Largest share of a template's distinct n-grams found in ``grams``, of the
-    templates of ``family`` or of all."""
-    known = F.array(*[F.struct(F.lit(f).alias("family"), F.array_distinct(ngrams(F.lit(t))).alias("grams"))
-                      for f, ts in TEMPLATES.items() for t in ts])
+    templates in ``known`` of ``family`` or of all."""
     return F.coalesce(F.array_max(F.transform(
         known if family is None else F.filter(known, lambda t: t["family"] == family),
         lambda t: F.size(F.array_intersect(t["grams"], grams)) / F.size(t["grams"]))), F.lit(0.0))
@@ -251,6 +260,7 @@ def scan(docs: DataFrame, model: LicenceModel | None = None, key: str = "doc_id"
     paragraph that the classifier gives a family, and of those without one that
     hold a licence cue."""
     model = model or fit(docs, key, text)
+    known = template_grams(docs.sparkSession)
     labels = F.array(*[F.lit(x) for x in model.labels])
     least = F.array(*[F.lit(x) for x in model.thresholds])
     judged = model.regression.transform(features(paragraphs(docs, key, text)))
@@ -262,8 +272,8 @@ def scan(docs: DataFrame, model: LicenceModel | None = None, key: str = "doc_id"
              .select(key, "paragraph", "line", F.explode(F.filter(
                  F.array(F.struct("grams", "cue", best["p"].alias("p"), family.alias("family"))),
                  lambda x: x["cue"] | (x["family"] != UNKNOWN))).alias("x")))
-    return (found.select(key, "paragraph", "line", "x.family", "x.p", similarity(F.col("x.grams"), F.col("x.family")).alias("similarity"),
-                         similarity(F.col("x.grams")).alias("most"))
+    return (found.select(key, "paragraph", "line", "x.family", "x.p", similarity(F.col("x.grams"), known, F.col("x.family")).alias("similarity"),
+                         similarity(F.col("x.grams"), known).alias("most"))
             .select(key, "paragraph", "line", "family", F.round("p", 4).alias("probability"), F.round("similarity", 4)
                     .alias("similarity"), ((F.col("similarity") >= LEAST_SIMILARITY) & (F.col("most") < F.col("similarity") + MARGIN))
                     .alias("confirmed")))
