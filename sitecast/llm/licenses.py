@@ -207,7 +207,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, key: str, text: str) ->
 
 
 class LicenceModel:
-    """A fitted classifier with the calibrated threshold of each label."""
+    """A fitted classifier with the calibrated threshold of each family (``unknown`` needs none)."""
 
     def __init__(self, regression: LogisticRegressionModel, labels: list[str], thresholds: list[float]):
         # only probabilities are wanted of it
@@ -244,7 +244,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> LicenceMode
     held = model.transform(rows.where(f"part = 0 AND family = '{UNKNOWN}'")).select(vector_to_array("probability").alias("p"))
     high = held.agg(*[F.percentile(F.col("p")[i], F.lit(1 - 1 / STRAY)) for i in range(len(labels))]).first()
     rows.unpersist()
-    return LicenceModel(model, labels, [max(LEAST_PROBABILITY, p or 0.0) for p in high])
+    return LicenceModel(model, labels, [max(LEAST_PROBABILITY, p or 0.0) if name != UNKNOWN else LEAST_PROBABILITY
+                                       for name, p in zip(labels, high)])
 
 
 def similarity(grams: Column, known: Column, family: Column | None = None) -> Column:
