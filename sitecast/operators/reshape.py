@@ -1,10 +1,11 @@
 """Pivot, unpivot, dense grids and gap imputation.
 
 A dense grid (every site at every slot) is the wide table the reference
-computes, in long form; its size is sites x slots by definition. It is built
-from equi-joins alone: the sites of a day (or epoch window) meet the slots of
-that day, and the readings are joined on (site, slot). No value holds a time
-range, so the cost follows the cells of the grid.
+computes, in long form; its size is sites x slots by definition. Only its rows
+by site and day are joined and shuffled: the readings of a site and day travel
+as one array, and each such row meets the slots of its day where it lies. No
+value holds more than a day, or the newest rows of a site, so the cost follows
+the cells of the grid, which are never shuffled or sorted here.
 """
 
 from __future__ import annotations
@@ -22,13 +23,66 @@ def _cells(df: DataFrame, site: str, time: str, value: str) -> DataFrame:
     return df.where(F.col(time).isNotNull()).select(site, time, F.col(value).cast("double").alias(value))
 
 
-def _day_grid(sites: DataFrame, slots: DataFrame, site: str, time: str) -> DataFrame:
-    """Every row of ``sites`` at every row of ``slots``, by day: a site is
-    copied to each day (one scalar list of days), then joined with the slots of
-    that day. Skewed days are split by AQE like any join."""
-    by_day = slots.withColumn("_day", F.to_date(time))
-    days = by_day.agg(F.collect_set("_day")).scalar()
-    return sites.withColumn("_day", F.explode(days)).join(by_day, "_day").drop("_day")
+def _slot_days(slots: DataFrame, group: Sequence[str], time: str) -> DataFrame:
+    """One row per group and day: its slots, with what else ``slots`` tells of each."""
+    rest = [c for c in slots.columns if c not in (time, *group)]
+    return slots.groupBy(*group, F.to_date(time).alias("_day")).agg(
+        F.sort_array(F.collect_list(F.struct(time, *rest))).alias("_slots"))
+
+
+def _packed(cells: DataFrame, group: Sequence[str], site: str, time: str, value: str) -> DataFrame:
+    """One row per group, site and day: its slots, and under each the rows of the slot."""
+    return (cells.groupBy(*group, site, time).agg(
+                F.collect_list(F.struct(value)).alias("_rows"), F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+            .groupBy(*group, site, F.to_date(time).alias("_day")).agg(
+                F.collect_list(F.struct(time, "_rows")).alias("_own"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+            .withColumn("_times", F.col(f"_own.{time}")).withColumn("_rows", F.col("_own._rows")).drop("_own"))
+
+
+def _unpacked(site_days: DataFrame, slot_days: DataFrame, group: Sequence[str], time: str, value: str) -> DataFrame:
+    """The cells of the site days: every slot of the day, left joined with the
+    site's own rows of it."""
+    keep = [c for c in site_days.columns if c not in ("_day", "_times", "_rows")]
+    slotted = (site_days.join(F.broadcast(slot_days), [*group, "_day"])
+               .select(*keep, "_times", "_rows", F.explode("_slots").alias("_slot")))
+    at = F.array_position("_times", F.col(f"_slot.{time}")).cast("int") - 1
+    return (slotted.select(*keep, "_slot.*", F.explode_outer(F.get("_rows", at)).alias("_cell"))
+            .withColumn(value, F.col("_cell")[value]).drop("_cell"))
+
+
+def _day_grid(sites: DataFrame, slots: DataFrame, cells: DataFrame, site: str, time: str, value: str,
+              group: Sequence[str] = ()) -> DataFrame:
+    """Every row of ``sites`` at every row of ``slots`` (of its ``group``), left
+    joined with ``cells`` on (group, site, slot). Sites are copied to each day and
+    joined with their own readings of that day, packed into one row; only then does
+    a day's list of slots (one broadcast row per group and day) turn them into cells."""
+    slot_days = _slot_days(slots, group, time)
+    if group:
+        days = slot_days.groupBy(*group).agg(F.collect_set("_day").alias("_days"))
+        site_days = sites.join(F.broadcast(days), list(group)).withColumn("_day", F.explode("_days")).drop("_days")
+    else:
+        site_days = sites.withColumn("_day", F.explode(slots.agg(F.collect_set(F.to_date(time))).scalar()))
+    own = _packed(cells, group, site, time, value).drop("_sum", "_n")
+    return _unpacked(site_days.join(own, [*group, site, "_day"], "left"), slot_days, group, time, value)
+
+
+def _site_grid(cells: DataFrame, slots: DataFrame, site: str, time: str, value: str) -> DataFrame:
+    """As ``_day_grid`` with the site's mean as _site_mean, for the few newest rows of
+    each site: they fit one row per site, so the grid needs no join and its cells
+    lie together by site, as the models want them. They sort it, so it has a
+    number of partitions of its own: AQE would merge them by the size of the few
+    rows that the grid comes from. A null site matches no reading."""
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mean = F.when(F.sum("_n") > 0, F.sum("_sum") / F.sum("_n"))
+    sites = (_packed(cells.repartition(max(n // 2, 1), site), (), site, time, value)
+             .groupBy(site).agg(mean.alias("_site_mean"), F.collect_list(F.struct("_day", "_times", "_rows")).alias("_own"))
+             .withColumn("_own", F.when(F.col(site).isNotNull(), F.col("_own")))
+             .withColumn("_days", slots.agg(F.collect_set(F.to_date(time))).scalar()))
+    at = lambda d: F.get("_own", F.array_position("_own._day", d).cast("int") - 1)
+    days = F.transform("_days", lambda d: F.struct(
+        d.alias("_day"), at(d)["_times"].alias("_times"), at(d)["_rows"].alias("_rows")))
+    site_days = sites.select(site, "_site_mean", F.explode(days).alias("_of")).select(site, "_site_mean", "_of.*")
+    return _unpacked(site_days, _slot_days(slots, (), time), (), time, value)
 
 
 def impute_site_mean(latest: DataFrame, site: str = "site_id",
@@ -41,14 +95,14 @@ def impute_site_mean(latest: DataFrame, site: str = "site_id",
     Output: site, time, value (double), ``imputed`` flag.
     """
     cells = _cells(latest, site, time, value)
-    sites = cells.groupBy(site).agg(F.avg(value).alias("_site_mean"))
     slots = cells.select(time).distinct()
     if keep_last:
+        sites = cells.groupBy(site).agg(F.avg(value).alias("_site_mean"))
         newest = slots.orderBy(F.desc(time)).limit(keep_last).agg(F.collect_list(time)).scalar()
-        grid = sites.withColumn(time, F.explode(newest))
+        grid = sites.withColumn(time, F.explode(newest)).join(cells, [site, time], "left")
     else:
-        grid = _day_grid(sites, slots, site, time)
-    return grid.join(cells, [site, time], "left").select(
+        grid = _site_grid(cells, slots, site, time, value)
+    return grid.select(
         site, time, round6(F.coalesce(F.col(value), F.col("_site_mean"), F.lit(0.0))).alias(value),
         F.col(value).isNull().alias("imputed"))
 
@@ -65,8 +119,7 @@ def impute_slot_mean(d: DataFrame, site: str = "site_id", time: str = "measureme
     slots = cells.groupBy(time).agg(F.avg(value).alias("_fill"))
     if truncate_int:
         slots = slots.withColumn("_fill", F.col("_fill").cast("int").cast("double"))
-    grid = _day_grid(cells.select(site).distinct(), slots, site, time)
-    return grid.join(cells, [site, time], "left").select(
+    return _day_grid(cells.select(site).distinct(), slots, cells, site, time, value).select(
         site, time, round6(F.coalesce(F.col(value), F.col("_fill"), F.lit(0.0))).alias(value),
         F.col(value).isNull().alias("imputed"))
 
