@@ -207,8 +207,7 @@ def fill_grid(cells: DataFrame, group: str, site: str = "site_id", time: str = "
     the group's slot mean, then 0; ``imputed`` tells which. ``cells`` is unique
     per (group, site, slot); a null value counts as missing."""
     slots = cells.groupBy(group, time).agg(F.avg(value).alias("_fill"))
-    grid = cells.select(group, site).distinct().join(slots, group)
-    return grid.join(cells, [group, site, time], "left").select(
+    return _day_grid(cells.select(group, site).distinct(), slots, cells, site, time, value, [group]).select(
         group, site, time, F.coalesce(F.col(value), F.col("_fill"), F.lit(0.0)).alias(value),
         F.col(value).isNull().alias("imputed"))
 
@@ -222,7 +221,9 @@ def merge_epochs(cells: DataFrame, n_epochs: int = 4, last_window=None, first_wi
     grid is then filled once with its slot means, then 0. ``cells`` holds null
     values where an epoch has no reading."""
     w = F.explode(F.sequence(F.col(epoch) - (n_epochs - 1), F.col(epoch))).alias("window_id")
-    tagged = cells.select(epoch, site, time, F.col(value).cast("double").alias(value), w)
+    # shuffled once, before each cell is copied into its windows
+    near = cells.select(epoch, site, time, F.col(value).cast("double").alias(value)).repartition(site)
+    tagged = near.select("*", w)
     if last_window is None:
         last_window = cells.agg(F.max(epoch)).scalar() - (n_epochs - 1)
     merged = (tagged.where((F.col("window_id") >= first_window) & (F.col("window_id") <= last_window))

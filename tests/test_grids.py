@@ -21,11 +21,16 @@ def above_the_cells(df):
     return lines[:next(i for i, line in enumerate(lines) if "Generate" in line)]
 
 
+def epochs(rows):
+    return rows.select((F.dayofmonth("measurement_time") + 3).alias("epoch"), "site_id", "measurement_time", "vehicle_flow_rate")
+
+
 @pytest.mark.parametrize("build", [
     lambda r: features.sliding_windows(forecast.model_grid(r), 2, 1),
     lambda r: forecast.ar1_coefficients(forecast.model_grid(r)),
+    lambda r: reshape.merge_epochs(epochs(r), 2),
     lambda r: reshape.impute_slot_mean(r),
-], ids=["windows", "ar1", "slot_mean"])
+], ids=["windows", "ar1", "epochs", "slot_mean"])
 def test_cells_of_a_grid_are_not_shuffled(spark, rows, build):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
