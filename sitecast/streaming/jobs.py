@@ -218,9 +218,8 @@ def write_snapshot(readings: DataFrame, root: str, epoch: int) -> None:
     under the epoch that ``foreachBatch`` gives it. A replay replaces its own
     epoch; the snapshots below ``root`` belong to one checkpoint."""
     d = dedup.dedup_latest(readings)
-    (reshape.impute_slot_mean(d).withColumn("epoch", F.lit(int(epoch)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("epoch").parquet(f"{root}/snapshots"))
+    # the epoch's own folder: a write by partition columns would sort the grid first
+    reshape.impute_slot_mean(d).write.mode("overwrite").parquet(f"{root}/snapshots/epoch={int(epoch)}")
 
 
 def q_stream_snapshots(spark, sf_dir):
@@ -252,8 +251,8 @@ def q_stream_epoch_window(spark, sf_dir, n_epochs: int = N_EPOCHS):
         write_snapshot(batch, root, epoch_id)
         merged = window_of_epochs(spark, root, epoch_id, n_epochs)
         if merged is not None:
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("window_id").parquet(f"{root}/merged"))
+            (merged.drop("window_id").write.mode("overwrite")
+             .parquet(f"{root}/merged/window_id={epoch_id - n_epochs + 1}"))
 
     run_arrivals(spark, landing, tables.events_to_readings(event_stream(spark, landing)).writeStream.foreachBatch(step),
                  scratch_path(spark, "ckpt"))

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitecast.operators import features, forecast, reshape
+from sitecast.session import scratch_path
+from sitecast.streaming import jobs
 from tests.util import readings_df, ts
 
 
@@ -55,3 +57,16 @@ def test_repeated_and_null_keys_join_as_before(spark):
 def test_sites_keep_their_own_days(spark, rows):
     got = {(r[0], r[1]): r[2] for r in reshape.impute_site_mean(rows).where("NOT imputed").collect()}
     assert got == {(r.site_id, r.measurement_time): float(r.vehicle_flow_rate) for r in rows.collect()}
+
+
+def test_snapshot_of_an_epoch_is_not_sorted(spark, rows, monkeypatch):
+    """A write by partition columns sorts each task's part of the grid."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *a: pytest.fail("grid written by partition columns"))
+    root = scratch_path(spark, "grid-epochs")
+    for epoch in (0, 1, 1):
+        jobs.write_snapshot(rows, root, epoch)
+    got = spark.read.parquet(f"{root}/snapshots")
+    assert got.columns == ["site_id", "measurement_time", "vehicle_flow_rate", "imputed", "epoch"]
+    n = reshape.impute_slot_mean(rows).count()
+    assert sorted(map(tuple, got.groupBy("epoch").count().collect())) == [(0, n), (1, n)]
