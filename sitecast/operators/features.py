@@ -9,6 +9,8 @@ volume skew is absorbed earlier by the partial aggregation in dedup.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,18 @@ def latest_n_per_site(d: DataFrame, n: int = 20, site: str = "site_id",
     return d.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
 
 
+def newest_rows(d: DataFrame, n: int, since: dt.datetime, site: str = "site_id",
+                time: str = "measurement_time") -> DataFrame:
+    """The rows from ``since`` on and, of each site, at least those of its ``n``
+    newest times before it, in one pass: all that takes the newest rows of a site
+    up to ``n``, or up to ``n`` before ``since``, finds them here. The rows from
+    ``since`` on are all first of their site, so a partial per-site limit comes
+    before the shuffle."""
+    before = F.when(F.col(time) < F.lit(since).cast("timestamp_ntz"), F.col(time))
+    w = Window.partitionBy(site).orderBy(before.desc_nulls_first())
+    return d.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= n + 1).drop("_r")
+
+
 def eligible_sites(d: DataFrame, min_history: int = 20, site: str = "site_id",
                    time: str = "measurement_time") -> DataFrame:
     """Sites with at least ``min_history`` distinct slots of history (the

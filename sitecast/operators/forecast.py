@@ -69,11 +69,16 @@ def ma_forecast(d: DataFrame, window: int = 5, steps: int = 5, step_minutes: int
 
 
 def ar1_coefficients(d: DataFrame, site: str = "site_id", time: str = "measurement_time",
-                     value: str = "vehicle_flow_rate") -> DataFrame:
+                     value: str = "vehicle_flow_rate", run: str | None = None) -> DataFrame:
     """Per-site least-squares fit of ``v_t = a + b * v_{t-1}`` (closed form,
-    one aggregate). Slope is null when the lagged series is constant."""
+    one aggregate). Slope is null when the lagged series is constant.
+
+    ``run`` names a column with the number of successive rows of one value that a
+    row stands for (``impute_site_mean``); the fit is that of the single rows."""
     w = Window.partitionBy(site).orderBy(F.col(time))
     v = F.col(value).cast("double")
+    if run is not None:
+        return _ar1_of_runs(d.where(F.col(time).isNotNull()), w, v, site, time, run)
     pairs = d.where(F.col(time).isNotNull()).select(
         F.col(site), F.col(time), v.alias("y"), F.lag(v).over(w).alias("x"))
     return pairs.groupBy(site).agg(
@@ -84,6 +89,33 @@ def ar1_coefficients(d: DataFrame, site: str = "site_id", time: str = "measureme
         F.regr_count("y", "x").alias("n_pairs"))
 
 
+def _ar1_of_runs(d: DataFrame, w, v: Column, site: str, time: str, run: str) -> DataFrame:
+    """The fit over runs: a run of n rows has n - 1 pairs of its own value, and
+    one with the value before it. Values count from the site's first one, so the
+    sums stay small and those of a constant series are 0."""
+    pairs = d.select(site, time, v.alias("y"), F.lag(v).over(w).alias("x"), F.col(run).alias("_n"),
+                     F.first(v, ignorenulls=True).over(w).alias("_c"))
+    met, own = F.col("x").isNotNull() & F.col("y").isNotNull(), F.when(F.col("y").isNotNull(), F.col("_n") - 1).otherwise(0)
+    one, x, y = F.when(met, 1).otherwise(0), F.col("x") - F.col("_c"), F.col("y") - F.col("_c")
+
+    def total(of_met, of_own):
+        return F.sum(F.when(met, of_met).otherwise(0.0) + F.when(own > 0, own * of_own).otherwise(0.0))
+
+    s = pairs.groupBy(site).agg(
+        F.sum(one + own).alias("n_pairs"), total(x, y).alias("_x"), total(y, y).alias("_y"),
+        total(x * x, y * y).alias("_xx"), total(x * y, y * y).alias("_xy"),
+        F.min(F.least(F.when(met, x), F.when(own > 0, y))).alias("_lo"),
+        F.max(F.greatest(F.when(met, x), F.when(own > 0, y))).alias("_hi"),
+        F.first("_c", ignorenulls=True).alias("_c"),
+        F.max_by(F.col("y"), F.col(time)).alias("last_value"), F.max(F.col(time)).alias("last_time"))
+    n = F.col("n_pairs")
+    sxx = F.when(n > 0, F.col("_xx") - F.col("_x") * F.col("_x") / n)
+    slope = F.when((F.col("_lo") < F.col("_hi")) & (sxx > 0), (F.col("_xy") - F.col("_x") * F.col("_y") / n) / sxx)
+    return s.withColumn("slope", slope).select(
+        site, "slope", F.when(F.col("slope").isNotNull(), F.col("_c") + F.col("_y") / n - F.col("slope") * (F.col("_c") + F.col("_x") / n))
+        .alias("intercept"), "last_value", "last_time", "n_pairs")
+
+
 def ar_recursion(a: Column, b: Column, last: Column, steps: int) -> Column:
     """``f_1 = a + b*last``, ``f_k = a + b*f_{k-1}``; without a slope the last
     value is repeated."""
@@ -97,10 +129,11 @@ def ar_recursion(a: Column, b: Column, last: Column, steps: int) -> Column:
 
 def ar1_forecast(d: DataFrame, steps: int = 5, step_minutes: int = 1, site: str = "site_id",
                  time: str = "measurement_time", value: str = "vehicle_flow_rate",
-                 kind: str = "ar1") -> DataFrame:
+                 kind: str = "ar1", run: str | None = None) -> DataFrame:
     """T4(a): learned autoregressive forecaster, AR(1) per site, ``steps``
-    recursive steps. Deterministic, unlike the reference's network."""
-    c = ar1_coefficients(d, site, time, value)
+    recursive steps. Deterministic, unlike the reference's network. ``run`` as
+    in ``ar1_coefficients``."""
+    c = ar1_coefficients(d, site, time, value, run)
     fc = ar_recursion(F.col("intercept"), F.col("slope"), F.col("last_value"), steps)
     return _explode_steps(c, fc, F.col("last_time"), kind, step_minutes, site)
 
@@ -163,10 +196,11 @@ def gate_min_history(latest: DataFrame, min_history: int = 20, site: str = "site
 
 
 def model_grid(d: DataFrame, history: int = 20, site: str = "site_id", time: str = "measurement_time",
-               value: str = "vehicle_flow_rate") -> DataFrame:
+               value: str = "vehicle_flow_rate", runs: bool = False) -> DataFrame:
     """The model's input: each site's ``history`` newest rows on the grid of all
-    their slots, missing cells filled with the site's mean (W1 -> T2)."""
-    return impute_site_mean(latest_n_per_site(d, history, site, time), site, time, value)
+    their slots, missing cells filled with the site's mean (W1 -> T2); ``runs``
+    as in ``impute_site_mean``."""
+    return impute_site_mean(latest_n_per_site(d, history, site, time), site, time, value, runs=runs)
 
 
 def recent_actuals(d: DataFrame, history: int = 20, k: int = 5, site: str = "site_id",
@@ -183,7 +217,8 @@ def forecast_table(d: DataFrame, methods: Sequence[str] = ("ar1", "moving_avg"),
     """Forecasts of the chosen methods plus the recent actuals, for the
     sites with enough history; sorted by site, time, type. All parts start from
     the newest rows of each site, so the cost does not follow the length of the
-    history; the learned methods fit on the model grid."""
+    history; the learned methods fit on the model grid, AR(1) on its runs of
+    filled cells."""
     newest = latest_n_per_site(d, max(history, min_history)).drop("rn")
     elig = gate_min_history(newest, min_history)
     parts = []
@@ -191,7 +226,7 @@ def forecast_table(d: DataFrame, methods: Sequence[str] = ("ar1", "moving_avg"),
         if m == "moving_avg":
             parts.append(ma_forecast(elig, window, steps, step_minutes))
         elif m == "ar1":
-            parts.append(ar1_forecast(model_grid(elig, history), steps, step_minutes))
+            parts.append(ar1_forecast(model_grid(elig, history, runs=True), steps, step_minutes, run="run"))
         elif m == "arp":
             parts.append(arp_forecast(model_grid(elig, history), window, steps, step_minutes))
         else:

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecast.functions.columns import TIME_FORMAT, format_time, round6
@@ -85,15 +85,49 @@ def _site_grid(cells: DataFrame, slots: DataFrame, site: str, time: str, value:
     return _unpacked(site_days, _slot_days(slots, (), time), (), time, value)
 
 
+def _site_runs(cells: DataFrame, slots: DataFrame, site: str, time: str, value: str) -> DataFrame:
+    """As ``_site_grid``, but successive slots without a row of the site are one
+    row with the newest time of them; ``run`` tells of how many slots. A site has
+    at most twice its own rows and one, however many slots there are. The slots'
+    numbers come from their sorted list, one value each. A null site is one run. The number of partitions is set as in ``_site_grid``: AQE
+    would merge them by the size of the rows before the sorts and runs."""
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of, by_time = Window.partitionBy(site), Window.partitionBy(site).orderBy(time)
+    numbered = F.transform("_all", lambda t, k: F.struct(t.alias(time), (k + 1).alias("_i"), F.get("_all", k - 1).alias("_before")))
+    index = slots.agg(F.sort_array(F.collect_list(time)).alias("_all")).select(F.inline(numbered))
+    end = slots.agg(F.struct(F.max(time).alias("at"), F.count(F.lit(1)).cast("int").alias("n"))).scalar()
+    own = (cells.join(F.broadcast(index), time).repartition(max(n // 2, 1), site).withColumn("_end", end)
+           .select(site, time, value, "_i", "_before", "_end", F.avg(value).over(of).alias("_site_mean"),
+                   F.lag("_i", 1, 0).over(by_time).alias("_last"), F.lead("_i").over(by_time).isNull().alias("_newest")))
+    some, none = F.col(site).isNotNull(), F.lit(None).cast("double")
+
+    def row(at, v, run):
+        return F.struct(F.col(at).alias(time), v.alias(value), run.alias("run"))
+
+    runs = F.array(
+        row("_before", none, F.when(some, F.col("_i") - 1 - F.col("_last")).otherwise(0)),
+        row(time, F.col(value), F.when(some, 1).otherwise(0)),
+        row("_end.at", none, F.when(F.col("_newest"), F.col("_end.n") - F.when(some, F.col("_i")).otherwise(0)).otherwise(0)))
+    return (own.select(site, "_site_mean", F.explode(runs).alias("_run")).where(F.col("_run.run") > 0)
+            .select(site, "_site_mean", "_run.*"))
+
+
 def impute_site_mean(latest: DataFrame, site: str = "site_id",
                      time: str = "measurement_time", value: str = "vehicle_flow_rate",
-                     keep_last: int | None = None) -> DataFrame:
+                     keep_last: int | None = None, runs: bool = False) -> DataFrame:
     """grid = sites x (union of the slots present in ``latest``); a
     missing cell gets the site's own mean over its rows, then 0.
 
     ``keep_last`` keeps only the k newest grid slots (R4's recent actuals).
     Output: site, time, value (double), ``imputed`` flag.
+
+    ``runs`` gives the same grid with successive slots that a site has no row in
+    as one row, with the newest of their times and their number in ``run`` (1
+    for the site's own rows): its rows follow those of ``latest``, not sites x
+    slots.
     """
+    if keep_last and runs:
+        raise ValueError("keep_last and runs exclude each other")
     cells = _cells(latest, site, time, value)
     slots = cells.select(time).distinct()
     if keep_last:
@@ -101,10 +135,10 @@ def impute_site_mean(latest: DataFrame, site: str = "site_id",
         newest = slots.orderBy(F.desc(time)).limit(keep_last).agg(F.collect_list(time)).scalar()
         grid = sites.withColumn(time, F.explode(newest)).join(cells, [site, time], "left")
     else:
-        grid = _site_grid(cells, slots, site, time, value)
+        grid = (_site_runs if runs else _site_grid)(cells, slots, site, time, value)
     return grid.select(
         site, time, round6(F.coalesce(F.col(value), F.col("_site_mean"), F.lit(0.0))).alias(value),
-        F.col(value).isNull().alias("imputed"))
+        F.col(value).isNull().alias("imputed"), *(["run"] if runs else []))
 
 
 def impute_slot_mean(d: DataFrame, site: str = "site_id", time: str = "measurement_time",

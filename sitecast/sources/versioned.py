@@ -78,7 +78,8 @@ def damaged_files(spark: SparkSession, root: str) -> DataFrame:
     if not has_versions(spark, root):
         return none
     name = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
-    seen = _readable(spark, root).groupBy(name(F.col("_metadata.file_path")).alias("seen")).agg(F.count(F.lit(1)).alias("n"))
+    files = _readable(spark, root).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    seen = files.select(name("file").alias("seen"))
     listed = _listed(spark, root)
     silent = listed.join(seen, name(F.col("path")) == F.col("seen"), "left_anti")
     small = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(_pattern(root))
@@ -92,15 +93,17 @@ def damaged_files(spark: SparkSession, root: str) -> DataFrame:
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
     """Every version file matching the pattern, with its version
     number parsed from the path (-1 when not numeric). A fixed schema means no
-    footer inference across many files. Without any version the result is
-    empty; files that cannot be read are left out and logged (the first ones by
-    name)."""
+    footer inference across many files; the number is parsed once a file, not
+    for every row. Without any version the result is empty; files that cannot be read
+    are left out and logged (the first ones by name)."""
     if not has_versions(spark, root):
         return spark.createDataFrame([], FORECAST_SCHEMA).withColumn("version", F.lit(0))
     bad = [r.path for r in damaged_files(spark, root).orderBy("path").limit(20).collect()]
     if bad:
         log.warning("left out %s%d damaged forecast files: %s", "at least " * (len(bad) == 20), len(bad), bad)
-    return _readable(spark, root).withColumn("version", version_from_name(F.col("_metadata.file_path")))
+    rows = _readable(spark, root).withColumn("_file", F.col("_metadata.file_path"))
+    files = rows.select("_file").distinct().withColumn("version", version_from_name("_file"))
+    return rows.join(F.broadcast(files), "_file").drop("_file")
 
 
 def newest_listed(spark: SparkSession, root: str) -> DataFrame:

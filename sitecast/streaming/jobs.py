@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from sitecast.functions.columns import version_from_name
 from sitecast.operators import dedup, features, forecast, reshape, stats
+from sitecast.schema import KEY
 from sitecast.session import child_names, cut_lineage, move_path, path_exists, scratch_path
 from sitecast.sources import history, ingest, tables, versioned
 from sitecast.sources.upserts import UpsertTable
@@ -280,11 +281,13 @@ def forecast_step(spark: SparkSession, hist: str, out: str, lookback_days: int |
                 return
             version = seen[1] + 1
         since = None if lookback_days is None else newest.date() - dt.timedelta(days=lookback_days)
-        d = history.read_history(spark, hist, stats=False, since=since)
-        # the forecasters read the newest rows of each site only: merged once, stored, read by all of them
-        recent = cut_lineage(features.latest_n_per_site(d, MODEL_ROWS).drop("rn"))
+        d = history.read_history(spark, hist, stats=False, since=since).select(*KEY, "vehicle_flow_rate")
+        # the forecasters read the newest rows of each site, the loss those of the newest day and a window
+        # of each site before it: the history is merged once, these are stored and read by all of them
+        day = newest.replace(hour=0, minute=0, second=0, microsecond=0)
+        recent = cut_lineage(features.newest_rows(d, MODEL_ROWS, day))
         versioned.write_version(forecast.forecast_table(recent, history=MODEL_ROWS, min_history=MODEL_ROWS), out, version)
-        versioned.append_loss(forecast.newest_loss(d, newest=newest), out)
+        versioned.append_loss(forecast.newest_loss(recent, newest=newest), out)
         (spark.createDataFrame([(version, newest)], "version int, cutoff timestamp_ntz")
          .write.mode("append").parquet(f"{out}/cutoffs"))
     return step

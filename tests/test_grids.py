@@ -70,3 +70,59 @@ def test_snapshot_of_an_epoch_is_not_sorted(spark, rows, monkeypatch):
     assert got.columns == ["site_id", "measurement_time", "vehicle_flow_rate", "imputed", "epoch"]
     n = reshape.impute_slot_mean(rows).count()
     assert sorted(map(tuple, got.groupBy("epoch").count().collect())) == [(0, n), (1, n)]
+
+
+def test_runs_are_the_grid(spark, rows):
+    """Own and empty slots, a site at both ends, sites with nulls only and a null
+    site: the runs spread over their slots are the grid, and give its fit."""
+    a = lambda d, h: dt.datetime(2024, 1, d, h)
+    odd = spark.createDataFrame(
+        [(1, a(1, 0), 4.0), (1, a(1, 1), 9.0), (1, a(2, 5), 2.0), (2, a(1, 3), None), (3, a(1, 0), 1.5), (3, a(3, 9), 8.0),
+         (4, a(2, 6), 3.0), (None, a(1, 2), 3.0), (None, a(2, 2), 5.0), (5, a(3, 9), None), (5, a(1, 2), 6.0), (6, None, 1.0)],
+        "site_id int, measurement_time timestamp_ntz, vehicle_flow_rate double")
+    key = lambda r: str(r[:2])
+    for d in (rows, odd):
+        grid = reshape.impute_site_mean(d)
+        runs = reshape.impute_site_mean(d, runs=True)
+        slots = [r[0] for r in grid.select("measurement_time").distinct().orderBy("measurement_time").collect()]
+        spread = []
+        for r in runs.collect():
+            end = slots.index(r.measurement_time) + 1
+            spread += [(r.site_id, t, r.vehicle_flow_rate, r.imputed) for t in slots[end - r.run:end]]
+        assert sorted(spread, key=key) == sorted(map(tuple, grid.collect()), key=key)
+        cols = ["site_id", "last_value", "last_time", "n_pairs", F.round("slope", 9), F.round("intercept", 9)]
+        fit = forecast.ar1_coefficients(grid).select(*cols).collect()
+        got = forecast.ar1_coefficients(runs, run="run").select(*cols).collect()
+        assert sorted(map(tuple, got), key=key) == sorted(map(tuple, fit), key=key)
+
+
+def test_forecast_table_grows_with_the_rows_not_with_the_slots(spark):
+    """40 sites of 20 readings on 800 slots: 32,000 cells, at most 41 runs a site."""
+    d = readings_df(spark, [(i, i % 40, ts(i), 1, i % 9) for i in range(800)])
+    runs = forecast.model_grid(d, runs=True)
+    assert runs.agg(F.sum("run")).first()[0] == 32_000 and runs.count() <= 40 * 41
+    lines = forecast.forecast_table(d)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS _slots" not in lines                          # the cells themselves are not made
+
+
+def test_model_step_merges_the_history_once(spark, monkeypatch):
+    """Forecasts and loss of a cycle come from one read of the history, and are
+    those of the whole history."""
+    from sitecast.sources import history, versioned
+    hist, out = scratch_path(spark, "h"), scratch_path(spark, "f")
+    at = [ts(h, day=1 + day) for day in range(4) for h in range(0, 24, 2)]
+    r = readings_df(spark, [(i, s, t, t, (i * 7 + s) % 31) for s in range(5) for i, t in enumerate(at[:len(at) - 9 * (s == 4)])])
+    history.upsert(spark, r, hist, 0)
+    whole = history.read_history(spark, hist, stats=False)
+    plans = []
+    monkeypatch.setattr(jobs, "cut_lineage", lambda df: plans.append(df) or df.sparkSession.createDataFrame(df.collect(), df.schema))
+    monkeypatch.setattr(versioned, "append_loss", lambda loss, root: plans.append(loss))
+    jobs.forecast_step(spark, hist, out)()
+    recent, loss = plans
+    assert loss.collect() == forecast.newest_loss(whole).collect()
+    assert not loss.inputFiles()                             # from the stored rows, not from the history's files
+    got = versioned.read_versions(spark, out).drop("version")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, forecast.forecast_table(whole).collect()))
+    kept = features.newest_rows(whole, 20, ts(0, day=4))
+    assert sorted(map(tuple, recent.collect())) == sorted(map(tuple, kept.select(recent.columns).collect()))
+    assert kept.groupBy("site_id").count().orderBy("site_id").collect()[0]["count"] == 12 + 20
